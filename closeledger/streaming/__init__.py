@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The extracts are bounded batch jobs over one accounting period.  The
+"watermark" of the journal extract is a batch upper bound on posting days
+(the latest day already extracted), applied as a scalar subquery in
+``closeledger.operators.watermark``; there is no unbounded input, no event
+time, no late data and no cross-batch state to keep.  Structured Streaming
+would add a checkpointed query with nothing to do, so no streaming operator
+is provided.
+"""
