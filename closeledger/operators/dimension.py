@@ -1,15 +1,20 @@
 """Size-checked broadcast of dimension-side inputs.
 
 A broadcast ships the whole side to every executor, so it is only safe for
-data whose size is proven.  ``bounded_broadcast`` proves it by counting at
-most ``max_rows + 1`` rows of the (already filtered, usually de-duplicated)
-side; the count reads a small dimension table, never the fact.  Beyond the
-bound the caller gets the plain DataFrame back and takes its shuffle path
-(with AQE skew-join splitting and, where exact, pre-aggregation first).
+data whose size is proven.  The proof is a row count of the (filtered)
+side, taken before any de-duplication so it bounds the de-duplicated set
+too.  All sides an extract needs are counted in **one** small job (a union
+of the sides grouped by side number); the count reads dimension tables,
+never the fact.  A side beyond the bound is joined without the hint: a
+shuffle join on which AQE may still split skewed partitions, and which the
+journal extracts precede with an exact pre-aggregation so it moves groups,
+not lines.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +23,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
+def bounded(sides: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
+    """For each side: does it have at most ``max_rows`` rows?  One job."""
+    if max_rows <= 0 or not sides:
+        return [False] * len(sides)
+    tagged = [s.select(F.lit(i).alias("__side")) for i, s in enumerate(sides)]
+    counts = reduce(lambda a, b: a.unionByName(b), tagged).groupBy("__side").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["__side"]: r["n"] for r in counts.collect()}  # at most len(sides) rows
+    return [sizes.get(i, 0) <= max_rows for i in range(len(sides))]
+
+
+def hint(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows,
     else ``(df, False)``."""
-    if max_rows <= 0:
-        return df, False
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+    (small,) = bounded([df], max_rows)
+    return hint(df, small), small

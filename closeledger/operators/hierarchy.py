@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeledger.functions.labels import tag
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, bounded_broadcast, hint
 
 
 def leaf_set(leaves: DataFrame, node: str, tree: str | None = None, distinct: bool = True) -> DataFrame:
@@ -35,16 +35,19 @@ def member_flag(
     members: DataFrame,
     flag: str,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add boolean column ``flag``: is ``key`` among ``members.leaf``?
 
     A left outer join against the de-duplicated member set, so no fact row is
-    multiplied; a NULL key never matches (``flag`` is then False).
+    multiplied; a NULL key never matches (``flag`` is then False).  ``small``
+    is the caller's size decision for ``members``; ``None`` checks it here.
     """
+    if small is None:
+        (small,) = bounded([members], max_broadcast_rows)
     probe = f"__leaf_{flag}"
     side = members.select(F.col("leaf").alias(probe)).distinct().withColumn(flag, F.lit(True))
-    side, _ = bounded_broadcast(side, max_broadcast_rows)
-    joined = df.join(side, key == F.col(probe), "left").drop(probe)
+    joined = df.join(hint(side, small), key == F.col(probe), "left").drop(probe)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -148,7 +148,7 @@ def q_journal_watermarked(spark, d):
 
 
 def _order_dates(spark, d):
-    return spark.read.parquet(f"{d}/orders.parquet").select(F.to_date("o_orderdate").alias("run_date")).distinct()
+    return td.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("run_date")).distinct()
 
 
 def q_close_period_12(spark, d):

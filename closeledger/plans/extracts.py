@@ -38,7 +38,7 @@ from closeledger.functions.labels import (
 from closeledger.functions.period import calendar_month, calendar_year, fiscal_year_label, month_label
 from closeledger.operators.balances import balance, nonzero
 from closeledger.operators.control import row_count
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, hint
 from closeledger.operators.hierarchy import leaf_set
 from closeledger.operators.rules import FLAG, SegmentRule, tag_segments, tag_segments_union
 from closeledger.operators.watermark import up_to, watermark_bound
@@ -239,9 +239,9 @@ def journal_balances(
         lines = up_to(lines, bound)
 
     units = leaf_set(leaves, scope.node, scope.tree, distinct=False).select(F.col("leaf").alias("__leaf"))
-    units, units_small = bounded_broadcast(units, max_broadcast_rows)
     ops = operators.select(F.col("employeeid").alias("__opid"), F.col("employeename").alias("__opname"))
-    ops, ops_small = bounded_broadcast(ops, max_broadcast_rows)
+    units_small, ops_small = bounded([units, ops], max_broadcast_rows)
+    units, ops = hint(units, units_small), hint(ops, ops_small)
 
     if not (units_small and ops_small):
         # a shuffle join is coming: move groups, not lines.  Summing before

@@ -33,8 +33,40 @@ PROJ_TREE, PROJ_NODE = "PROJ", "CAPITAL_PROJ"
 OPER_NODE = "OPER_GROUP"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared schemas of the driver's tables: reading with a known schema skips
+# footer-based schema inference (a job per read, and a footer read per file
+# on a large table).
+TABLE_SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables, read with its declared schema."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_table = table
+
+
+def _rows(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
+    """A handful of literal rows, built in the JVM (no Python-side RDD)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def _lpad_num(c, n: int):
@@ -140,7 +172,9 @@ def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("J"), F.col("r_regionkey").cast("string"), _lpad_num(F.col("n_nationkey"), 4)).alias("leaf"),
         )
     )
-    fixed = spark.createDataFrame(
+    fixed = _rows(
+        spark,
+        ("treecd", "node", "leaf"),
         [
             (DEPT_TREE, DEPT_NODE, "D220210"),
             (DEPT_TREE, DEPT_NODE, "D220210"),
@@ -148,7 +182,6 @@ def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("OPER", OPER_NODE, "S02858"),
             ("OPER_ALT", OPER_NODE, "S01000"),
         ],
-        "treecd string, node string, leaf string",
     )
     return dept.unionByName(proj).unionByName(fixed)
 
