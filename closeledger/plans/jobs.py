@@ -44,6 +44,23 @@ class Ledger:
     posted_dates: DataFrame | None = None
 
 
+def staged(ledger: Ledger, period: dt.date) -> Ledger:
+    """The same ledger with its fact cut to one period and checkpointed to
+    the cluster's checkpoint folder (``spark.checkpoint.dir``), for jobs in
+    which several extracts read that period: the slice is read from the fact
+    once, and a lost executor costs a re-read of checkpoint files, not of
+    the fact.  Worth it only when the fact is not partitioned by period."""
+    from closeledger.plans.extracts import period_slice
+
+    return Ledger(
+        fact=period_slice(ledger.fact, period).checkpoint(eager=True),
+        leaves=ledger.leaves,
+        operators=ledger.operators,
+        stored_counts=ledger.stored_counts,
+        posted_dates=ledger.posted_dates,
+    )
+
+
 def _csv_targets(folders: list[str], stem: str, names: list[str], stamp: str) -> tuple[CsvTarget, ...]:
     return tuple(CsvTarget(f"{f.rstrip('/')}/{stem}_{stamp}.csv", tuple(names)) for f in folders)
 

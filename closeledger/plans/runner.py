@@ -78,6 +78,8 @@ def run_spec(spark: SparkSession, spec: ExtractSpec, audit: AuditLog | None = No
         raise
     if audit is not None:
         audit.info(spark, result.message)
+        if result.high_water is not None:
+            audit.info(spark, f"HighWater: {result.high_water}")
     return result
 
 

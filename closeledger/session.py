@@ -21,6 +21,9 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "8g",
+    # Python call-site capture for DataFrame error context costs several
+    # py4j round trips per API call while a plan is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

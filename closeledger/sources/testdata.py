@@ -87,6 +87,14 @@ def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None)
         hi_month = period.month + 3
         hi = dt.datetime(period.year + (hi_month - 1) // 12, (hi_month - 1) % 12 + 1, 1)
         li = li.filter((F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz")))
+    else:
+        # A whole-table derivation is per-line work; when the source has fewer
+        # splits than the session has cores (the driver's files are a single
+        # Parquet row group, so one task would derive every line), spread the
+        # raw rows first.  A real multi-file table never takes this branch.
+        cores = spark.sparkContext.defaultParallelism
+        if li.rdd.getNumPartitions() < cores:
+            li = li.repartition(cores)
 
     partkey, suppkey, orderkey, linenumber = (F.col(c) for c in ("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber"))
     ship = F.to_date("l_shipdate")

@@ -80,6 +80,8 @@ def test_journal_jobs(spark, stored, scratch, capsys):
     assert (res["journal_summary"]["rows"], res["stored_count"]["rows"], res["journal_detail"]["rows"]) == (49, 28, 49)
     res = _run(capsys, "journal-incremental", "--config", cfg, "--run-date", "1998-05-05")
     assert res[0]["rows"] == 38 and res[0]["high_water"] <= "1998-05-31"
+    log = [r.message for r in spark.read.parquet(f"{scratch}/audit").collect()]
+    assert f"HighWater: {res[0]['high_water']}" in log
     [f] = glob.glob(f"{scratch}/share3/journal_watermarked_*.csv")
     assert read_csv(spark, f, CSV_NAMES["journal_watermarked"]).columns[1] == "oper unit"
 
@@ -97,3 +99,16 @@ def test_landing_load_job_parquet_and_jdbc(spark, stored, scratch, capsys):
                   line_grain=True, with_posted_date=True)
     res = _run(capsys, "landing-load", "--config", cfg, "--run-date", "1998-05-05")
     assert res[0]["rows"] == 65
+
+
+def test_staged_period_slice(spark, stored):
+    from closeledger.plans import jobs
+    from closeledger.plans.catalog import PERIOD, RUN_TS
+    from closeledger.plans.extracts import landing
+    from closeledger.session import checkpoint_dir
+
+    assert checkpoint_dir(spark)
+    ledger = jobs.Ledger(spark.read.parquet(f"{stored}/fact"), spark.read.parquet(f"{stored}/leaves"))
+    st = jobs.staged(ledger, PERIOD)
+    assert st.fact.count() == 308
+    assert landing(st.fact, st.leaves, LANDING_RULES, PERIOD, RUN_TS).count() == 32
