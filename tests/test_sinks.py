@@ -98,7 +98,7 @@ def test_runner_observes_audits_and_reconciles(spark, scratch):
     spec = ExtractSpec(
         "journal_watermarked",
         lambda s: QUERIES["journal_watermarked"](s, SF_SMALL),
-        (CsvTarget(f"{scratch}/cdm", tuple(X.CSV_NAMES["journal_watermarked"])), CsvTarget(f"{scratch}/cdm2", tuple(X.CSV_NAMES["journal_watermarked"]))),
+        (CsvTarget(f"{scratch}/wm", tuple(X.CSV_NAMES["journal_watermarked"])), CsvTarget(f"{scratch}/wm2", tuple(X.CSV_NAMES["journal_watermarked"]))),
         high_water_column="posted",
     )
     landing = ExtractSpec(
