@@ -5,10 +5,16 @@ data whose size is proven.  The proof is a row count of the (filtered)
 side, taken before any de-duplication so it bounds the de-duplicated set
 too.  All sides an extract needs are counted in **one** small job (a union
 of the sides grouped by side number); the count reads dimension tables,
-never the fact.  A side beyond the bound is joined without the hint: a
-shuffle join on which AQE may still split skewed partitions, and which the
-journal extracts precede with an exact pre-aggregation so it moves groups,
-not lines.
+never the fact.
+
+A side beyond the bound is first cut down to the keys the fact lines
+actually carry (``restrict_to_used``: a distinct of the fact's join key,
+partially aggregated before its small shuffle, semi-joined with the side)
+and counted again: a department tree with millions of leaves still meets
+only the departments that post in the period.  Only if that is still too
+large does the join go without the hint: a shuffle join on which AQE may
+split skewed partitions, and which the journal extracts precede with an
+exact pre-aggregation so it moves groups, not lines.
 """
 
 from __future__ import annotations
@@ -34,7 +40,9 @@ def bounded(sides: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> l
 
 
 def hint(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+    """Broadcast a side proven small; ask for a sort-merge (shuffle) join on
+    any other, so no estimate-based broadcast of an unproven side happens."""
+    return F.broadcast(df) if small else df.hint("merge")
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -42,3 +50,36 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     else ``(df, False)``."""
     (small,) = bounded([df], max_rows)
     return hint(df, small), small
+
+
+def restrict_to_used(side: DataFrame, side_key: str, used: DataFrame) -> DataFrame:
+    """Rows of ``side`` whose ``side_key`` occurs in ``used`` (one column
+    ``__k`` of distinct fact keys).  A left semi join keeps duplicate
+    listings of the side, so fan-out semantics are unchanged."""
+    return side.join(used, F.col(side_key) == F.col("__k"), "left_semi")
+
+
+def used_keys(df: DataFrame, key) -> DataFrame:
+    """Distinct non-NULL join keys of the fact lines, column ``__k``."""
+    return df.select(key.alias("__k")).filter(F.col("__k").isNotNull()).distinct()
+
+
+def broadcast_or_restrict(
+    sides: list[DataFrame],
+    side_keys: list[str],
+    fact_keys: list,
+    lines: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> list[tuple[DataFrame, bool]]:
+    """For each dimension side: broadcast it if its size is proven small;
+    else restrict it to the keys ``lines`` use and re-check; else return it
+    for a shuffle join.  At most two count jobs."""
+    smalls = bounded(sides, max_rows)
+    out: list[tuple[DataFrame, bool]] = [(s, ok) for s, ok in zip(sides, smalls)]
+    large = [i for i, ok in enumerate(smalls) if not ok]
+    if large and max_rows > 0:
+        cut = {i: restrict_to_used(sides[i], side_keys[i], used_keys(lines, fact_keys[i])) for i in large}
+        recheck = bounded([cut[i] for i in large], max_rows)
+        for i, ok in zip(large, recheck):
+            out[i] = (cut[i], ok)
+    return [(hint(s, ok), ok) for s, ok in out]

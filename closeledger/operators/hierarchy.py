@@ -47,6 +47,8 @@ def member_flag(
         (small,) = bounded([members], max_broadcast_rows)
     probe = f"__leaf_{flag}"
     side = members.select(F.col("leaf").alias(probe)).distinct().withColumn(flag, F.lit(True))
+    # the hint is re-applied after the distinct (a hint on the input of an
+    # aggregate does not reach the join)
     joined = df.join(hint(side, small), key == F.col(probe), "left").drop(probe)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeledger.functions.labels import tag
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict
 from closeledger.operators.hierarchy import in_hierarchy, leaf_set, member_flag
 
 FLAG = "bus_flg"
@@ -93,12 +93,16 @@ def tag_segments(
             if h not in refs:
                 refs.append(h)
     flag_of = {}
-    # one size check for every leaf set (raw listings bound the distinct sets)
-    smalls = bounded([leaf_set(leaves, h.node, h.tree, distinct=False) for h in refs], max_broadcast_rows)
-    for i, (h, small) in enumerate(zip(refs, smalls)):
+    # one size check for every leaf set (raw listings bound the distinct
+    # sets); a set too large is cut to the codes the lines carry
+    keys = [tag(h.letter, F.col(h.column)) for h in refs]
+    sides = broadcast_or_restrict(
+        [leaf_set(leaves, h.node, h.tree, distinct=False) for h in refs], ["leaf"] * len(refs), keys, out, max_broadcast_rows
+    )
+    for i, (h, key, (side, small)) in enumerate(zip(refs, keys, sides)):
         name = f"__in_{i}"
         flag_of[h] = name
-        out = member_flag(out, tag(h.letter, F.col(h.column)), leaf_set(leaves, h.node, h.tree), name, small=small)
+        out = member_flag(out, key, side, name, small=small)
 
     def full(r: SegmentRule) -> Column:
         return reduce(lambda a, b: a & b, [r.column_predicate()] + [F.col(flag_of[h]) for h in r.hierarchies])

@@ -20,6 +20,7 @@ from closeledger.functions.period import (
     month_label,
 )
 from closeledger.operators.control import reconcile
+from closeledger.operators.dimension import bounded_broadcast
 from closeledger.operators.hierarchy import duplicate_leaves, in_hierarchy, join_leaves
 from closeledger.operators.rules import HierarchyRef, SegmentRule
 from closeledger.operators.watermark import watermark_frame
@@ -122,7 +123,7 @@ def q_hierarchy_inner_fanout(spark, d):
 def q_operator_fallback(spark, d):
     """Every operator id of the whole ledger with its display name."""
     ids = td.ledger_fact(spark, d).select("oprid").distinct()
-    ops = td.operators(spark, d)
+    ops, _ = bounded_broadcast(td.operators(spark, d))
     return ids.join(ops, F.col("oprid") == F.col("employeeid"), "left").select(
         "oprid", F.coalesce(F.col("employeename"), F.col("oprid")).alias("user")
     )

@@ -38,7 +38,7 @@ from closeledger.functions.labels import (
 from closeledger.functions.period import calendar_month, calendar_year, fiscal_year_label, month_label
 from closeledger.operators.balances import balance, nonzero
 from closeledger.operators.control import row_count
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, hint
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict
 from closeledger.operators.hierarchy import leaf_set
 from closeledger.operators.rules import FLAG, SegmentRule, tag_segments, tag_segments_union
 from closeledger.operators.watermark import up_to, watermark_bound
@@ -240,8 +240,10 @@ def journal_balances(
 
     units = leaf_set(leaves, scope.node, scope.tree, distinct=False).select(F.col("leaf").alias("__leaf"))
     ops = operators.select(F.col("employeeid").alias("__opid"), F.col("employeename").alias("__opname"))
-    units_small, ops_small = bounded([units, ops], max_broadcast_rows)
-    units, ops = hint(units, units_small), hint(ops, ops_small)
+    unit_key = tag(scope.unit_letter, F.col(scope.unit_column))
+    (units, units_small), (ops, ops_small) = broadcast_or_restrict(
+        [units, ops], ["__leaf", "__opid"], [unit_key, F.col("oprid")], lines, max_broadcast_rows
+    )
 
     if not (units_small and ops_small):
         # a shuffle join is coming: move groups, not lines.  Summing before
@@ -249,7 +251,7 @@ def journal_balances(
         pre_keys = list(dict.fromkeys([*keys, scope.unit_column, "oprid"]))
         lines = lines.groupBy(*pre_keys).agg(F.sum("amount").alias("amount"))
 
-    joined = lines.join(units, tag(scope.unit_letter, F.col(scope.unit_column)) == F.col("__leaf"), "inner")
+    joined = lines.join(units, unit_key == F.col("__leaf"), "inner")
     joined = joined.join(ops, F.col("oprid") == F.col("__opid"), "left")
     user = F.coalesce(F.col("__opname"), F.col("oprid")).alias("user")
     return joined.groupBy(*keys, user).agg(F.sum("amount").cast(MONEY_SUM).alias("amt"))

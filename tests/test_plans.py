@@ -71,11 +71,24 @@ def test_shuffle_fallback_when_dimension_too_large(spark):
     t = td.ledger_tables(spark, SF_SMALL)
     df = X.journal_summary(t.fact, t.leaves, t.operators, JOURNAL_SCOPE, PERIOD, RUN_TS, max_broadcast_rows=0)
     text = plan(df)
-    assert "BroadcastHashJoin" not in text or "AdaptiveSparkPlan" in text
-    assert text.count("HashAggregate") >= 4  # pre-aggregation before the join, final after
+    assert "BroadcastHashJoin" not in text
+    assert "SortMergeJoin Inner" in text and "SortMergeJoin LeftOuter" in text
+    assert text.count("HashAggregate") >= 4  # pre-aggregation before the joins, final after
 
 
 def test_close_period_stays_in_codegen(spark):
     text = plan(QUERIES["close_period_12"](spark, SF_SMALL), "formatted")
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert dt.date(1998, 4, 1) == PERIOD
+
+
+def test_large_leaf_set_is_cut_to_used_codes_then_broadcast(spark):
+    # the department node lists 8 leaves; the period's lines use 4 of them.
+    # With a bound of 5 the set fails the first check, passes after the cut
+    # and is broadcast; the project set (40 listings, most used) is not.
+    t = td.ledger_tables(spark, SF_SMALL, PERIOD)
+    df = X.landing(t.fact, t.leaves, LANDING_RULES, PERIOD, RUN_TS, max_broadcast_rows=5)
+    text = plan(df)
+    assert text.count("BroadcastHashJoin LeftOuter") == 1, text  # department flag join
+    assert text.count("SortMergeJoin LeftOuter") == 1, text  # project flag join
+    assert df.count() == 32

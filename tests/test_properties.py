@@ -58,17 +58,20 @@ def test_result_independent_of_partitioning(spark, tables):
 
 
 @pytest.mark.parametrize("builder", ["journal_summary", "journal_detail"])
-def test_shuffle_path_equals_broadcast_path(spark, tables, builder):
-    # max_broadcast_rows=0 forces the pre-aggregate + shuffle-join path
+@pytest.mark.parametrize("limit", [0, 3, 30])
+def test_shuffle_path_equals_broadcast_path(spark, tables, builder, limit):
+    # 0 forces the pre-aggregate + shuffle-join path; 3 and 30 make the
+    # dimensions too large as read but (some) small once cut to used keys
     fn = getattr(X, builder)
     a = fn(tables.fact, tables.leaves, tables.operators, JOURNAL_SCOPE, PERIOD, RUN_TS)
-    b = fn(tables.fact, tables.leaves, tables.operators, JOURNAL_SCOPE, PERIOD, RUN_TS, max_broadcast_rows=0)
+    b = fn(tables.fact, tables.leaves, tables.operators, JOURNAL_SCOPE, PERIOD, RUN_TS, max_broadcast_rows=limit)
     assert _rows(a) == _rows(b)
 
 
-def test_landing_shuffle_membership_equals_broadcast(spark, tables):
+@pytest.mark.parametrize("limit", [0, 2, 5, 8])
+def test_landing_shuffle_membership_equals_broadcast(spark, tables, limit):
     a = X.landing(tables.fact, tables.leaves, LANDING_RULES, PERIOD, RUN_TS)
-    b = X.landing(tables.fact, tables.leaves, LANDING_RULES, PERIOD, RUN_TS, max_broadcast_rows=0)
+    b = X.landing(tables.fact, tables.leaves, LANDING_RULES, PERIOD, RUN_TS, max_broadcast_rows=limit)
     assert _rows(a) == _rows(b)
 
 
