@@ -86,7 +86,9 @@ def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None)
         lo = dt.datetime(period.year, period.month, 1)
         hi_month = period.month + 3
         hi = dt.datetime(period.year + (hi_month - 1) // 12, (hi_month - 1) % 12 + 1, 1)
-        li = li.filter((F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz")))
+        # wall-clock literals from text: independent of any time zone
+        lo_ts, hi_ts = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (lo, hi))
+        li = li.filter((F.col("l_shipdate") >= lo_ts) & (F.col("l_shipdate") < hi_ts))
     else:
         # A whole-table derivation is per-line work; when the source has fewer
         # splits than the session has cores (the driver's files are a single
