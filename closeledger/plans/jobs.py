@@ -91,9 +91,11 @@ def landing_load(
     def build_landing(_spark):
         return X.landing(ledger.fact, ledger.leaves, rules, period, run_ts, max_broadcast_rows=max_broadcast_rows)
 
+    # the control count runs first; the landing extract is reconciled with
+    # the count observed while it was written (computed once per run)
     return [
-        ExtractSpec("landing", build_landing, (landing_target,), control=control),
-        ExtractSpec("control_count", control, (count_target,)),
+        ExtractSpec("control_count", control, (count_target,), count_column="row_cnt"),
+        ExtractSpec("landing", build_landing, (landing_target,), control="control_count"),
     ]
 
 
@@ -115,8 +117,9 @@ def landing_files(
         return X.control_count(ledger.fact, ledger.leaves, rules, period, run_ts, ts_text=True, max_broadcast_rows=max_broadcast_rows)
 
     return [
-        ExtractSpec("landing", landing, _csv_targets(folders, "landing", X.CSV_NAMES["landing"], stamp), control=count),
-        ExtractSpec("control_count", count, _csv_targets(folders, "control_count", X.CSV_NAMES["control_count"], stamp)),
+        ExtractSpec("control_count", count, _csv_targets(folders, "control_count", X.CSV_NAMES["control_count"], stamp),
+                    count_column="row_cnt"),
+        ExtractSpec("landing", landing, _csv_targets(folders, "landing", X.CSV_NAMES["landing"], stamp), control="control_count"),
         ExtractSpec(
             "period_passthrough",
             lambda _s: X.period_passthrough(ledger.fact, period),

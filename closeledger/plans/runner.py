@@ -32,11 +32,16 @@ from closeledger.sinks.publish import publish
 
 @dataclass(frozen=True)
 class ExtractSpec:
+    """``control`` is either a builder of an independent control-count frame
+    (column ``row_cnt``), or the name of an earlier spec of the same run
+    whose written ``row_cnt`` was observed (``count_column="row_cnt"``)."""
+
     name: str
     build: Callable[[SparkSession], DataFrame]
     targets: Sequence = field(default_factory=tuple)
     high_water_column: str | None = None
-    control: Callable[[SparkSession], DataFrame] | None = None
+    control: Callable[[SparkSession], DataFrame] | str | None = None
+    count_column: str | None = None
 
     @staticmethod
     def from_sql(name: str, sql: str, args: Mapping | None = None, **kw) -> ExtractSpec:
@@ -53,25 +58,41 @@ class RunResult:
     high_water: dt.date | None
     elapsed_sec: float
     control_rows: int | None = None
+    counted: int | None = None  # observed value of ``count_column``
 
     @property
     def message(self) -> str:
         return f"Rowcount: {self.rows}"
 
 
-def run_spec(spark: SparkSession, spec: ExtractSpec, audit: AuditLog | None = None) -> RunResult:
+def run_spec(
+    spark: SparkSession,
+    spec: ExtractSpec,
+    audit: AuditLog | None = None,
+    earlier: Mapping[str, RunResult] | None = None,
+) -> RunResult:
     start = time.monotonic()
     try:
-        df, obs = observe_extract(spec.build(spark), spec.name, spec.high_water_column)
+        df, obs = observe_extract(spec.build(spark), spec.name, spec.high_water_column, spec.count_column)
         publish(spark, df, spec.targets)
         metrics = obs.get
         rows = int(metrics["rows"])
         control_rows = None
-        if spec.control is not None:
+        if isinstance(spec.control, str):
+            ref = (earlier or {}).get(spec.control)
+            if ref is None or ref.counted is None:
+                raise ValueError(f"{spec.name}: control spec {spec.control!r} has not run or counted nothing")
+            control_rows = ref.counted
+        elif spec.control is not None:
             first = spec.control(spark).select("row_cnt").first()
             control_rows = int(first[0]) if first is not None else 0
+        if control_rows is not None:
             check_reconciled(rows, control_rows)
-        result = RunResult(spec.name, rows, metrics.get("high_water"), time.monotonic() - start, control_rows)
+        counted = metrics.get("counted")
+        result = RunResult(
+            spec.name, rows, metrics.get("high_water"), time.monotonic() - start, control_rows,
+            int(counted) if counted is not None else None,
+        )
     except Exception as e:
         if audit is not None:
             audit.error(spark, f"{spec.name}: {type(e).__name__}: {e}"[:4000])
@@ -86,7 +107,12 @@ def run_spec(spark: SparkSession, spec: ExtractSpec, audit: AuditLog | None = No
 def run_all(spark: SparkSession, specs: Sequence[ExtractSpec], audit: AuditLog | None = None) -> list[RunResult]:
     """Run the specs in order; the first failure stops the run (after its
     error row is written)."""
-    results = [run_spec(spark, s, audit) for s in specs]
+    done: dict[str, RunResult] = {}
+    results = []
+    for s in specs:
+        r = run_spec(spark, s, audit, done)
+        done[s.name] = r
+        results.append(r)
     if audit is not None:
         total = sum(r.rows for r in results)
         elapsed = sum(r.elapsed_sec for r in results)

@@ -24,11 +24,17 @@ LOG_CLASS = "DataETL"
 AUDIT_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 
-def observe_extract(df: DataFrame, name: str, high_water_column: str | None = None) -> tuple[DataFrame, Observation]:
+def observe_extract(
+    df: DataFrame, name: str, high_water_column: str | None = None, count_column: str | None = None
+) -> tuple[DataFrame, Observation]:
+    """Row count, latest ``high_water_column`` and the sum of
+    ``count_column`` (the count carried by a control-count extract)."""
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
     if high_water_column is not None:
         metrics.append(F.max(F.col(f"`{high_water_column}`")).alias("high_water"))
+    if count_column is not None:
+        metrics.append(F.sum(F.col(f"`{count_column}`")).alias("counted"))
     return df.observe(obs, *metrics), obs
 
 
