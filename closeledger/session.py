@@ -27,6 +27,22 @@ LOCAL_CONF = {
 }
 
 
+# Settings for a large cluster run (1000 executors, a period slice of ~1 TB
+# out of a 100 TB ledger).  Shuffle partitions start high and AQE coalesces
+# them to ~256 MB; skewed join partitions are split; scan splits are 256 MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def local_session(master: str = "local[8]", app: str = "closeledger", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     for k, v in {**LOCAL_CONF, **(extra or {})}.items():
