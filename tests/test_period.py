@@ -81,3 +81,8 @@ def test_labels(spark):
     assert [r.title for r in rows][:3] == ["Jan", "Feb", "Mar"]
     assert {r.fy for r in rows} == {"FY2026"}
     assert [r.m for r in rows] == list(range(1, 13)) and {r.y for r in rows} == {2026}
+
+
+def test_default_run_date_is_today():
+    today = dt.date.today()
+    assert close_period_of() == close_period_of(today)
