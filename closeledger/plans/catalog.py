@@ -122,7 +122,7 @@ def q_hierarchy_inner_fanout(spark, d):
 
 def q_operator_fallback(spark, d):
     """Every operator id of the whole ledger with its display name."""
-    ids = td.ledger_fact(spark, d).select("oprid").distinct()
+    ids = td.ledger_fact(spark, d, spread=False).select("oprid").distinct()
     ops, _ = bounded_broadcast(td.operators(spark, d))
     return ids.join(ops, F.col("oprid") == F.col("employeeid"), "left").select(
         "oprid", F.coalesce(F.col("employeename"), F.col("oprid")).alias("user")
@@ -161,7 +161,7 @@ def q_close_period_20(spark, d):
 
 
 def q_month_labels(spark, d):
-    periods = td.ledger_fact(spark, d).select("drill_date").distinct()
+    periods = td.ledger_fact(spark, d, spread=False).select("drill_date").distinct()
     return periods.select(
         "drill_date",
         fiscal_year_label("drill_date").alias("fisc_yr"),

@@ -73,13 +73,14 @@ def _lpad_num(c, n: int):
     return F.lpad(c.cast("string"), n, "0")
 
 
-def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None) -> DataFrame:
+def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None, spread: bool = True) -> DataFrame:
     """The ledger fact (schema ``LEDGER_FACT``).
 
     ``drill_date`` is the quarter of the ship date.  When ``period`` is
     given, the equivalent ship-date range is added as a plain predicate so
     the Parquet reader can skip row groups (the derived table has no
-    directory partitions to prune).
+    directory partitions to prune).  ``spread`` allows spreading a
+    single-split source over the session's cores for whole-table use.
     """
     li = _table(spark, sf_dir, "lineitem")
     if period is not None:
@@ -89,7 +90,7 @@ def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None)
         # wall-clock literals from text: independent of any time zone
         lo_ts, hi_ts = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (lo, hi))
         li = li.filter((F.col("l_shipdate") >= lo_ts) & (F.col("l_shipdate") < hi_ts))
-    else:
+    elif spread:
         # A whole-table derivation is per-line work; when the source has fewer
         # splits than the session has cores (the driver's files are a single
         # Parquet row group, so one task would derive every line), spread the
@@ -212,7 +213,7 @@ def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posted_dates(spark: SparkSession, sf_dir: str, through: dt.date = FIXTURE_WATERMARK) -> DataFrame:
     """Posting days already extracted by earlier runs: every posting day of
     the fact up to ``through``."""
-    fact = ledger_fact(spark, sf_dir)
+    fact = ledger_fact(spark, sf_dir, spread=False)  # light per-line work: no shuffle
     return fact.select("posted_date").filter(F.col("posted_date") <= F.lit(through)).distinct()
 
 
