@@ -71,6 +71,12 @@ def q_landing_two_scan(spark, d):
     return X.landing(_fact(spark, d), _leaves(spark, d), LANDING_RULES, PERIOD, RUN_TS, single_pass=False)
 
 
+def q_landing_shuffle(spark, d):
+    """The landing extract with no broadcast allowed: membership by shuffle
+    joins (the path taken when a leaf set fails its size check)."""
+    return X.landing(_fact(spark, d), _leaves(spark, d), LANDING_RULES, PERIOD, RUN_TS, max_broadcast_rows=0)
+
+
 def q_segment_a(spark, d):
     return X.landing(_fact(spark, d), _leaves(spark, d), (SEGMENT_A,), PERIOD, RUN_TS)
 
@@ -133,6 +139,14 @@ def q_journal_summary(spark, d):
     return X.journal_summary(_fact(spark, d), _leaves(spark, d), td.operators(spark, d), JOURNAL_SCOPE, PERIOD, RUN_TS)
 
 
+def q_journal_summary_shuffle(spark, d):
+    """The journal summary with no broadcast allowed: lines pre-aggregated to
+    groups, then shuffle joins to the leaf table and the operators."""
+    return X.journal_summary(
+        _fact(spark, d), _leaves(spark, d), td.operators(spark, d), JOURNAL_SCOPE, PERIOD, RUN_TS, max_broadcast_rows=0
+    )
+
+
 def q_journal_detail(spark, d):
     return X.journal_detail(_fact(spark, d), _leaves(spark, d), td.operators(spark, d), JOURNAL_SCOPE, PERIOD, RUN_TS)
 
@@ -219,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_b": q_segment_b,
     "landing": q_landing,
     "landing_two_scan": q_landing_two_scan,
+    "landing_shuffle": q_landing_shuffle,
     "landing_line": q_landing_line,
     "landing_line_posted": q_landing_line_posted,
     "control_count": q_control_count,
@@ -229,6 +244,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hierarchy_inner_fanout": q_hierarchy_inner_fanout,
     "operator_fallback": q_operator_fallback,
     "journal_summary": q_journal_summary,
+    "journal_summary_shuffle": q_journal_summary_shuffle,
     "journal_detail": q_journal_detail,
     "watermark_scalar": q_watermark_scalar,
     "journal_watermarked": q_journal_watermarked,

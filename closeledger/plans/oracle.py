@@ -115,6 +115,16 @@ def _sql(body: str) -> str:
     return LEDGER_CTE + body
 
 
+JOURNAL_SUMMARY = f"""
+SELECT 'A'||account gl_acct, ledger lgr, 'FY'||cast(year(drill_date) as varchar) fisc_yr,
+  substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(drill_date)*3-2, 3) mo,
+  'J'||project_id ucmg_id, cast(sum(amount) as decimal(38,4)) amt, {RUN_TS_TEXT} insrt_on,
+  business_unit unit, operating_unit oper_unit, location, deptid dept, reversal_cd,
+  {USER} "user", journal_id, posted_date
+{JOURNAL_FROM}
+GROUP BY account, ledger, drill_date, project_id, business_unit, operating_unit, location, deptid,
+  reversal_cd, journal_id, posted_date, {USER}"""
+
 ORACLE: dict[str, str] = {
     "close_period_12": """
 SELECT run_date, cast(CASE WHEN day(run_date) <= 12 THEN date_trunc('month', run_date - INTERVAL 1 MONTH)
@@ -138,6 +148,7 @@ FROM fx GROUP BY account"""),
     "segment_b": _sql(_landing_branch("B", SEG_B_WHERE)),
     "landing": _sql(LANDING),
     "landing_two_scan": _sql(LANDING),
+    "landing_shuffle": _sql(LANDING),
     "landing_line": _sql(_line_branch("A", SEG_A_WHERE, False) + "\nUNION ALL\n" + _line_branch("B", SEG_B_LINE_WHERE, False)),
     "landing_line_posted": _sql(_line_branch("A", SEG_A_WHERE, True) + "\nUNION ALL\n" + _line_branch("B", SEG_B_LINE_WHERE, True)),
     "control_count": _sql(CONTROL),
@@ -155,15 +166,8 @@ WHERE a.ledger = 'GAAP' AND a.drill_date = {PERIOD} AND a.project_id LIKE '1%'""
     "operator_fallback": _sql("""
 SELECT i.oprid, CASE WHEN c.employeename IS NULL THEN i.oprid ELSE c.employeename END "user"
 FROM (SELECT DISTINCT oprid FROM fx) i LEFT JOIN op c ON i.oprid = c.employeeid"""),
-    "journal_summary": _sql(f"""
-SELECT 'A'||account gl_acct, ledger lgr, 'FY'||cast(year(drill_date) as varchar) fisc_yr,
-  substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(drill_date)*3-2, 3) mo,
-  'J'||project_id ucmg_id, cast(sum(amount) as decimal(38,4)) amt, {RUN_TS_TEXT} insrt_on,
-  business_unit unit, operating_unit oper_unit, location, deptid dept, reversal_cd,
-  {USER} "user", journal_id, posted_date
-{JOURNAL_FROM}
-GROUP BY account, ledger, drill_date, project_id, business_unit, operating_unit, location, deptid,
-  reversal_cd, journal_id, posted_date, {USER}"""),
+    "journal_summary": _sql(JOURNAL_SUMMARY),
+    "journal_summary_shuffle": _sql(JOURNAL_SUMMARY),
     "journal_detail": _sql(f"""
 SELECT 'A'||account gl_acct, ledger lgr, 'FY'||cast(year(drill_date) as varchar) fisc_yr,
   substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(drill_date)*3-2, 3) mo,

@@ -14,9 +14,11 @@ GOLDEN = {
     "segment_b": (19, 149),
     "landing": (32, 353),
     "landing_two_scan": (32, 353),
+    "landing_shuffle": (32, 353),
     "landing_line": (60, 634),
     "landing_line_posted": (65, 714),
     "journal_summary": (49, 627),
+    "journal_summary_shuffle": (49, 627),
     "journal_detail": (49, 695),
     "journal_watermarked": (38, 413),
     "hierarchy_semi": (50, 696),
