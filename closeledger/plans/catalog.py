@@ -19,10 +19,11 @@ from closeledger.functions.period import (
     fiscal_year_label,
     month_label,
 )
+from closeledger.operators.balances import balance, nonzero
 from closeledger.operators.control import reconcile
 from closeledger.operators.dimension import bounded_broadcast
 from closeledger.operators.hierarchy import duplicate_leaves, in_hierarchy, join_leaves
-from closeledger.operators.rules import HierarchyRef, SegmentRule
+from closeledger.operators.rules import FLAG, HierarchyRef, SegmentRule, tag_segments
 from closeledger.operators.watermark import watermark_frame
 from closeledger.plans import extracts as X
 from closeledger.sources import testdata as td
@@ -205,8 +206,6 @@ def q_string_range(spark, d):
 
 def q_nonzero_balance(spark, d):
     """Every period: landing-grain balances whose rounded sum is not zero."""
-    from closeledger.operators.balances import balance, nonzero
-
     return nonzero(balance(td.ledger_fact(spark, d), X.LANDING_KEYS))
 
 
@@ -220,8 +219,19 @@ def q_duplicate_leaf_check(spark, d):
     return duplicate_leaves(_leaves(spark, d))
 
 
+def stored_counts(spark: SparkSession, d: str, rules=LANDING_RULES) -> DataFrame:
+    """The stored control-count table as earlier runs would have filled it:
+    one row per period of the ledger, ``(insrt_on, row_cnt)``, stamped with
+    the 5th of the following month (a run date that closes that period)."""
+    tagged = tag_segments(td.ledger_fact(spark, d), td.leaves(spark, d), rules)
+    groups = nonzero(balance(tagged, [FLAG, *X.LANDING_KEYS]))
+    return groups.groupBy("drill_date").agg(F.count(F.lit(1)).alias("row_cnt")).select(
+        F.date_add(F.add_months("drill_date", 1), 4).alias("insrt_on"), "row_cnt"
+    )
+
+
 def q_stored_count(spark, d):
-    return X.stored_count(td.stored_counts(spark, d, LANDING_RULES))
+    return X.stored_count(stored_counts(spark, d))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

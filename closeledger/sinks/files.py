@@ -97,6 +97,11 @@ class CsvTarget:
     single_file: bool = False
     crlf: bool = False
 
+    @property
+    def holds_only_this_run(self) -> bool:
+        # written in overwrite mode and readable back by name
+        return bool(self.names)
+
     def write(self, df: DataFrame) -> None:
         write_csv(df, self.path, list(self.names) if self.names else None, "overwrite", self.single_file, self.crlf)
 
@@ -111,9 +116,14 @@ class ParquetTarget:
     path: str
     partition_by: tuple[str, ...] = ()
     replace_partitions: bool = False
+    mode: str = "append"
+
+    @property
+    def holds_only_this_run(self) -> bool:
+        return self.mode == "overwrite" and not self.replace_partitions
 
     def write(self, df: DataFrame) -> None:
-        write_parquet(df, self.path, list(self.partition_by) or None, self.replace_partitions)
+        write_parquet(df, self.path, list(self.partition_by) or None, self.replace_partitions, self.mode)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)

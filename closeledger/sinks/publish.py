@@ -1,10 +1,14 @@
 """Publish one extract to several targets.
 
-The extract is computed and written once, to the first target; every other
-target receives a copy read back from that stored first target, so the
-extract is never recomputed and all targets hold the same rows even though
-the load timestamp or a late-arriving fact row could differ between two
-computations.
+The extract is computed once.  When the first target holds exactly this
+run's output (a CSV folder or a Parquet path written in overwrite mode),
+the others are copied from that stored first target.  When it does not (an
+append-mode table also holds earlier runs), the extract is checkpointed to
+the cluster's checkpoint folder (``spark.checkpoint.dir``) and every target
+is written from the checkpoint.  Either way all targets receive the same
+rows, even though the load timestamp or a late fact row could differ
+between two computations, and a lost executor never forces the extract to
+be recomputed for the later targets.
 """
 
 from __future__ import annotations
@@ -15,14 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def publish(spark: SparkSession, df: DataFrame, targets: Sequence) -> list:
-    """Write ``df`` to ``targets[0]`` and copy it to the rest; returns the
-    targets written."""
+    """Write ``df`` to every target, computing it once; returns the targets."""
     if not targets:
         raise ValueError("no targets")
     first, rest = targets[0], list(targets[1:])
-    first.write(df)
-    if rest:
+    if not rest:
+        first.write(df)
+    elif getattr(first, "holds_only_this_run", False):
+        first.write(df)
         stored = first.read(spark)
         for t in rest:
             t.write(stored)
+    else:
+        stored = df.checkpoint(eager=True)
+        for t in targets:
+            t.write(stored)
     return list(targets)

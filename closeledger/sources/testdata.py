@@ -233,17 +233,3 @@ def ledger_tables(spark: SparkSession, sf_dir: str, period: dt.date | None = Non
         posted_dates=posted_dates(spark, sf_dir),
     )
 
-
-def stored_counts(spark: SparkSession, sf_dir: str, rules) -> DataFrame:
-    """The stored control-count table as earlier runs would have filled it:
-    one row per period of the ledger, ``(insrt_on, row_cnt)``, stamped with
-    the 5th of the following month (a run date that closes that period)."""
-    from closeledger.operators.balances import balance, nonzero
-    from closeledger.operators.rules import FLAG, tag_segments
-    from closeledger.plans.extracts import LANDING_KEYS
-
-    tagged = tag_segments(ledger_fact(spark, sf_dir), leaves(spark, sf_dir), rules)
-    groups = nonzero(balance(tagged, [FLAG, *LANDING_KEYS]))
-    return groups.groupBy("drill_date").agg(F.count(F.lit(1)).alias("row_cnt")).select(
-        F.date_add(F.add_months("drill_date", 1), 4).alias("insrt_on"), "row_cnt"
-    )

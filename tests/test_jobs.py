@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_SMALL
 
 from closeledger import cli
-from closeledger.plans.catalog import LANDING_RULES, SEGMENT_A, SEGMENT_B
+from closeledger.plans.catalog import LANDING_RULES, SEGMENT_A, SEGMENT_B, stored_counts
 from closeledger.plans.extracts import CSV_NAMES
 from closeledger.sinks.files import read_csv
 from closeledger.sources import testdata as td
@@ -30,7 +30,7 @@ def stored(spark, tmp_path_factory):
     td.ledger_fact(spark, SF_SMALL).write.partitionBy("drill_date").parquet(f"{root}/fact")
     td.leaves(spark, SF_SMALL).write.parquet(f"{root}/leaves")
     td.operators(spark, SF_SMALL).write.parquet(f"{root}/operators")
-    td.stored_counts(spark, SF_SMALL, LANDING_RULES).write.parquet(f"{root}/stored_counts")
+    stored_counts(spark, SF_SMALL).write.parquet(f"{root}/stored_counts")
     td.posted_dates(spark, SF_SMALL).write.parquet(f"{root}/posted_dates")
     return root
 

@@ -149,3 +149,14 @@ def test_spec_from_sql_binds_parameters(spark, scratch):
         targets=(ParquetTarget(f"{scratch}/pt"),),
     )
     assert run_spec(spark, spec).rows == 1
+
+
+def test_publish_from_append_table_uses_a_checkpoint(spark, scratch):
+    # the first target is an append-mode table that already holds an earlier
+    # run; the other targets must receive this run's rows only
+    first = ParquetTarget(f"{scratch}/hist")
+    first.write(spark.range(5).withColumnRenamed("id", "x"))
+    second = ParquetTarget(f"{scratch}/copy", mode="overwrite")
+    publish(spark, spark.range(3).withColumnRenamed("id", "x"), [first, second])
+    assert spark.read.parquet(first.path).count() == 8
+    assert sorted(r.x for r in spark.read.parquet(second.path).collect()) == [0, 1, 2]
