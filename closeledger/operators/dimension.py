@@ -12,9 +12,13 @@ actually carry (``restrict_to_used``: a distinct of the fact's join key,
 partially aggregated before its small shuffle, semi-joined with the side)
 and counted again: a department tree with millions of leaves still meets
 only the departments that post in the period.  Only if that is still too
-large does the join go without the hint: a shuffle join on which AQE may
-split skewed partitions, and which the journal extracts precede with an
-exact pre-aggregation so it moves groups, not lines.
+large does the join go without the hint, as a **salted** shuffle join
+(``salted_join``): each line gets a deterministic salt from a hash of its
+columns and the dimension side is replicated once per salt value, so a key
+holding a third of the lines is spread over ``SALT_BUCKETS`` join
+partitions instead of landing in one task.  The journal extracts also
+pre-aggregate lines to groups before such a join (exact for sums), so it
+moves groups, not lines.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 # Rows of a narrow key table (a code and a flag or a name) that we are willing
 # to ship to every executor.  At ~100 bytes a row this is ~50 MB.
 DEFAULT_BROADCAST_ROWS = 500_000
+# Join partitions a hot key is spread over on the shuffle-join path.
+SALT_BUCKETS = 32
 
 
 def bounded(sides: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
@@ -83,3 +89,25 @@ def broadcast_or_restrict(
         for i, ok in zip(large, recheck):
             out[i] = (cut[i], ok)
     return [(hint(s, ok), ok) for s, ok in out]
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    condition,
+    how: str,
+    buckets: int = SALT_BUCKETS,
+) -> DataFrame:
+    """Shuffle join of ``left`` (many lines, possibly a hot key) with
+    ``right`` (a dimension too large to broadcast) on ``condition``.
+
+    The salt of a line is ``pmod(xxhash64(all its columns), buckets)``:
+    deterministic, so a retried task sends every line to the same partition.
+    Each right row is repeated for every salt value; as the condition also
+    requires equal salts, each (line, dimension row) pair still meets
+    exactly once, so inner, left and left-semi results are unchanged.
+    """
+    salted_left = left.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)))
+    salted_right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    joined = salted_left.join(salted_right.hint("merge"), condition & (F.col("__salt") == F.col("__salt_r")), how)
+    return joined.drop("__salt", "__salt_r")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeledger.functions.labels import tag
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, bounded_broadcast, hint
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, bounded_broadcast, hint, salted_join
 
 
 def leaf_set(leaves: DataFrame, node: str, tree: str | None = None, distinct: bool = True) -> DataFrame:
@@ -48,8 +48,12 @@ def member_flag(
     probe = f"__leaf_{flag}"
     side = members.select(F.col("leaf").alias(probe)).distinct().withColumn(flag, F.lit(True))
     # the hint is re-applied after the distinct (a hint on the input of an
-    # aggregate does not reach the join)
-    joined = df.join(hint(side, small), key == F.col(probe), "left").drop(probe)
+    # aggregate does not reach the join); an unproven side is joined salted
+    if small:
+        joined = df.join(hint(side, True), key == F.col(probe), "left")
+    else:
+        joined = salted_join(df, side, key == F.col(probe), "left")
+    joined = joined.drop(probe)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -38,7 +38,7 @@ from closeledger.functions.labels import (
 from closeledger.functions.period import calendar_month, calendar_year, fiscal_year_label, month_label
 from closeledger.operators.balances import balance, nonzero
 from closeledger.operators.control import row_count
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict, salted_join
 from closeledger.operators.hierarchy import leaf_set
 from closeledger.operators.rules import FLAG, SegmentRule, tag_segments, tag_segments_union
 from closeledger.operators.watermark import up_to, watermark_bound
@@ -251,8 +251,11 @@ def journal_balances(
         pre_keys = list(dict.fromkeys([*keys, scope.unit_column, "oprid"]))
         lines = lines.groupBy(*pre_keys).agg(F.sum("amount").alias("amount"))
 
-    joined = lines.join(units, unit_key == F.col("__leaf"), "inner")
-    joined = joined.join(ops, F.col("oprid") == F.col("__opid"), "left")
+    def join(left, right, cond, how, small):
+        return left.join(right, cond, how) if small else salted_join(left, right, cond, how)
+
+    joined = join(lines, units, unit_key == F.col("__leaf"), "inner", units_small)
+    joined = join(joined, ops, F.col("oprid") == F.col("__opid"), "left", ops_small)
     user = F.coalesce(F.col("__opname"), F.col("oprid")).alias("user")
     return joined.groupBy(*keys, user).agg(F.sum("amount").cast(MONEY_SUM).alias("amt"))
 
