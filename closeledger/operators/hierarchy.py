@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeledger.functions.labels import tag
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, bounded_broadcast, hint, salted_join
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, broadcast_or_restrict, hint, salted_join
 
 
 def leaf_set(leaves: DataFrame, node: str, tree: str | None = None, distinct: bool = True) -> DataFrame:
@@ -57,6 +57,14 @@ def member_flag(
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def _join_leaf_side(df: DataFrame, key: Column, side: DataFrame, side_key: str, how: str, max_broadcast_rows: int) -> DataFrame:
+    """Join ``df`` to a leaf side: broadcast when proven small (possibly
+    after cutting it to the codes ``df`` uses), else salted."""
+    [(side, small)] = broadcast_or_restrict([side], [side_key], [key], df, max_broadcast_rows)
+    cond = key == F.col(side_key)
+    return df.join(side, cond, how) if small else salted_join(df, side, cond, how)
+
+
 def in_hierarchy(
     df: DataFrame,
     column: str,
@@ -67,8 +75,8 @@ def in_hierarchy(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows whose tagged code is a leaf under ``node`` (left semi join)."""
-    side, _ = bounded_broadcast(leaf_set(leaves, node, tree), max_broadcast_rows)
-    return df.join(side, tag(letter, df[column]) == side["leaf"], "left_semi")
+    side = leaf_set(leaves, node, tree).select(F.col("leaf").alias("__leaf"))
+    return _join_leaf_side(df, tag(letter, df[column]), side, "__leaf", "left_semi", max_broadcast_rows)
 
 
 def join_leaves(
@@ -82,8 +90,7 @@ def join_leaves(
 ) -> DataFrame:
     """Inner join on the leaf table: one output row per (fact row, listing)."""
     side = leaf_set(leaves, node, tree, distinct=False).select(F.col("leaf").alias("__leaf"))
-    side, _ = bounded_broadcast(side, max_broadcast_rows)
-    return df.join(side, tag(letter, df[column]) == F.col("__leaf"), "inner").drop("__leaf")
+    return _join_leaf_side(df, tag(letter, df[column]), side, "__leaf", "inner", max_broadcast_rows).drop("__leaf")
 
 
 def duplicate_leaves(leaves: DataFrame) -> DataFrame:

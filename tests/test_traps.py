@@ -44,9 +44,10 @@ def test_predicates_use_raw_values(spark):
 
 def test_semi_join_never_multiplies_inner_join_does(spark):
     # T-4: S01000 is listed twice under OPER_GROUP (two trees)
-    f = fact(spark, [{"operating_unit": "01000"}])
-    assert in_hierarchy(f, "operating_unit", "S", leaves(spark), "OPER_GROUP").count() == 1
-    assert join_leaves(f, "operating_unit", "S", leaves(spark), "OPER_GROUP").count() == 2
+    f = fact(spark, [{"operating_unit": "01000"}, {"operating_unit": "03000"}])
+    for limit in (500_000, 1, 0):  # broadcast, cut to used codes, salted shuffle
+        assert in_hierarchy(f, "operating_unit", "S", leaves(spark), "OPER_GROUP", max_broadcast_rows=limit).count() == 1
+        assert join_leaves(f, "operating_unit", "S", leaves(spark), "OPER_GROUP", max_broadcast_rows=limit).count() == 2
     # membership through a duplicated leaf (D220210 listed twice) keeps one row
     b = landing(spark, [segment_b_row(deptid="220210")], (SEGMENT_B,)).collect()
     assert len(b) == 1 and b[0].amt == Decimal("1.0000")
