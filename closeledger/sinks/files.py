@@ -6,6 +6,9 @@ kept, line feeds inside fields kept, ``\\n`` between records (``\\r\\n`` on
 request).  Spark's CSV defaults differ on escape (``\\``) and on blanks
 (trimmed), so the options are set explicitly.
 
+With ``crlf=True`` Spark's writer also turns a line feed *inside* a quoted
+field into ``\r\n``; the default ``\n`` keeps field text unchanged.
+
 A CSV extract is a directory of part files written in parallel, one header
 per part.  ``single_file=True`` coalesces to one writer task and is meant
 for small aggregates only (a control count, a landing extract); never for a
