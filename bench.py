@@ -2,7 +2,7 @@
 
 Runs each headline query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]``: a warm-up pass over all queries, then the
-median wall time of three runs each (plan build plus execution).  A run
+median wall time of five runs each (plan build plus execution).  A run
 executes the whole plan into Spark's ``noop`` sink (no collect to the
 driver).  A second session with the event log on (in a fresh scratch
 folder) runs each query once for its shuffle bytes; the fact scans are
@@ -42,7 +42,7 @@ HEADLINE = [
 # the same extracts over the ledger stored as Parquet partitioned by period
 # (the production layout: the period filter prunes to one partition)
 STORED = ["landing", "landing_line_posted", "journal_summary", "journal_detail", "journal_watermarked", "period_passthrough"]
-RUNS = 3
+RUNS = 5
 
 
 def _shuffle_bytes(event_dir: str) -> dict[str, int]:
@@ -119,7 +119,23 @@ def _stored_bench(spark, sf_dir: str, scratch: str) -> dict[str, float]:
         build(name).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
+    def publish_csv(name):
+        # the extract written as quoted CSV to two targets (the second copied
+        # from the first), as the file jobs do
+        from closeledger.sinks.files import CsvTarget
+        from closeledger.sinks.publish import publish
+
+        df = build(name)
+        names = tuple(c.replace("oper_unit", "oper unit") for c in df.columns)
+        out_dir = tempfile.mkdtemp(prefix=f"csv-{name}-", dir=scratch)
+        t = time.perf_counter()
+        publish(spark, df, [CsvTarget(f"{out_dir}/a", names), CsvTarget(f"{out_dir}/b", names)])
+        return time.perf_counter() - t
+
     out = {"write_ledger_once": round(write_sec, 3)}
+    for name in ("landing", "period_passthrough"):
+        publish_csv(name)
+        out[f"publish_csv_2_targets:{name}"] = round(statistics.median(publish_csv(name) for _ in range(RUNS)), 3)
     for name in STORED:
         run(name)
     for name in STORED:

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from closeledger.functions.period import run_date_stamp
 from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS
 from closeledger.operators.rules import SegmentRule
 from closeledger.plans import extracts as X
@@ -107,7 +108,7 @@ def landing_files(
     folders: list[str],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> list[ExtractSpec]:
-    stamp = run_ts.strftime("%Y-%m-%d")
+    stamp = run_date_stamp(run_ts.date())
     passthrough_names = [c.lower() for c in ledger.fact.columns]
 
     def landing(_spark):
@@ -138,7 +139,7 @@ def journal_files(
 ) -> list[ExtractSpec]:
     if ledger.operators is None or ledger.stored_counts is None:
         raise ValueError("journal_files needs the operator dimension and the stored counts")
-    stamp = run_ts.strftime("%Y-%m-%d")
+    stamp = run_date_stamp(run_ts.date())
     return [
         ExtractSpec(
             "journal_summary",
@@ -168,7 +169,7 @@ def journal_incremental(
 ) -> list[ExtractSpec]:
     if ledger.operators is None or ledger.posted_dates is None:
         raise ValueError("journal_incremental needs the operator dimension and the posted-dates table")
-    stamp = run_ts.strftime("%Y-%m-%d")
+    stamp = run_date_stamp(run_ts.date())
     return [
         ExtractSpec(
             "journal_watermarked",
