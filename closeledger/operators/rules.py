@@ -109,8 +109,10 @@ def tag_segments(
 
     if len(rules) == 1 and not refs:
         return out.withColumn(FLAG, F.lit(rules[0].flag))
-    flags = F.array_compact(F.array(*[F.when(full(r), F.lit(r.flag)) for r in rules]))
-    return out.withColumn(FLAG, F.explode(flags)).drop(*flag_of.values())
+    # one candidate per rule (NULL when the rule does not match), exploded
+    # and filtered: all of it stays in generated code (no lambda functions)
+    flags = F.array(*[F.when(full(r), F.lit(r.flag)) for r in rules])
+    return out.withColumn(FLAG, F.explode(flags)).filter(F.col(FLAG).isNotNull()).drop(*flag_of.values())
 
 
 def tag_one(
