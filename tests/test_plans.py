@@ -92,3 +92,34 @@ def test_large_leaf_set_is_cut_to_used_codes_then_broadcast(spark):
     assert text.count("BroadcastHashJoin LeftOuter") == 1, text  # department flag join
     assert text.count("SortMergeJoin LeftOuter") == 1, text  # project flag join
     assert df.count() == 32
+
+
+def test_ledger_layout_clusters_codes_and_prunes(spark, scratch):
+    from closeledger.sinks.files import write_ledger_fact
+
+    path = f"{scratch}/fact"
+    write_ledger_fact(td.ledger_fact(spark, SF_SMALL), path, num_partitions=256)
+    import glob
+
+    period_files = glob.glob(f"{path}/drill_date=1998-04-01/*.parquet")
+    assert len(period_files) > 1  # a period is spread over several files
+    stored = spark.read.parquet(path)
+    df = X.landing(stored, td.leaves(spark, SF_SMALL), LANDING_RULES, PERIOD, RUN_TS)
+    text = plan(df)
+    assert "PartitionFilters: [isnotnull(drill_date" in text
+    assert "EqualTo(business_unit,20020)" in text
+    assert df.count() == 32
+    # files are contiguous bands of the range key: rows sorted inside each
+    # file, and a (business unit, operating unit) combination spans files
+    # only at band edges
+    import pyarrow.parquet as pq
+
+    pairs, combos = 0, set()
+    for f in period_files:
+        t = pq.read_table(f, columns=["business_unit", "operating_unit", "account"]).to_pylist()
+        keys = [(r["business_unit"], r["operating_unit"], r["account"]) for r in t]
+        assert keys == sorted(keys, key=lambda k: tuple("" if v is None else v for v in k))
+        file_combos = {k[:2] for k in keys}
+        pairs += len(file_combos)
+        combos |= file_combos
+    assert pairs <= len(period_files) + len(combos) - 1
