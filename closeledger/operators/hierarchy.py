@@ -102,3 +102,32 @@ def duplicate_leaves(leaves: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("listings"), F.countDistinct("treecd").alias("trees"))
         .filter(F.col("listings") > 1)
     )
+
+
+# Which fact column a leaf's type letter refers to.
+LEAF_COLUMNS = {"D": "deptid", "J": "project_id", "S": "operating_unit"}
+
+
+def duplicate_leaf_impact(
+    fact: DataFrame,
+    leaves: DataFrame,
+    columns: dict[str, str] | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """``duplicate_leaves`` plus ``lines``: the fact lines carrying each
+    duplicated leaf code (the lines whose amounts an inner join on the leaf
+    table multiplies).  One scan of the fact: its tagged codes are exploded
+    into one column and joined to the (size-checked) duplicates, and the
+    count is partially aggregated before its shuffle."""
+    columns = columns or LEAF_COLUMNS
+    dups = duplicate_leaves(leaves)
+    codes = fact.select(F.explode(F.array(*[tag(letter, F.col(c)) for letter, c in columns.items()])).alias("__code"))
+    codes = codes.filter(F.col("__code").isNotNull())
+    keys = dups.select(F.col("leaf").alias("__dup")).distinct()
+    [(keys, small)] = broadcast_or_restrict([keys], ["__dup"], [F.col("__code")], codes, max_broadcast_rows)
+    cond = F.col("__code") == F.col("__dup")
+    hits = codes.join(keys, cond, "inner") if small else salted_join(codes, keys, cond, "inner")
+    lines = hits.groupBy(F.col("__dup").alias("leaf")).agg(F.count(F.lit(1)).alias("lines"))
+    return dups.join(lines, "leaf", "left").select(
+        "node", "leaf", "listings", "trees", F.coalesce(F.col("lines"), F.lit(0)).alias("lines")
+    )

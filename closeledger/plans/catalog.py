@@ -22,7 +22,7 @@ from closeledger.functions.period import (
 from closeledger.operators.balances import balance, nonzero
 from closeledger.operators.control import reconcile
 from closeledger.operators.dimension import bounded_broadcast
-from closeledger.operators.hierarchy import duplicate_leaves, in_hierarchy, join_leaves
+from closeledger.operators.hierarchy import duplicate_leaf_impact, in_hierarchy, join_leaves
 from closeledger.operators.rules import FLAG, HierarchyRef, SegmentRule, tag_segments
 from closeledger.operators.watermark import watermark_frame
 from closeledger.plans import extracts as X
@@ -216,7 +216,9 @@ def q_csv_text_view(spark, d):
 
 
 def q_duplicate_leaf_check(spark, d):
-    return duplicate_leaves(_leaves(spark, d))
+    """Leaves listed twice under one node, with the ledger lines (all
+    periods) that carry each such code."""
+    return duplicate_leaf_impact(td.ledger_fact(spark, d, spread=False), _leaves(spark, d))
 
 
 def stored_counts(spark: SparkSession, d: str, rules=LANDING_RULES) -> DataFrame:

@@ -196,9 +196,12 @@ SELECT coalesce(gl_acct,'') gl_acct, coalesce(lgr,'') lgr, coalesce(fisc_yr,'')
   coalesce(ucmg_id,'') ucmg_id, coalesce(cast(amt as varchar),'') amt, coalesce(insrt_on,'') insrt_on,
   coalesce(bu,'') bu, coalesce(ou,'') ou, coalesce(loc,'') loc, coalesce(dept,'') dept, coalesce(bus_flg,'') bus_flg
 FROM ({LANDING_TEXT_TS}) t"""),
-    "duplicate_leaf_check": _sql("""
+    "duplicate_leaf_check": _sql(""", d AS (
 SELECT node, leaf, count(*) listings, count(DISTINCT treecd) trees FROM leaves
-GROUP BY node, leaf HAVING count(*) > 1"""),
+GROUP BY node, leaf HAVING count(*) > 1),
+codes AS (SELECT 'D'||deptid code FROM fx UNION ALL SELECT 'J'||project_id FROM fx UNION ALL SELECT 'S'||operating_unit FROM fx),
+n AS (SELECT code, count(*) lines FROM codes WHERE code IS NOT NULL GROUP BY code)
+SELECT d.node, d.leaf, d.listings, d.trees, coalesce(n.lines, 0) lines FROM d LEFT JOIN n ON d.leaf = n.code"""),
     "stored_count": _sql(f"""
 SELECT cast(drill_date + INTERVAL 1 MONTH AS date) + 4 insert_on, count(*) row_cnt FROM (
 {_count_branch(SEG_A_WHERE, period=False)}

@@ -7,7 +7,7 @@ from ledger_rows import RUN_TS, P, fact, leaves, operators, segment_b_row
 from pyspark.sql import functions as F
 
 from closeledger.operators.balances import balance, nonzero
-from closeledger.operators.hierarchy import duplicate_leaves, in_hierarchy, join_leaves
+from closeledger.operators.hierarchy import duplicate_leaf_impact, duplicate_leaves, in_hierarchy, join_leaves
 from closeledger.operators.rules import SegmentRule, tag_segments
 from closeledger.operators.watermark import EMPTY_WATERMARK, watermark_frame
 from closeledger.plans import extracts as X
@@ -167,3 +167,11 @@ def test_period_filter(spark):
     assert landing(spark, rows).count() == 1
     assert X.period_passthrough(fact(spark, rows), P).count() == 1
     assert X.period_passthrough(fact(spark, rows), F.lit(P)).columns == [c.lower() for c in fact(spark, rows).columns]
+
+
+def test_duplicate_leaf_impact_counts_affected_lines(spark):
+    f = fact(spark, [{"operating_unit": "01000"}, {"operating_unit": "01000", "deptid": "220301"}, {"deptid": None}])
+    for limit in (500_000, 1, 0):  # broadcast, cut to used codes, salted
+        got = {(r.node, r.leaf): (r.listings, r.trees, r.lines) for r in duplicate_leaf_impact(f, leaves(spark), max_broadcast_rows=limit).collect()}
+        # S01000: two lines; D220210: the one line with the default dept
+        assert got == {("OPER_GROUP", "S01000"): (2, 2, 2), ("DEPT_ROOT", "D220210"): (2, 1, 1)}
