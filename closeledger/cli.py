@@ -15,6 +15,8 @@ shared by every extract of the run.  Config keys:
     line_segments  same shape; defaults to ``segments``
     journal_scope  {node, ledger, project_prefix, tree}
     folders        output folders for file jobs
+    stage_period   landing-files: checkpoint the period slice once (for a
+                   fact not partitioned by period)
     landing_table, count_table   targets of landing-load: a path (Parquet,
                    appended) or {"jdbc": url, "table": t, "properties": {...}}
     audit          path of the audit table (Parquet), optional
@@ -87,7 +89,7 @@ def build_specs(spark: SparkSession, job: str, cfg: dict, run_date: dt.date, run
             line_grain=line, with_posted_date=bool(cfg.get("with_posted_date", False)),
         )
     if job == "landing-files":
-        return jobs.landing_files(ledger, segments, period, run_ts, folders)
+        return jobs.landing_files(ledger, segments, period, run_ts, folders, stage=bool(cfg.get("stage_period", False)))
     if job == "journal-files":
         return jobs.journal_files(ledger, scope, period, run_ts, folders)
     if job == "journal-incremental":

@@ -107,7 +107,13 @@ def landing_files(
     run_ts: dt.datetime,
     folders: list[str],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    stage: bool = False,
 ) -> list[ExtractSpec]:
+    """Landing file, its control count and the period pass-through.  All
+    three read the period slice; ``stage=True`` checkpoints that slice once
+    (``staged``), for a fact that is not partitioned by period."""
+    if stage:
+        ledger = staged(ledger, period)
     stamp = run_date_stamp(run_ts.date())
     passthrough_names = [c.lower() for c in ledger.fact.columns]
 

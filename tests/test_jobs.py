@@ -74,6 +74,12 @@ def test_landing_files_job(spark, stored, scratch, capsys):
     assert sorted(r.message for r in log if r.message.startswith("Rowcount")) == ["Rowcount: 1", "Rowcount: 308", "Rowcount: 32"]
 
 
+def test_landing_files_job_staged(spark, stored, scratch, capsys):
+    cfg = _config(stored, scratch, stage_period=True)
+    res = {r["extract"]: r for r in _run(capsys, "landing-files", "--config", cfg, "--run-date", "1998-05-05")}
+    assert (res["landing"]["rows"], res["control_count"]["rows"], res["period_passthrough"]["rows"]) == (32, 1, 308)
+
+
 def test_journal_jobs(spark, stored, scratch, capsys):
     cfg = _config(stored, scratch)
     res = {r["extract"]: r for r in _run(capsys, "journal-files", "--config", cfg, "--run-date", "1998-05-05")}
