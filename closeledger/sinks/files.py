@@ -80,11 +80,14 @@ def write_parquet(
     partition_by: list[str] | None = None,
     replace_partitions: bool = False,
     mode: str = "append",
+    max_records_per_file: int | None = None,
 ) -> None:
     """Append (default) or replace only the partitions present in ``df``
     (dynamic partition overwrite: re-running one period rewrites that period
     and leaves the others alone)."""
     w = df.write
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if replace_partitions:
@@ -143,6 +146,7 @@ def write_ledger_fact(
     num_partitions: int | None = None,
     replace_periods: bool = True,
     cluster_by: tuple[str, ...] = LEDGER_CLUSTER,
+    max_records_per_file: int = 5_000_000,
 ) -> None:
     """Write the ledger fact in the layout the extracts read best.
 
@@ -154,7 +158,12 @@ def write_ledger_fact(
     * a hash of the whole line is the last range key, so a code combination
       holding a third of the lines is still cut across many tasks and files
       instead of one;
-    * ``replace_periods`` rewrites only the periods present in ``df``.
+    * ``replace_periods`` rewrites only the periods present in ``df``;
+    * files hold at most ``max_records_per_file`` lines (~0.5 GB of ledger
+      lines at the default), whatever the task size.
+
+    Size ``num_partitions`` (the writer tasks) from the input, about one per
+    GB (100 TB: ~100,000); the default is the session's shuffle partitions.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -162,4 +171,7 @@ def write_ledger_fact(
     keys = [F.col("drill_date"), *[F.col(c) for c in cluster_by]]
     laid = df.withColumn("__spread", spread).repartitionByRange(n, *keys, F.col("__spread"))
     laid = laid.sortWithinPartitions(*keys).drop("__spread")
-    write_parquet(laid, path, ["drill_date"], replace_partitions=replace_periods, mode="overwrite" if replace_periods else "append")
+    write_parquet(
+        laid, path, ["drill_date"], replace_partitions=replace_periods,
+        mode="overwrite" if replace_periods else "append", max_records_per_file=max_records_per_file,
+    )
