@@ -118,3 +118,19 @@ def test_staged_period_slice(spark, stored):
     st = jobs.staged(ledger, PERIOD)
     assert st.fact.count() == 308
     assert landing(st.fact, st.leaves, LANDING_RULES, PERIOD, RUN_TS).count() == 32
+
+
+def test_example_config_rules_match_catalog():
+    import os
+
+    from closeledger.plans.catalog import LINE_RULES
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "examples", "period_close.json")
+    with open(path) as fh:
+        cfg = json.load(fh)
+
+    def norm(rules):
+        return [(r.flag, dict(r.codes), r.account_range, set(r.account_list), r.hierarchies) for r in rules]
+
+    assert norm(cli.rule_from_dict(r) for r in cfg["segments"]) == norm(LANDING_RULES)
+    assert norm(cli.rule_from_dict(r) for r in cfg["line_segments"]) == norm(LINE_RULES)
