@@ -123,3 +123,20 @@ def test_ledger_layout_clusters_codes_and_prunes(spark, scratch):
         pairs += len(file_combos)
         combos |= file_combos
     assert pairs <= len(period_files) + len(combos) - 1
+
+
+def test_journal_scan_prunes_and_pushes_over_stored_fact(spark, scratch):
+    from closeledger.sinks.files import write_ledger_fact
+
+    path = f"{scratch}/fact"
+    write_ledger_fact(td.ledger_fact(spark, SF_SMALL), path, num_partitions=16)
+    t = td.ledger_tables(spark, SF_SMALL)
+    df = X.journal_summary(spark.read.parquet(path), t.leaves, t.operators, JOURNAL_SCOPE, PERIOD, RUN_TS)
+    text = plan(df)
+    scan = text[text.index("Scan parquet"):]
+    assert "PartitionFilters: [isnotnull(drill_date" in scan
+    assert "EqualTo(ledger,GAAP)" in scan and "StringStartsWith(project_id,1)" in scan
+    read_schema = [ln for ln in scan.splitlines() if ln.startswith("ReadSchema:")][0]
+    for unused in ("descr254", "line_descr", "source"):
+        assert unused not in read_schema
+    assert df.count() == 49
