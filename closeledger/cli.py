@@ -3,6 +3,9 @@
     spark-submit --py-files closeledger.zip closeledger/cli.py JOB --config job.json [--run-date YYYY-MM-DD]
     python -m closeledger JOB --config job.json            (local session)
 
+``--period YYYY-MM-01`` re-extracts a past period instead of the one the
+run date closes.
+
 JOB is one of ``landing-load``, ``landing-files``, ``journal-files``,
 ``journal-incremental``.  The run date (default: today) gives the period
 through the close rule; the load timestamp is taken once at start and
@@ -63,8 +66,12 @@ def _target(spec):
     return ParquetTarget(spec)
 
 
-def build_specs(spark: SparkSession, job: str, cfg: dict, run_date: dt.date, run_ts: dt.datetime):
-    period = close_period_of(run_date, int(cfg.get("cutoff_day", DEFAULT_CUTOFF_DAY)))
+def build_specs(
+    spark: SparkSession, job: str, cfg: dict, run_date: dt.date, run_ts: dt.datetime, period: dt.date | None = None
+):
+    """Extract specs of one job; ``period`` overrides the close rule (a
+    re-run of a past period)."""
+    period = period or close_period_of(run_date, int(cfg.get("cutoff_day", DEFAULT_CUTOFF_DAY)))
 
     def opt(name):
         return read_table(spark, cfg[name]) if cfg.get(name) else None
@@ -102,14 +109,17 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("job", choices=JOBS)
     p.add_argument("--config", required=True)
     p.add_argument("--run-date", type=dt.date.fromisoformat, default=None)
+    p.add_argument("--period", type=dt.date.fromisoformat, default=None, help="first day of a period to (re-)extract")
     a = p.parse_args(argv)
+    if a.period is not None and a.period.day != 1:
+        p.error("--period must be the first day of a month")
     with open(a.config) as fh:
         cfg = json.load(fh)
     spark = SparkSession.builder.appName(f"closeledger-{a.job}").getOrCreate()
     now = dt.datetime.now()
     run_ts = now.replace(microsecond=now.microsecond // 1000 * 1000)
     run_date = a.run_date or run_ts.date()
-    specs = build_specs(spark, a.job, cfg, run_date, run_ts)
+    specs = build_specs(spark, a.job, cfg, run_date, run_ts, a.period)
     audit = AuditLog(ParquetTarget(cfg["audit"]), app_name=f"closeledger:{a.job}") if cfg.get("audit") else None
     for r in run_all(spark, specs, audit):
         print(json.dumps({"extract": r.name, "rows": r.rows, "high_water": str(r.high_water) if r.high_water else None,

@@ -80,6 +80,14 @@ def test_landing_files_job_staged(spark, stored, scratch, capsys):
     assert (res["landing"]["rows"], res["control_count"]["rows"], res["period_passthrough"]["rows"]) == (32, 1, 308)
 
 
+def test_period_override(spark, stored, scratch, capsys):
+    cfg = _config(stored, scratch)
+    res = _run(capsys, "journal-files", "--config", cfg, "--run-date", "2026-12-03", "--period", "1998-04-01")
+    assert [r["rows"] for r in res] == [49, 28, 49]
+    with pytest.raises(SystemExit):
+        cli.main(["journal-files", "--config", cfg, "--period", "1998-04-02"])
+
+
 def test_journal_jobs(spark, stored, scratch, capsys):
     cfg = _config(stored, scratch)
     res = {r["extract"]: r for r in _run(capsys, "journal-files", "--config", cfg, "--run-date", "1998-05-05")}
