@@ -209,7 +209,7 @@ def main() -> None:
         for name in HEADLINE:
             con.sql(ORACLE[name]).fetchall()
             ts = []
-            for _ in range(RUNS):
+            for _ in range(3):
                 t0 = time.perf_counter()
                 con.sql(ORACLE[name]).fetchall()
                 ts.append(time.perf_counter() - t0)
