@@ -10,10 +10,12 @@ Physical shape (see ``.explain()`` in tests/test_plans.py):
   ``drill_date``-partitioned fact);
 * segment extracts read the fact once, whatever the number of rules;
 * hierarchy and operator lookups are broadcast hash joins when their size
-  check passes, so the only shuffle is the aggregate's, after map-side
-  partial aggregation; when a dimension is too large to broadcast, the
-  journal extracts pre-aggregate the lines (exact for sums) before the
-  shuffle join so the join moves groups, not lines.
+  check passes (possibly after cutting the dimension to the keys the
+  period's lines use), so the only shuffle is the aggregate's, after
+  map-side partial aggregation;
+* when a dimension is still too large, the join is salted so a hot key is
+  spread over many tasks, and the journal extracts pre-aggregate the lines
+  first (exact for sums) so the join moves groups, not lines.
 """
 
 from __future__ import annotations
