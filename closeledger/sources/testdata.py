@@ -92,11 +92,12 @@ def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None,
         li = li.filter((F.col("l_shipdate") >= lo_ts) & (F.col("l_shipdate") < hi_ts))
     elif spread:
         # A whole-table derivation is per-line work; when the source has fewer
-        # splits than the session has cores (the driver's files are a single
-        # Parquet row group, so one task would derive every line), spread the
-        # raw rows first.  A real multi-file table never takes this branch.
+        # files than the session has cores (the driver's tables are one file
+        # of one Parquet row group, so one task would derive every line),
+        # spread the raw rows first.  A real multi-file table never takes
+        # this branch.
         cores = spark.sparkContext.defaultParallelism
-        if li.rdd.getNumPartitions() < cores:
+        if len(li.inputFiles()) < cores:
             li = li.repartition(cores)
 
     partkey, suppkey, orderkey, linenumber = (F.col(c) for c in ("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber"))
