@@ -101,7 +101,9 @@ def test_journal_jobs(spark, stored, scratch, capsys):
 
 
 def test_landing_load_job_parquet_and_jdbc(spark, stored, scratch, capsys):
-    jdbc = {"jdbc": "jdbc:derby:memory:jobdb;create=true", "table": "LANDING_CNT",
+    import uuid
+
+    jdbc = {"jdbc": f"jdbc:derby:memory:job{uuid.uuid4().hex[:8]};create=true", "table": "LANDING_CNT",
             "properties": {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}}
     cfg = _config(stored, scratch, landing_table=f"{scratch}/landing", count_table=jdbc)
     res = {r["extract"]: r for r in _run(capsys, "landing-load", "--config", cfg, "--run-date", "1998-05-05")}
