@@ -59,10 +59,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (a
-    local test run) create a scratch one."""
+    """Use the cluster's checkpoint folder (``spark.checkpoint.dir``).  Only
+    a local-mode session without one (a test run) gets a scratch folder; on a
+    cluster a missing setting is an error, never a machine-local folder."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder on shared storage")
         d = tempfile.mkdtemp(prefix="closeledger-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
