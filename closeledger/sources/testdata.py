@@ -64,13 +64,11 @@ _table = table
 
 
 def _rows(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
-    """A handful of literal rows, built in the JVM (no Python-side RDD)."""
-    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def _lpad_num(c, n: int):
-    return F.lpad(c.cast("string"), n, "0")
+    """A handful of literal string rows, built in the JVM (no Python-side RDD)."""
+    structs = ", ".join(
+        "struct(" + ", ".join(f"'{v}' AS {n}" for n, v in zip(names, r)) + ")" for r in rows
+    )
+    return spark.range(1).selectExpr(f"inline(array({structs}))")
 
 
 # Per-line derivation of the fact (FIXTURES.md section 2).  The last column
@@ -159,22 +157,20 @@ def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     and one leaf sits under the same node in two trees, on purpose."""
     nation = _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
-    dept = nation.filter(F.col("n_nationkey") < 6).select(
-        F.lit(DEPT_TREE).alias("treecd"),
-        F.lit(DEPT_NODE).alias("node"),
-        F.concat(F.lit("D2203"), _lpad_num(F.col("n_nationkey"), 2)).alias("leaf"),
+    dept = nation.where("n_nationkey < 6").selectExpr(
+        f"'{DEPT_TREE}' AS treecd", f"'{DEPT_NODE}' AS node", "concat('D2203', lpad(cast(n_nationkey AS string), 2, '0')) AS leaf"
     )
     # project leaves: every (region < 2, nation < 20) pair; the pairs come from
     # exploding candidate region keys per nation and keeping those present in
     # `region` (an equi-join, not a cartesian product)
     proj = (
-        nation.filter(F.col("n_nationkey") < 20)
-        .select("n_nationkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("r_regionkey"))
-        .join(region.filter(F.col("r_regionkey") < 2).select("r_regionkey"), "r_regionkey", "left_semi")
-        .select(
-            F.lit(PROJ_TREE).alias("treecd"),
-            F.lit(PROJ_NODE).alias("node"),
-            F.concat(F.lit("J"), F.col("r_regionkey").cast("string"), _lpad_num(F.col("n_nationkey"), 4)).alias("leaf"),
+        nation.where("n_nationkey < 20")
+        .selectExpr("n_nationkey", "explode(array(0, 1)) AS r_regionkey")
+        .join(region.where("r_regionkey < 2").select("r_regionkey"), "r_regionkey", "left_semi")
+        .selectExpr(
+            f"'{PROJ_TREE}' AS treecd",
+            f"'{PROJ_NODE}' AS node",
+            "concat('J', cast(r_regionkey AS string), lpad(cast(n_nationkey AS string), 4, '0')) AS leaf",
         )
     )
     fixed = _rows(
