@@ -2,7 +2,6 @@
 pruning, broadcast joins behind the size check, no sort-merge joins."""
 
 import contextlib
-import datetime as dt
 import io
 
 import pytest
@@ -79,7 +78,7 @@ def test_shuffle_fallback_when_dimension_too_large(spark):
 def test_close_period_stays_in_codegen(spark):
     text = plan(QUERIES["close_period_12"](spark, SF_SMALL), "formatted")
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    assert dt.date(1998, 4, 1) == PERIOD
+    assert "trunc(CASE WHEN (dayofmonth(" in text  # the rule is one built-in expression
 
 
 def test_large_leaf_set_is_cut_to_used_codes_then_broadcast(spark):
