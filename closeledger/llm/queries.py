@@ -3,7 +3,7 @@ them."""
 
 from __future__ import annotations
 
-from closeledger.llm import decontam, langid, licenses, pieces, rulefit, sharding
+from closeledger.llm import decontam, jaccard, langid, licenses, pieces, rulefit, sharding, windows
 
 QUERIES = {
     "op1_hilbert_sharding": sharding.op1_hilbert_sharding,
@@ -12,6 +12,8 @@ QUERIES = {
     "op6_license_scan": licenses.op6_license_scan,
     "op7_quality_rules": rulefit.op7_quality_rules,
     "op8_sentencepiece": pieces.op8_sentencepiece,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
+    "op10_suffix_dedup": windows.op10_suffix_dedup,
 }
 
 ORACLE = {"op6_license_scan": licenses.oracle_sql()}

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from closeledger.llm.common import read_table, stored
 from closeledger.llm.decontam import decontamination_stage
+from closeledger.llm.jaccard import near_duplicate_stage
 from closeledger.llm.pieces import encoding_stage
 from closeledger.llm.rulefit import quality_stage
+from closeledger.llm.windows import suffix_stage
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality_stage),
+    ("n-gram jaccard join", near_duplicate_stage),
+    ("suffix-array dedup", suffix_stage),
     ("benchmark decontamination", decontamination_stage),
     ("sentencepiece encoding", encoding_stage),
 ]
