@@ -26,7 +26,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of ``edges`` (long columns u, v) but the
     roots themselves; the root is a component's smallest node."""
-    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     state = None
     while True:
         now = stored(_star(_star(now, True), False), "stars")

@@ -46,9 +46,11 @@ from closeledger.llm.words import shingle_set
 BUCKETS = 1 << 18
 CLASSES = 16
 #: Star rounds at most, and pairs per prefix entry that end them earlier.
-ROUNDS, WORK = 6, 2
+ROUNDS, WORK = 3, 2
 #: Classes that a task remembers as already sent.
 SEEN = 1 << 20
+#: Shingles that a verifying task remembers.
+HELD = 1 << 22
 
 
 def prefix_length(n: int) -> int:
@@ -60,7 +62,7 @@ def signature(shingles: np.ndarray) -> int:
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
-    shared = len(a) + len(b) - len(np.union1d(a, b))
+    shared = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * shared >= 80 * (len(a) + len(b) - shared)
 
 
@@ -114,8 +116,8 @@ def place_of() -> Column:
 
 
 def entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Prefix entries (h, node, n, at) whose shingle two classes or more have
-    in their prefixes."""
+    """Prefix entries (h, node, n, at, before) whose shingle two classes or
+    more have in their prefixes; ``before`` counts the set's earlier ones."""
     order = docs.sparkSession.sparkContext.broadcast(counts)
 
     def prefixes(batch: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -141,18 +143,25 @@ def entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             for sig, n, prefix in prefixes(batch, seen):
                 at = np.flatnonzero(bits.value(prefix.view(np.uint64)))
                 if len(at):
-                    out.append((prefix[at], np.full(len(at), sig), np.full(len(at), n, np.int32), at.astype(np.int32)))
+                    columns = np.full(len(at), n), at, np.arange(len(at))
+                    out.append((prefix[at], np.full(len(at), sig), *[c.astype(np.int32) for c in columns]))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["h", "node", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["h", "node", "n", "at", "before"])
 
-    return arrow_map(texts, full, "h long, node long, n int, at int")
+    return arrow_map(texts, full, "h long, node long, n int, at int, before int")
 
 
 def close(a: str, b: str) -> Column:
-    """Length and positional filters for entries with columns a_n, a_at, b_n, b_at."""
+    """Length and positional filters of two entries.  What two sets share
+    before a shared prefix shingle is in both prefixes, so it is an entry."""
     n, m, i, j = F.col(f"{a}_n"), F.col(f"{b}_n"), F.col(f"{a}_at"), F.col(f"{b}_at")
-    longest = F.least(i, j) + F.least(n - i, m - j)
-    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * longest >= 4 * (n + m))
+    most = F.least(F.col(f"{a}_before"), F.col(f"{b}_before")) + F.least(n - i, m - j)
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * most >= 4 * (n + m))
+
+
+def counted(matches: DataFrame) -> DataFrame:
+    """Pairs (a_node, b_node, shared) of matches that pass the filters."""
+    return matches.where(close("a", "b")).groupBy("a_node", "b_node").agg(F.count("*").alias("shared"))
 
 
 def suffix_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -165,8 +174,7 @@ def suffix_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Linked pairs (u, v) among pairs (a, b, a_place, b_place)."""
-    pairs = stored(pairs, "pairs")
+    """Linked pairs (u, v) among stored pairs (a, b, a_place, b_place)."""
     places = pairs.select(F.col("a_place").alias("place")).unionByName(pairs.select(F.col("b_place").alias("place")))
     texts = docs.select("text", place_of().alias("place"))
     texts = texts.where(in_table(texts, bit_table(places, "place"), "place"))
@@ -174,15 +182,29 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     both = left.join(texts.select(F.col("place").alias("b_place"), F.col("text").alias("b_text")), "b_place")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[object, np.ndarray] = (None, np.zeros(0, np.uint64))
+        held: dict[int, np.ndarray] = {}
+        size = 0
+
+        def set_of(node: int, text: str) -> np.ndarray | None:
+            """The class's set, if the text is one of the class."""
+            nonlocal size
+            if node not in held:
+                found = shingle_set(text)
+                if signature(found) != node:
+                    return None
+                if size > HELD:
+                    held.clear()
+                    size = 0
+                held[node] = found
+                size += len(found)
+            return held[node]
+
         for batch in slices(batches, "a_text"):
             keep = []
             columns = [batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")]
             for a, b, a_text, b_text in zip(*columns, strict=True):
-                if last[0] != b_text:
-                    last = (b_text, shingle_set(b_text))
-                own = shingle_set(a_text)
-                keep.append(signature(own) == a and signature(last[1]) == b and _linked(own, last[1]))
+                one, other = set_of(a, a_text), set_of(b, b_text)
+                keep.append(one is not None and other is not None and _linked(one, other))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return arrow_map(both.select("a", "b", "a_text", "b_text"), verify, "u long, v long")
@@ -194,30 +216,35 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     edges = spark.createDataFrame([], "u long, v long")
     roots, grew = None, False
+    weights = found.groupBy("node").agg(F.count("*").alias("weight"))
+    found = stored(found.distinct().join(weights, "node"), "weighted")
     size = found.count()
     for step in range(ROUNDS + 1):
         known = found.withColumn("root", F.col("node")) if roots is None else found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        known = known.select("h", "node", "n", "at", "root")
-        hub = F.min_by(F.struct("node", "n", "at", "root"), F.xxhash64("node", F.lit(step))).alias("hub")
+        known = known.select("h", "node", "n", "at", "before", "root", "weight")
+        by = F.struct(F.lit(0) if step else -F.col("weight"), F.xxhash64("node", F.lit(step)))
+        hub = F.min_by(F.struct("node", "n", "at", "before", "root"), by).alias("hub")
         groups = known.groupBy("h").agg(hub, F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-        groups = groups.where("low <> high").select("h", "size", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("node", "n", "at", "root")])
-        open_ = known.select("h", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "at", "root")])
+        groups = groups.where("low <> high").select("h", "size", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("node", "n", "at", "before", "root")])
+        open_ = known.select("h", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "at", "before", "root")])
         open_ = stored(open_.join(groups, "h").where("a_root <> b_root"), "open")
         work, left = open_.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
         if not left:
             break
         last = (step and (work <= WORK * size or not grew)) or step == ROUNDS
         if last:
-            other = known.select("h", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "at", "root")])
-            pairs = open_.select("h", "a_node", "a_n", "a_at", "a_root").join(other, "h").where("a_root <> b_root").where(close("a", "b"))
+            other = known.select("h", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "at", "before", "root")])
+            own = open_.select("h", *[c for c in open_.columns if c.startswith("a_")])
+            pairs = counted(own.join(other, "h").where("a_root <> b_root"))
             pairs = pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         else:
-            pairs = open_.where(close("a", "b")).groupBy("a_node", "b_node").agg(F.count("*").alias("shared"))
-            pairs = pairs.groupBy(F.col("a_node").alias("a")).agg(F.max_by("b_node", F.struct("shared", "b_node")).alias("b"))
-        new = stored(verified(suffix_filter(pairs, classes), docs).distinct(), "links")
+            pairs = counted(open_).groupBy(F.col("a_node").alias("a")).agg(F.max_by("b_node", F.struct("shared", "b_node")).alias("b"))
+        pairs = stored(suffix_filter(pairs, classes), "pairs")
+        new = stored(verified(pairs, docs).distinct(), "links")
         edges = edges.unionByName(new)
-        grew = not new.isEmpty()
-        if grew:
+        gained = new.count()
+        grew = 10 * gained >= pairs.count()
+        if gained:
             roots = components(edges)
         if last:
             break
