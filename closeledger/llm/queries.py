@@ -3,12 +3,14 @@ them."""
 
 from __future__ import annotations
 
-from closeledger.llm import decontam, jaccard, langid, licenses, pieces, rulefit, sharding, windows
+from closeledger.llm import curves, decontam, jaccard, langid, lblm, licenses, pieces, rulefit, sharding, windows
 
 QUERIES = {
     "op1_hilbert_sharding": sharding.op1_hilbert_sharding,
     "op2_language_id": langid.op2_language_id,
+    "op3_log_bilinear": lblm.op3_log_bilinear,
     "op4_decontamination": decontam.op4_decontamination,
+    "op5_curve_neighbours": curves.op5_curve_neighbours,
     "op6_license_scan": licenses.op6_license_scan,
     "op7_quality_rules": rulefit.op7_quality_rules,
     "op8_sentencepiece": pieces.op8_sentencepiece,
