@@ -1,0 +1,43 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from closeledger.llm.rulefit import STATS, RuleModel, fit, op7_quality_rules, quality_stage, scored, statistics
+
+
+def test_held_out_accuracy(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = op7_quality_rules(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    assert rows and sum(r.predicted == r.quality for r in rows) >= 0.9 * len(rows)
+
+
+def test_rules_are_the_same_in_spark_and_numpy(spark):
+    rng = np.random.default_rng(1)
+    x = rng.random((400, len(STATS)))
+    y = ((x[:, 3] > 0.4) & (x[:, 5] <= 0.7)).astype(float)
+    model = fit(x, y)
+    assert ((model.score(x) >= 0.5) == (y == 1)).mean() > 0.95
+    rows = spark.createDataFrame(x.tolist(), [*STATS])
+    got = [r.s for r in rows.select(model.column().alias("s")).collect()]
+    assert np.allclose(got, model.score(x))
+
+
+def test_constant_models():
+    assert RuleModel().score(np.zeros((1, len(STATS))))[0] == 0.5
+    assert fit(np.zeros((0, len(STATS))), np.zeros(0)).score(np.zeros((1, len(STATS))))[0] == 0.5
+    assert fit(np.zeros((9, len(STATS))), np.ones(9)).score(np.zeros((1, len(STATS))))[0] > 0.9
+
+
+def test_statistics():
+    assert statistics("") == [0.0] * len(STATS)
+    found = dict(zip(STATS, statistics("Ab c!! ##\nAb 12"), strict=True))
+    assert (found["words"], found["lines"], found["mark_runs"], found["lone_marks"]) == (5, 2, 2 / 5, 1 / 5)
+    assert found["distinct_words"] == 4 / 5
+
+
+def test_odd_rows(spark, odd, nothing, sf):
+    labels = spark.createDataFrame([(0, 1), (0, None), (8, 0), (None, 1), (10, 0), (10, 1)], "doc_id long, quality int")
+    rows = scored(odd, labels, learn=F.lit(True)).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert scored(nothing, labels, learn=F.lit(True)).count() == 0
+    assert {r.score for r in scored(odd, labels.limit(0), learn=F.lit(True)).collect()} == {0.5}
+    assert quality_stage(spark, odd, sf).columns == odd.columns
