@@ -3,8 +3,8 @@
 Layers: ``functions`` (column expressions: period rule, labels, money),
 ``operators`` (segment rules, hierarchy joins, balances, watermark,
 controls), ``plans`` (the named extracts and the runner), ``sources``
-(schemas, readers, test-data derivation), ``sinks`` (CSV contract, Parquet,
-JDBC, publishing, audit) and ``streaming`` (see its docstring).
+(schemas, readers, test-data derivation) and ``sinks`` (CSV contract, Parquet,
+JDBC, publishing, audit).
 """
 
 __version__ = "0.1.0"

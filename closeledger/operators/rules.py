@@ -74,6 +74,14 @@ def _any(preds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, preds)
 
 
+def _check_flags(rules: list[SegmentRule]) -> None:
+    """Rules are aggregated one by one, so two may not share a flag."""
+    if not rules:
+        raise ValueError("at least one segment rule is required")
+    if len({r.flag for r in rules}) < len(rules):
+        raise ValueError("two segment rules have one flag; their balances would be merged")
+
+
 def tag_segments(
     df: DataFrame,
     leaves: DataFrame,
@@ -83,8 +91,7 @@ def tag_segments(
     """Single-pass labelling: ``df`` plus column ``bus_flg``, one row per
     (line, matching rule); lines matching no rule are dropped."""
     rules = list(rules)
-    if not rules:
-        raise ValueError("at least one segment rule is required")
+    _check_flags(rules)
     out = df.filter(_any([r.column_predicate() for r in rules]))
 
     refs: list[HierarchyRef] = []
@@ -135,6 +142,8 @@ def tag_segments_union(
     rules: list[SegmentRule] | tuple[SegmentRule, ...],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """One scan per rule, then UNION ALL (the reference's written form)."""
+    """One scan per rule, then UNION ALL of the lines; with one flag per rule,
+    aggregates over it are those of each rule."""
+    _check_flags(list(rules))
     parts = [tag_one(df, leaves, r, max_broadcast_rows) for r in rules]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -129,7 +129,7 @@ def q_hierarchy_inner_fanout(spark, d):
 
 def q_operator_fallback(spark, d):
     """Every operator id of the whole ledger with its display name."""
-    ids = td.ledger_fact(spark, d, spread=False).select("oprid").distinct()
+    ids = td.ledger_fact(spark, d).select("oprid").distinct()
     ops, _ = bounded_broadcast(td.operators(spark, d))
     return ids.join(ops, F.col("oprid") == F.col("employeeid"), "left").select(
         "oprid", F.coalesce(F.col("employeename"), F.col("oprid")).alias("user")
@@ -176,7 +176,7 @@ def q_close_period_20(spark, d):
 
 
 def q_month_labels(spark, d):
-    periods = td.ledger_fact(spark, d, spread=False).select("drill_date").distinct()
+    periods = _order_dates(spark, d).select(close_period("run_date").alias("drill_date")).distinct()
     return periods.select(
         "drill_date",
         fiscal_year_label("drill_date").alias("fisc_yr"),
@@ -218,7 +218,7 @@ def q_csv_text_view(spark, d):
 def q_duplicate_leaf_check(spark, d):
     """Leaves listed twice under one node, with the ledger lines (all
     periods) that carry each such code."""
-    return duplicate_leaf_impact(td.ledger_fact(spark, d, spread=False), _leaves(spark, d))
+    return duplicate_leaf_impact(td.ledger_fact(spark, d), _leaves(spark, d))
 
 
 def stored_counts(spark: SparkSession, d: str, rules=LANDING_RULES) -> DataFrame:

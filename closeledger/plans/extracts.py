@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,11 +39,11 @@ from closeledger.functions.labels import (
     trim_blank,
 )
 from closeledger.functions.period import calendar_month, calendar_year, fiscal_year_label, month_label
-from closeledger.operators.balances import balance, nonzero
+from closeledger.operators.balances import balance, nonzero, nonzero_keys
 from closeledger.operators.control import row_count
 from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict, salted_join
 from closeledger.operators.hierarchy import leaf_set
-from closeledger.operators.rules import FLAG, SegmentRule, tag_segments, tag_segments_union
+from closeledger.operators.rules import FLAG, SegmentRule, tag_one, tag_segments, tag_segments_union
 from closeledger.operators.watermark import up_to, watermark_bound
 
 LANDING_KEYS = ["account", "ledger", "drill_date", "project_id", "business_unit", "operating_unit", "location", "deptid"]
@@ -199,11 +200,13 @@ def control_count(
     ts_text: bool = False,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """EXT-4: independent recount of the landing extract's groups; one row
+    """EXT-4: recount of the landing extract's groups by another way, the
+    keys of each rule's own aggregate under UNION ALL; one row
     ``(insrt_on, row_cnt)`` with the load date (or the timestamp text)."""
-    b = segment_balances(fact, leaves, rules, period, LANDING_KEYS, True, max_broadcast_rows)
+    lines = period_slice(fact, period)
+    parts = [nonzero_keys(tag_one(lines, leaves, r, max_broadcast_rows), list(LANDING_KEYS)) for r in rules]
     stamp = timestamp_text(run_ts) if ts_text else load_date(run_ts)
-    return row_count(b, stamp)
+    return row_count(reduce(lambda a, b: a.unionByName(b), parts), stamp)
 
 
 def period_passthrough(fact: DataFrame, period) -> DataFrame:

@@ -42,10 +42,15 @@ fx as (
  union all select account,ledger,drill_date,project_id,business_unit,operating_unit,location,deptid,line_descr,descr,descr254,'U31',source,journal_id,posted_date,reversal_cd,amount from base where k%50=30),
 leaves as (
  select 'DEPT' treecd,'DEPT_ROOT' node,'D2203'||lpad(cast(n_nationkey as string),2,'0') leaf from nation where n_nationkey<6
+ union all select 'DEPT','DEPT_ROOT_OTHER','D2203'||lpad(cast(n_nationkey as string),2,'0') from nation where n_nationkey>=6
+ union all select 'DEPT_ALT','DEPT_ROOT','D2203'||lpad(cast(n_nationkey as string),2,'0') from nation where n_nationkey>=6
  union all select 'DEPT','DEPT_ROOT','D220210' union all select 'DEPT','DEPT_ROOT','D220210'
  union all select 'PROJ','CAPITAL_PROJ','J'||cast(r_regionkey as string)||lpad(cast(n_nationkey as string),4,'0') from region cross join nation where r_regionkey<2 and n_nationkey<20
+ union all select 'PROJ','CAPITAL_PROJ_OTHER','J'||cast(r_regionkey as string)||lpad(cast(n_nationkey as string),4,'0') from region cross join nation where not (r_regionkey<2 and n_nationkey<20)
+ union all select 'PROJ_ALT','CAPITAL_PROJ','J'||cast(r_regionkey as string)||lpad(cast(n_nationkey as string),4,'0') from region cross join nation where not (r_regionkey<2 and n_nationkey<20)
+ union all select 'OPER','OPER_GROUP_OTHER','S03000'
  union all select 'OPER','OPER_GROUP','S01000' union all select 'OPER','OPER_GROUP','S02858' union all select 'OPER_ALT','OPER_GROUP','S01000'),
-op as (select 'U'||cast(c_custkey as string) employeeid, case when c_custkey in (30,31) then 'Shared Operator' when c_custkey%7=0 then null else c_name end employeename from customer where c_custkey<40),
+op as (select 'U'||cast(c_custkey as string) employeeid, case when c_custkey in (30,31) then 'Shared Operator' when c_custkey%7=0 then null else c_name end employeename from customer),
 pd as (select distinct posted_date from fx where posted_date <= DATE '1998-05-31')
 """
 
@@ -136,10 +141,10 @@ SELECT run_date, cast(CASE WHEN day(run_date) < 20 THEN date_trunc('month', run_
 FROM (SELECT DISTINCT cast(o_orderdate AS date) run_date FROM orders) t""",
     "month_labels": _sql("""
 SELECT drill_date, 'FY'||cast(year(drill_date) as varchar) fisc_yr,
-  substr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', month(drill_date)*3-2, 3) mo_upper,
-  substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(drill_date)*3-2, 3) mo_title,
+  upper(strftime(drill_date, '%b')) mo_upper, strftime(drill_date, '%b') mo_title,
   cast(year(drill_date) as integer) "year", cast(month(drill_date) as integer) "period"
-FROM (SELECT DISTINCT drill_date FROM fx) t"""),
+FROM (SELECT DISTINCT cast(CASE WHEN day(o_orderdate) <= 12 THEN date_trunc('month', o_orderdate - INTERVAL 1 MONTH)
+  ELSE date_trunc('month', o_orderdate) END AS date) drill_date FROM orders) t"""),
     "string_range": _sql("""
 SELECT account, count(*) lines, account BETWEEN '40000' AND '99999' in_range,
   account IN ('15050','15060','15055','15065') in_list

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from closeledger.operators.control import check_reconciled
+from closeledger.session import ensure_checkpoint_dir
 from closeledger.sinks.audit import AuditLog, observe_extract
 from closeledger.sinks.publish import publish
 
@@ -73,10 +74,7 @@ def run_spec(
 ) -> RunResult:
     start = time.monotonic()
     try:
-        df, obs = observe_extract(spec.build(spark), spec.name, spec.high_water_column, spec.count_column)
-        publish(spark, df, spec.targets)
-        metrics = obs.get
-        rows = int(metrics["rows"])
+        built = spec.build(spark)
         control_rows = None
         if isinstance(spec.control, str):
             ref = (earlier or {}).get(spec.control)
@@ -87,7 +85,14 @@ def run_spec(
             first = spec.control(spark).select("row_cnt").first()
             control_rows = int(first[0]) if first is not None else 0
         if control_rows is not None:
-            check_reconciled(rows, control_rows)
+            # reconciled before any target is touched, on the stored result
+            ensure_checkpoint_dir(spark)
+            built = built.checkpoint(eager=True)
+            check_reconciled(built.count(), control_rows)
+        df, obs = observe_extract(built, spec.name, spec.high_water_column, spec.count_column)
+        publish(spark, df, spec.targets)
+        metrics = obs.get
+        rows = int(metrics["rows"])
         counted = metrics.get("counted")
         result = RunResult(
             spec.name, rows, metrics.get("high_water"), time.monotonic() - start, control_rows,
@@ -95,7 +100,7 @@ def run_spec(
         )
     except Exception as e:
         if audit is not None:
-            audit.error(spark, f"{spec.name}: {type(e).__name__}: {e}"[:4000])
+            audit.error(spark, f"{spec.name}: {type(e).__name__}: {e}")
         raise
     if audit is not None:
         audit.info(spark, result.message)

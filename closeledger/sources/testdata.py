@@ -114,14 +114,13 @@ _VARIANT_COLUMNS = [
 ]
 
 
-def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None, spread: bool = True) -> DataFrame:
+def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None) -> DataFrame:
     """The ledger fact (schema ``LEDGER_FACT``).
 
     ``drill_date`` is the quarter of the ship date.  When ``period`` is
     given, the equivalent ship-date range is added as a plain predicate so
     the Parquet reader can skip row groups (the derived table has no
-    directory partitions to prune).  ``spread`` allows spreading a
-    single-split source over the session's cores for whole-table use.
+    directory partitions to prune).
     """
     li = _table(spark, sf_dir, "lineitem")
     if period is not None:
@@ -131,15 +130,6 @@ def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None,
         # wall-clock literals from text: independent of any time zone
         lo_ts, hi_ts = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (lo, hi))
         li = li.filter((F.col("l_shipdate") >= lo_ts) & (F.col("l_shipdate") < hi_ts))
-    elif spread:
-        # A whole-table derivation is per-line work; when the source has fewer
-        # files than the session has cores (the driver's tables are one file
-        # of one Parquet row group, so one task would derive every line),
-        # spread the raw rows first.  A real multi-file table never takes
-        # this branch.
-        cores = spark.sparkContext.defaultParallelism
-        if len(li.inputFiles()) < cores:
-            li = li.repartition(cores)
 
     # one projection of SQL expressions (parsed in the JVM: a single call
     # instead of hundreds of Column-builder round trips from Python)
@@ -153,26 +143,33 @@ def ledger_fact(spark: SparkSession, sf_dir: str, period: dt.date | None = None,
 
 
 def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened hierarchy (treecd, node, leaf); a few leaves are listed twice
-    and one leaf sits under the same node in two trees, on purpose."""
+    """Flattened hierarchy (treecd, node, leaf) over every nation and every
+    (region, nation) pair; a few leaves are listed twice and one leaf sits
+    under the same node in two trees, on purpose.
+
+    Leaves outside a rule's node are decoys: they stand under another node of
+    its tree, and under its node in another tree, so that a rule that forgets
+    either filter takes lines it should not."""
     nation = _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
-    dept = nation.where("n_nationkey < 6").selectExpr(
-        f"'{DEPT_TREE}' AS treecd", f"'{DEPT_NODE}' AS node", "concat('D2203', lpad(cast(n_nationkey AS string), 2, '0')) AS leaf"
-    )
-    # project leaves: every (region < 2, nation < 20) pair; the pairs come from
-    # exploding candidate region keys per nation and keeping those present in
-    # `region` (an equi-join, not a cartesian product)
+    dept = nation.selectExpr("concat('D2203', lpad(cast(n_nationkey AS string), 2, '0')) AS leaf", "n_nationkey < 6 AS inside")
+    # every (region, nation) pair by exploding candidate region keys and
+    # keeping those present in `region` (an equi-join, no cartesian product)
     proj = (
-        nation.where("n_nationkey < 20")
-        .selectExpr("n_nationkey", "explode(array(0, 1)) AS r_regionkey")
-        .join(region.where("r_regionkey < 2").select("r_regionkey"), "r_regionkey", "left_semi")
+        nation.selectExpr("n_nationkey", "explode(sequence(0, 9)) AS r_regionkey")
+        .join(region.select("r_regionkey"), "r_regionkey", "left_semi")
         .selectExpr(
-            f"'{PROJ_TREE}' AS treecd",
-            f"'{PROJ_NODE}' AS node",
             "concat('J', cast(r_regionkey AS string), lpad(cast(n_nationkey AS string), 4, '0')) AS leaf",
+            "r_regionkey < 2 AND n_nationkey < 20 AS inside",
         )
     )
+
+    def listed(rows: DataFrame, tree: str, node: str) -> DataFrame:
+        places = [("inside", tree, node), ("NOT inside", tree, f"{node}_OTHER"), ("NOT inside", f"{tree}_ALT", node)]
+        parts = [rows.where(c).selectExpr(f"'{t}' AS treecd", f"'{n}' AS node", "leaf") for c, t, n in places]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    dept, proj = listed(dept, DEPT_TREE, DEPT_NODE), listed(proj, PROJ_TREE, PROJ_NODE)
     fixed = _rows(
         spark,
         ("treecd", "node", "leaf"),
@@ -182,14 +179,16 @@ def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("OPER", OPER_NODE, "S01000"),
             ("OPER", OPER_NODE, "S02858"),
             ("OPER_ALT", OPER_NODE, "S01000"),
+            ("OPER", f"{OPER_NODE}_OTHER", "S03000"),
         ],
     )
     return dept.unionByName(proj).unionByName(fixed)
 
 
 def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operator dimension: some names NULL, two ids share one name."""
-    c = _table(spark, sf_dir, "customer").filter(F.col("c_custkey") < 40)
+    """Operator dimension, one per customer: some names NULL, two ids share
+    one name."""
+    c = _table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     return c.select(
         F.concat(F.lit("U"), key.cast("string")).alias("employeeid"),
@@ -203,7 +202,7 @@ def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posted_dates(spark: SparkSession, sf_dir: str, through: dt.date = FIXTURE_WATERMARK) -> DataFrame:
     """Posting days already extracted by earlier runs: every posting day of
     the fact up to ``through``."""
-    fact = ledger_fact(spark, sf_dir, spread=False)  # light per-line work: no shuffle
+    fact = ledger_fact(spark, sf_dir)
     return fact.select("posted_date").filter(F.col("posted_date") <= F.lit(through)).distinct()
 
 

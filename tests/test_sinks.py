@@ -182,3 +182,22 @@ def test_read_table_by_catalog_name(spark):
 
     spark.range(3).createOrReplaceTempView("cl_numbers")
     assert read_table(spark, "cl_numbers").count() == 3
+
+
+def test_duplicate_flags_are_rejected(spark):
+    from closeledger.operators.rules import tag_segments, tag_segments_union
+    from closeledger.sources import testdata as td
+
+    t = td.ledger_tables(spark, SF_SMALL)
+    for tag in (tag_segments, tag_segments_union):
+        with pytest.raises(ValueError, match="one flag"):
+            tag(t.fact, t.leaves, [LANDING_RULES[0], LANDING_RULES[0]])
+
+
+def test_failed_reconciliation_touches_no_target(spark, scratch):
+    target = ParquetTarget(f"{scratch}/t")
+    one = lambda s: s.range(1).selectExpr("id AS row_cnt")
+    spec = ExtractSpec(name="x", build=lambda s: s.range(3).toDF("n"), targets=[target], control=one)
+    with pytest.raises(ValueError, match="control count"):
+        run_spec(spark, spec)
+    assert not glob.glob(f"{scratch}/t*")
