@@ -46,7 +46,7 @@ from closeledger.llm.words import shingle_set
 BUCKETS = 1 << 18
 CLASSES = 16
 #: Star rounds at most, and pairs per prefix entry that end them earlier.
-ROUNDS, WORK = 3, 2
+ROUNDS, WORK = 3, 8
 #: Classes that a task remembers as already sent.
 SEEN = 1 << 20
 #: Shingles that a verifying task remembers.
