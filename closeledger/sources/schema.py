@@ -78,14 +78,22 @@ def read_table(spark: SparkSession, source: str, schema: T.StructType | None = N
     """Read a table by catalog name or by path.
 
     ``source`` containing a ``/`` is a path read with ``fmt``; anything else
-    is a catalog table name.
+    is a catalog table name.  A given schema is enforced: a missing column
+    or another type raises ``TypeError`` (a double amount would break exact
+    sums silently).
     """
     if "/" in source or source.startswith("file:"):
         reader = spark.read.format(fmt)
         if schema is not None and fmt != "parquet":
             reader = reader.schema(schema)
-        return reader.load(source)
-    return spark.table(source)
+        found = reader.load(source)
+    else:
+        found = spark.table(source)
+    types = {f.name.lower(): f.dataType for f in found.schema.fields}
+    for f in schema.fields if schema is not None else []:
+        if types.get(f.name.lower()) != f.dataType:
+            raise TypeError(f"{source}: column {f.name} is {types.get(f.name.lower())}, not {f.dataType}")
+    return found
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:

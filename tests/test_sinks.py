@@ -201,3 +201,12 @@ def test_failed_reconciliation_touches_no_target(spark, scratch):
     with pytest.raises(ValueError, match="control count"):
         run_spec(spark, spec)
     assert not glob.glob(f"{scratch}/t*")
+
+
+def test_readers_enforce_their_schema(spark, scratch):
+    from closeledger.sources.schema import read_leaves, read_posted_dates
+
+    spark.sql("SELECT 'T' treecd, 'N' node, 'L' leaf").write.parquet(f"{scratch}/leaves")
+    assert read_leaves(spark, f"{scratch}/leaves").count() == 1
+    with pytest.raises(TypeError, match="posted_date"):
+        read_posted_dates(spark, f"{scratch}/leaves")
