@@ -19,6 +19,9 @@ from closeledger.session import ensure_checkpoint_dir
 #: Bytes of text that one numpy block of a task works on.
 BLOCK_BYTES = 8 << 20
 
+#: Spark's own setting: remove a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 _shipped: set[str] = set()
 
@@ -43,10 +46,16 @@ def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: the lineage is cut, and a lost executor loses nothing."""
+    back: the lineage is cut, and a lost executor loses nothing.  Shuffle
+    files of the write go when it is done, as no later step reads them."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/closeledger-llm/{uuid.uuid4().hex}/{label}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
