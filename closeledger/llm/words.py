@@ -51,6 +51,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
+def all_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+    """``span_hashes`` of every slice of ``width`` bytes, in order."""
+    h = (sums[width:] - sums[:-width]) * _power("down", _INVERSE, len(sums) - 1)[: len(sums) - width]
+    return mix(h + np.full(1, width, np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes, and the start and end of every word."""
     data = _LOWER[np.frombuffer(text.encode("utf-8"), np.uint8)]
