@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from closeledger.session import ensure_checkpoint_dir
@@ -59,6 +59,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, label: str, **totals: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    out = stored(df.observe(seen, *[c.alias(name) for name, c in totals.items()]), label)
+    return out, seen.get
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

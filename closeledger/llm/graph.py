@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closeledger.llm.common import stored
+from closeledger.llm.common import stored_with
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,14 +24,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out if large else out.distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, steps: int | None = None) -> DataFrame:
     """node, root for every node of ``edges`` (long columns u, v) but the
-    roots themselves; the root is a component's smallest node."""
+    roots themselves; the root is a component's smallest node.  With
+    ``steps``, no more pairs of star steps than that are made: nodes of one
+    root are in one component then, but a component may have several roots."""
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     state = None
     while True:
-        now = stored(_star(_star(now, True), False), "stars")
-        after = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        now, after = stored_with(_star(_star(now, True), False), "stars", n=F.count("*"), mark=F.bit_xor(F.xxhash64("u", "v")))
         if after == state:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        steps = None if steps is None else steps - 1
+        if steps == 0:
+            return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
         state = after

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from closeledger.llm.bits import bit_table, in_table
-from closeledger.llm.common import arrow_map, read_table, slices, stored
+from closeledger.llm.common import arrow_map, read_table, slices, stored, stored_with
 from closeledger.llm.graph import components
 from closeledger.llm.words import shingle_set
 
@@ -47,6 +47,8 @@ BUCKETS = 1 << 18
 CLASSES = 16
 #: Star rounds at most, and pairs per prefix entry that end them earlier.
 ROUNDS, WORK = 3, 8
+#: Pairs of star steps between rounds.
+STEPS = 2
 #: Classes that a task remembers as already sent.
 SEEN = 1 << 20
 #: Shingles that a verifying task remembers.
@@ -217,8 +219,8 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     edges = spark.createDataFrame([], "u long, v long")
     roots, grew = None, False
     weights = found.groupBy("node").agg(F.count("*").alias("weight"))
-    found = stored(found.distinct().join(weights, "node"), "weighted")
-    size = found.count()
+    found, total = stored_with(found.distinct().join(weights, "node"), "weighted", n=F.count("*"))
+    size = total["n"]
     for step in range(ROUNDS + 1):
         known = found.withColumn("root", F.col("node")) if roots is None else found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         known = known.select("h", "node", "n", "at", "before", "root", "weight")
@@ -227,11 +229,10 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
         groups = known.groupBy("h").agg(hub, F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
         groups = groups.where("low <> high").select("h", "size", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("node", "n", "at", "before", "root")])
         open_ = known.select("h", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "at", "before", "root")])
-        open_ = stored(open_.join(groups, "h").where("a_root <> b_root"), "open")
-        work, left = open_.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-        if not left:
+        open_, total = stored_with(open_.join(groups, "h").where("a_root <> b_root"), "open", n=F.count("*"), work=F.sum("size"))
+        if not total["n"]:
             break
-        last = (step and (work <= WORK * size or not grew)) or step == ROUNDS
+        last = (step and (total["work"] <= WORK * size or not grew)) or step == ROUNDS
         if last:
             other = known.select("h", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "at", "before", "root")])
             own = open_.select("h", *[c for c in open_.columns if c.startswith("a_")])
@@ -239,16 +240,18 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
             pairs = pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         else:
             pairs = counted(open_).groupBy(F.col("a_node").alias("a")).agg(F.max_by("b_node", F.struct("shared", "b_node")).alias("b"))
-        pairs = stored(suffix_filter(pairs, classes), "pairs")
-        new = stored(verified(pairs, docs).distinct(), "links")
+        pairs, tried = stored_with(suffix_filter(pairs, classes), "pairs", n=F.count("*"))
+        new, gained = stored_with(verified(pairs, docs), "links", n=F.count("*"))
         edges = edges.unionByName(new)
-        gained = new.count()
-        grew = 10 * gained >= pairs.count()
-        if gained:
+        grew = 10 * gained["n"] >= tried["n"]
+        # the next round needs no more than nodes known to be together
+        if last or step + 1 == ROUNDS:
             roots = components(edges)
+        elif gained["n"]:
+            roots = stored(components(edges, STEPS), "roots")
         if last:
-            break
-    return roots if roots is not None else spark.createDataFrame([], "node long, root long")
+            return roots
+    return spark.createDataFrame([], "node long, root long") if roots is None else components(edges)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
