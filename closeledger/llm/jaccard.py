@@ -88,7 +88,7 @@ def measured(docs: DataFrame) -> DataFrame:
         counts, names = np.zeros(BUCKETS, np.int64), ["doc_id", "place", "n", "class", "parts", "bucket"]
         id_type, sent = None, set()
         for batch in slices(batches, "text"):
-            sizes, classes, parts = [], [], []
+            sizes, classes, parts, buckets = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingle_set(text or "")
                 sizes.append(len(found))
@@ -96,7 +96,9 @@ def measured(docs: DataFrame) -> DataFrame:
                 parts.append(np.bincount((found >> np.uint64(60)).astype(np.int64), minlength=CLASSES).tolist())
                 if len(found) and classes[-1] not in sent:
                     sent.add(classes[-1])
-                    counts += np.bincount((found & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+                    buckets.append((found & np.uint64(BUCKETS - 1)).astype(np.int64))
+            if buckets:
+                counts += np.bincount(np.concatenate(buckets), minlength=BUCKETS)
             if len(sent) > SEEN:
                 sent.clear()
             id_type = batch.column("doc_id").type
