@@ -42,6 +42,8 @@ SHORT = 48
 MEMO = 400_000
 #: Symbols that one lockstep batch holds.
 LOCKSTEP = 1 << 18
+#: Bytes of text whose chunks a task holds at once.
+BATCH = 2 << 20
 
 
 class Pieces:
@@ -275,7 +277,7 @@ def encoded(docs: DataFrame, columns: list[str], path: str | None = None) -> Dat
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model.value)
-        for batch in slices(batches, "_cl_text"):
+        for batch in slices(batches, "_cl_text", BATCH):
             counts, ids, decoded = [], [], []
             for n, joined, text in pieces.encode([t or "" for t in batch.column("_cl_text").to_pylist()]):
                 counts.append(n)
