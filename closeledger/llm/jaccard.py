@@ -19,6 +19,12 @@ over (``work`` below), every pair whose ends are still in different components
 is verified, so no link between two components is missed.  Groups of thousands
 of near copies so cost a few rounds, not their square.
 
+All links are found next (``linked``).  The ends of a link are in one component,
+so every pair of classes of a component is compared once, on the whole sets.  A
+component is split into blocks of bounded size by a hash of the class, and each
+pair of blocks is one tile with the texts of both, so a hot component is spread
+over many tasks and a text is sent once per block, not once per pair.
+
 Defined cases: a text without words, empty or null, has an empty set and links
 with nothing (its own id is its component); fewer than five words make one
 shingle; rows equal in id and text are members of one class; a null id is never
@@ -39,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from closeledger.llm.bits import bit_table, in_table
-from closeledger.llm.common import arrow_map, read_table, slices, stored, stored_with
+from closeledger.llm.common import arrow_map, partitions, read_table, slices, stored, stored_with
 from closeledger.llm.graph import components
 from closeledger.llm.words import shingle_set
 
@@ -53,6 +59,10 @@ STEPS = 2
 SEEN = 1 << 20
 #: Shingles that a verifying task remembers.
 HELD = 1 << 22
+#: Shingles and classes that a block of a component has, about.
+BLOCK_SHINGLES, BLOCK_CLASSES = 1 << 20, 4096
+#: Links that a task holds before it passes them on.
+LINKS = 1 << 20
 
 
 def prefix_length(n: int) -> int:
@@ -256,30 +266,136 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     return spark.createDataFrame([], "node long, root long") if roots is None else components(edges)
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, place, root, n_shingles, class_id, component_id of every row."""
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+def _shared(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of all sets in order, the number of the set of each, sizes."""
+    sizes = np.array([len(s) for s in sets])
+    shingles, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    return shingles[order], owners[order], sizes
+
+
+def _tile_links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+    """Linked pairs (u, v) between two blocks, or within one."""
+    other = left if right is None else right
+    if not left or not other:
+        return
+    nodes, (shingles, owners, sizes) = np.array(list(other), np.int64), _shared(list(other.values()))
+    us, vs, held = [], [], 0
+
+    def out() -> pa.RecordBatch:
+        u, v = np.concatenate(us), np.concatenate(vs)
+        us.clear()
+        vs.clear()
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+    for at, (node, found) in enumerate(left.items()):
+        low = np.searchsorted(shingles, found, "left")
+        runs = np.searchsorted(shingles, found, "right") - low
+        place = np.repeat(low - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+        shared = np.bincount(owners[place], minlength=len(nodes))
+        hits = np.flatnonzero(100 * shared >= 80 * (len(found) + sizes - shared))
+        hits = hits[hits > at] if right is None else hits
+        if len(hits):
+            us.append(np.full(len(hits), node))
+            vs.append(nodes[hits])
+            held += len(hits)
+        if held > LINKS:
+            yield out()
+            held = 0
+    if held:
+        yield out()
+
+
+def linked(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """Every linked pair (u, v), u < v, of the classes in ``named`` (node,
+    root, place, n); ``docs`` holds their texts."""
+    sizes = named.groupBy("root").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles")).where("classes > 1")
+    blocks = F.ceil(F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("classes") / BLOCK_CLASSES)).cast("long")
+    parts = named.join(sizes.select("root", blocks.alias("blocks")), "root")
+    parts = stored(parts.select("node", "root", "place", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "blocks")
+    texts = docs.select("text", place_of().alias("place"))
+    texts = texts.where(in_table(texts, bit_table(parts.select("place"), "place"), "place"))
+    rows = parts.join(texts, "place").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    key = ["root", "low", "high"]
+    rows = rows.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text")
+    rows = rows.repartition(partitions(docs.sparkSession), *key).sortWithinPartitions(*key)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tile = None, ({}, {})
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if now is not None:
+                yield from _tile_links(tile[0], None if now[1] == now[2] else tile[1])
+
+        for batch in slices(batches, "text"):
+            columns = [batch.column(c).to_pylist() for c in (*key, "block", "node", "text")]
+            for root, low, high, block, node, text in zip(*columns, strict=True):
+                if now != (root, low, high):
+                    yield from done()
+                    now, tile = (root, low, high), ({}, {})
+                side = tile[block != low]
+                # rows equal in id and text come once each; a place may be a stranger's
+                if node not in side and signature(found := shingle_set(text or "")) == node:
+                    side[node] = found
+        yield from done()
+
+    return arrow_map(rows, compare, "u long, v long")
+
+
+def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, place, n, class) of all documents, and classes (node,
+    place, n, rows, class_id, root, component_id)."""
     table = stored(measured(docs), "sets")
     counts = np.zeros(BUCKETS, np.int64)
     used = table.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts[used["bucket"].to_numpy()] = used["n"].to_numpy()
     members = table.where("bucket is null").drop("bucket")
     classes = members.where("n > 0").groupBy(F.col("class").alias("node")).agg(
-        F.min("place").alias("place"), F.first("n").alias("n"), F.first("parts").alias("parts"), F.min("doc_id").alias("class_id")
+        F.min("place").alias("place"),
+        F.first("n").alias("n"),
+        F.first("parts").alias("parts"),
+        F.count("*").alias("rows"),
+        F.min("doc_id").alias("class_id"),
     )
     classes = stored(classes, "classes")
     roots = links(docs, classes, stored(entries(docs, counts), "entries"))
-    named = classes.select("node", "class_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.drop("parts").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = named.join(smallest, "root").select(F.col("node").alias("class"), "root", "class_id", "component_id")
-    out = members.join(named, "class", "left")
+    return members.drop("parts"), named.join(smallest, "root")
+
+
+def _of_documents(members: DataFrame, named: DataFrame, *more: str) -> DataFrame:
+    out = members.join(named.select(F.col("node").alias("class"), "root", "class_id", "component_id", *more), "class", "left")
     own = lambda c: F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col(c)).alias(c)
-    return out.select("doc_id", "place", "root", F.col("n").alias("n_shingles"), own("class_id"), own("component_id"))
+    return out.select("doc_id", "place", "root", F.col("n").alias("n_shingles"), own("class_id"), own("component_id"), *more)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"))
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, place, root, n_shingles, class_id, component_id of every row."""
+    return _of_documents(*classed(_texts(docs)))
+
+
+def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``grouped`` with n_links, the number of other rows that a row is linked
+    to (those of its own class too), and every linked pair of classes (u, v)."""
+    docs = _texts(docs)
+    members, named = classed(docs)
+    named = stored(named, "components")
+    pairs = stored(linked(docs, named.select("node", "root", "place", "n")), "linked")
+    both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    others = both.join(named.select(F.col("node").alias("v"), "rows"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("rows").alias("others"))
+    named = named.join(others, "node", "left").withColumn("n_links", F.coalesce("others", F.lit(0)) + F.col("rows") - 1)
+    return _of_documents(members, named, "n_links").fillna(0, ["n_links"]), pairs
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shingle count, class and component of every whole document."""
-    return grouped(read_table(spark, sf_dir, "documents")).drop("place", "root")
+    """Shingle count, class, component and number of links of every whole
+    document."""
+    return joined(read_table(spark, sf_dir, "documents"))[0].drop("place", "root")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

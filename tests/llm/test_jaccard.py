@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+from closeledger.llm import jaccard
 from closeledger.llm.jaccard import grouped, near_duplicate_stage, op9_jaccard_join, prefix_length
 from closeledger.llm.words import shingle_strings
 
@@ -69,3 +70,29 @@ def test_odd_rows(spark, odd, odd_rows, nothing):
 def test_query(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert _got(op9_jaccard_join(spark, sf)) == sorted(brute(docs), key=repr)
+
+
+def test_every_link_is_found(spark, odd, odd_rows, monkeypatch):
+    """A group of near copies has all its links, not a spanning set; small
+    blocks make several tiles of it."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in range(0, 60, 2)] + [" ".join(base)] * 3
+    texts += [" ".join(rng.choice(base) for _ in range(40)) for _ in range(5)] + ["", None]
+    rows = list(enumerate(texts))
+
+    def brute_links(rows):
+        sets = [shingle_strings(t or "") for _, t in rows]
+        near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+        return sorted(((d, sum(bool(s) and bool(o) and near(s, o) for j, o in enumerate(sets) if j != i)) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))), key=repr)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for classes in (jaccard.BLOCK_CLASSES, 7):
+        monkeypatch.setattr(jaccard, "BLOCK_CLASSES", classes)
+        found, pairs = jaccard.joined(docs)
+        assert sorted(((r.doc_id, r.n_links) for r in found.collect()), key=repr) == brute_links(rows)
+        got = [(r.u, r.v) for r in pairs.collect()]
+        distinct = {frozenset(shingle_strings(t or "")) for t in texts} - {frozenset()}
+        linked = sum(100 * len(a & b) >= 80 * len(a | b) for a in distinct for b in distinct if a is not b) // 2
+        assert len(got) == len(set(got)) == linked > len(distinct)
+    assert sorted(((r.doc_id, r.n_links) for r in jaccard.joined(odd)[0].collect()), key=repr) == brute_links([(r[0], r[1]) for r in odd_rows])
