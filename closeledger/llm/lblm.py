@@ -1,17 +1,23 @@
 """Language-model scoring with a log-bilinear model.
 
 Counts of every training word are made over the whole training corpus in
-Spark.  The model has a vocabulary of the ``VOCABULARY`` commonest tokens, of
-which one is the end of a text and one stands for all other words; a word
-outside is scored as that token times its smoothed share among such words, so
-probabilities sum to one.  The model predicts a token from the two before it:
-the sum of their context vectors, each weighted by a diagonal matrix of its
-distance, times the token's vector plus its bias.
-
-Training is noise-contrastive estimation in numpy.  Every task makes one pass
-over its own training texts from the same start, and Spark averages the
-parameters, weighted by tokens.  Scoring is normalised: a batch's distinct
-contexts go through one matrix product each with all token vectors.
+Spark.  The model's vocabulary grows with the words counted twice or more, up to
+``VOCABULARY`` tokens (6.5 MB of parameters), of which one is the end of a text
+and one stands for all other words; a word outside is scored as that token
+times its smoothed share among such words, so probabilities sum to one.  The
+model predicts a token from the two before it: the sum of their context
+vectors, each weighted by a diagonal matrix of its distance, times the token's
+vector plus its bias.  The ``FLAT`` commonest tokens are predicted directly, the
+others in two steps: a class of ``MEMBERS`` words of like frequency, and the word
+in its class.  Every word of the vocabulary has its own context vector, token
+vector and bias.
+
+Training is noise-contrastive estimation in numpy, of both steps.  Every task
+makes one pass over its own training texts from the same start, and Spark
+averages each token's parameters, weighted by how often a task has used them.
+Scoring is normalised: a batch's distinct contexts go through one matrix
+product each with the vectors of all direct tokens and classes, and those of
+words in a class through one with all members.
 
 Words that are common enough (at most ``HEAD`` of them, by a cut in the count)
 are broadcast with their counts.  Rarer words leave the scoring task as
@@ -38,12 +44,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from closeledger.llm.common import arrow_map, id_remainder, read_table, slices, stored
+from closeledger.llm.common import arrow_map, id_remainder, partitions, read_table, slices, stored
 
-VOCABULARY = 512
+VOCABULARY = 1 << 15
+#: Tokens predicted directly, words of a class.
+FLAT, MEMBERS = 512, 128
 HEAD = 1 << 18
 DIMS = 24
 NOISE = 32
+#: Noise words in the class of a target.
+NOISE_IN = 8
+#: Rows of parameters that are averaged together.
+ROWS = 256
 BATCH = 4096
 RATE = 0.1
 #: Distinct words that a counting task holds before it passes them on.
@@ -91,7 +103,7 @@ class Counts:
     @property
     def vocabulary(self) -> int:
         """Words that the model knows by themselves."""
-        return min(VOCABULARY - 2, len(self.words))
+        return min(VOCABULARY - 2, int((self.c > 1).sum()))
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
@@ -140,65 +152,115 @@ def contexts(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return padded[1:-1], padded[:-2]
 
 
+def top(found: np.ndarray) -> np.ndarray:
+    """The direct tokens, or classes, of tokens."""
+    return np.where(found < FLAT, found, FLAT + (found - FLAT) // MEMBERS)
+
+
+def _add(p: np.ndarray, s: np.ndarray, used: np.ndarray, rows: np.ndarray, grads: np.ndarray) -> None:
+    """One Adagrad step of the rows of ``p`` that the batch uses."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    at, g = rows[starts], np.add.reduceat(grads[order], starts, axis=0)
+    s[at] += g * g
+    p[at] += (RATE * g / np.sqrt(s[at] + 1e-10)).astype(np.float32)
+    used[at] += np.diff(np.append(starts, len(rows)))
+
+
 class LogBilinear:
-    """Parameters: context vectors, token vectors, two diagonals, biases."""
+    """Parameters, a row a token, the bias last: context vectors (bias unused),
+    vectors of direct tokens and classes, vectors of words in a class; and two
+    diagonals."""
 
     def __init__(self, unigram: np.ndarray, seed: int = 3) -> None:
         rng, size = np.random.default_rng(seed), len(unigram)
-        self.r = rng.normal(scale=0.1, size=(size, DIMS)).astype(np.float32)
-        self.q = rng.normal(scale=0.1, size=(size, DIMS)).astype(np.float32)
-        self.d = np.ones((2, DIMS), np.float32)
-        self.b = np.log(unigram).astype(np.float32)
+        tops = top(np.arange(size))
+        self.size, share = size, np.bincount(tops, unigram)
+        made = lambda n: rng.normal(scale=0.1, size=(n, DIMS + 1)).astype(np.float32)
+        self.r, self.q, self.m = made(size), made(len(share)), made(max(0, size - FLAT))
+        self.d = np.ones((2, DIMS + 1), np.float32)
+        self.r[:, -1] = 0
+        self.q[:, -1] = np.log(share)
+        self.m[:, -1] = np.log(unigram[FLAT:] / share[tops[FLAT:]])
 
     def parts(self) -> list[np.ndarray]:
-        return [self.r, self.q, self.d, self.b]
+        return [self.r, self.q, self.m, self.d]
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts()])
+    def rows(self) -> np.ndarray:
+        return np.concatenate(self.parts())
 
-    def load(self, flat: np.ndarray) -> LogBilinear:
+    def load(self, rows: np.ndarray) -> LogBilinear:
         at = 0
         for p in self.parts():
-            p[...] = flat[at : at + p.size].reshape(p.shape)
-            at += p.size
+            p[...] = rows[at : at + len(p)]
+            at += len(p)
         return self
 
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.r[one] * self.d[0] + self.r[two] * self.d[1]
-
-    def step(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, past: list[np.ndarray]) -> None:
-        """One Adagrad step of noise-contrastive estimation; the batch shares
-        its noise tokens."""
-        n = len(target)
-        ones, twos = self.r[one], self.r[two]
-        made = ones * self.d[0] + twos * self.d[1]
-        real = np.einsum("ij,ij->i", made, self.q[target]) + self.b[target] - log_noise[target]
-        false = made @ self.q[noise].T + self.b[noise] - log_noise[noise]
+        """With a last column of ones, for the biases."""
+        out = self.r[one] * self.d[0] + self.r[two] * self.d[1]
+        out[:, -1] = 1
+        return out
+
+    def step(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, noise: np.ndarray, inside: np.ndarray, log_noise: np.ndarray, past: list[np.ndarray], used: list[np.ndarray]) -> None:
+        """One Adagrad step of noise-contrastive estimation.  The batch shares
+        its noise among direct tokens and classes; ``inside`` is uniform noise
+        in [0, 1) for the words of a class, a row a target."""
+        n, goal = len(target), top(target)
+        made = self.predicted(one, two)
+        real = np.einsum("ij,ij->i", made, self.q[goal]) - log_noise[goal]
+        false = made @ self.q[noise].T - log_noise[noise]
         up = (1.0 / (1.0 + np.exp(np.clip(real, -30, 30)))) / n
         down = (-1.0 / (1.0 + np.exp(-np.clip(false, -30, 30)))) / n
-        to_made = up[:, None] * self.q[target] + down @ self.q[noise]
-        grads = [np.zeros_like(p) for p in self.parts()]
-        np.add.at(grads[0], one, to_made * self.d[0])
-        np.add.at(grads[0], two, to_made * self.d[1])
-        np.add.at(grads[1], target, up[:, None] * made)
-        np.add.at(grads[1], noise, down.T @ made)
-        grads[2][0], grads[2][1] = (to_made * ones).sum(axis=0), (to_made * twos).sum(axis=0)
-        grads[3] += np.bincount(target, up, len(self.b)).astype(np.float32) + np.bincount(noise, down.sum(axis=0), len(self.b)).astype(np.float32)
-        for p, g, s in zip(self.parts(), grads, past, strict=True):
-            s += g * g
-            p += (RATE * g / np.sqrt(s + 1e-10)).astype(np.float32)
+        to_made = up[:, None] * self.q[goal] + down @ self.q[noise]
+        rows = np.flatnonzero(target >= FLAT)
+        if len(rows):
+            word, mine = target[rows] - FLAT, made[rows]
+            first = word // MEMBERS * MEMBERS
+            sizes = np.minimum(len(self.m) - first, MEMBERS)
+            other = first[:, None] + (inside[rows] * sizes[:, None]).astype(np.int64)
+            all_ = np.concatenate([word[:, None], other], axis=1)
+            vectors = self.m[all_]
+            value = np.einsum("ij,ikj->ik", mine, vectors) - np.log(NOISE_IN / sizes)[:, None]
+            pull = -1.0 / (1.0 + np.exp(-np.clip(value, -30, 30)))
+            pull[:, 0] += 1
+            pull = (pull / n).astype(np.float32)
+            to_made[rows] += np.einsum("ik,ikj->ij", pull, vectors)
+            inner = (pull[:, :, None] * mine[:, None, :]).reshape(-1, DIMS + 1)
+        ones, twos = self.r[one], self.r[two]
+        to_made[:, -1] = 0
+        to_d = np.stack([(to_made * ones).sum(axis=0), (to_made * twos).sum(axis=0)])
+        to_r = np.concatenate([to_made * self.d[0], to_made * self.d[1]])
+        _add(self.r, past[0], used[0], np.concatenate([one, two]), to_r)
+        _add(self.q, past[1], used[1], np.concatenate([goal, noise]), np.concatenate([up[:, None] * made, down.T @ made]))
+        if len(rows):
+            _add(self.m, past[2], used[2], all_.ravel(), inner)
+        _add(self.d, past[3], used[3], np.arange(2), to_d)
 
     def log10(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of every target."""
-        pairs, place = np.unique(one * len(self.b) + two, return_inverse=True)
-        made = self.predicted(pairs // len(self.b), pairs % len(self.b))
+
+        def log_sum(logits: np.ndarray) -> np.ndarray:
+            most = logits.max(axis=1)
+            return most + np.log(np.exp(logits - most[:, None]).sum(axis=1))
+
+        pairs, place = np.unique(one * self.size + two, return_inverse=True)
+        made = self.predicted(pairs // self.size, pairs % self.size)
         norm = np.empty(len(pairs), np.float32)
         for at in range(0, len(pairs), 8192):
-            logits = made[at : at + 8192] @ self.q.T + self.b
-            top = logits.max(axis=1)
-            norm[at : at + 8192] = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        own = np.einsum("ij,ij->i", made[place], self.q[target]) + self.b[target]
-        return (own - norm[place]).astype(np.float64) / np.log(10.0)
+            norm[at : at + 8192] = log_sum(made[at : at + 8192] @ self.q.T)
+        own = np.einsum("ij,ij->i", made[place], self.q[top(target)]) - norm[place]
+        rows = np.flatnonzero(target >= FLAT)
+        rows = rows[np.argsort(target[rows], kind="stable")]
+        word = target[rows] - FLAT
+        cuts = np.searchsorted(word, np.arange(0, len(self.m) + MEMBERS, MEMBERS))
+        for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            for at in range(low, high, 8192):
+                some = slice(at, min(at + 8192, high))
+                logits = made[place[rows[some]]] @ self.m[i * MEMBERS : (i + 1) * MEMBERS].T
+                own[rows[some]] += logits[np.arange(len(logits)), word[some] - i * MEMBERS] - log_sum(logits)
+        return own.astype(np.float64) / np.log(10.0)
 
 
 def unigram(counts: Counts) -> np.ndarray:
@@ -207,6 +269,32 @@ def unigram(counts: Counts) -> np.ndarray:
     return (c + 0.5) / (c + 0.5).sum()
 
 
+def averaged(found: DataFrame) -> DataFrame:
+    """(i, p, w): the weighted mean of every block of parameter rows."""
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for i, p, w in zip(batch["i"].to_pylist(), batch["p"], batch["w"], strict=True):
+                weight = w.values.to_numpy().astype(np.float64)
+                rows = p.values.to_numpy().reshape(len(weight), -1) * weight[:, None]
+                if i in held:
+                    held[i][0] += rows
+                    held[i][1] += weight
+                else:
+                    held[i] = [rows, weight]
+        for i, (rows, weight) in held.items():
+            yield _block(i, rows / np.maximum(weight, 1)[:, None], weight)
+
+    return arrow_map(found.repartition(min(64, partitions(found.sparkSession)), "i"), mean, found.schema)
+
+
+def _block(i: int, rows: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+    kind = pa.list_(pa.float32())
+    made = [[rows.ravel().astype(np.float32)], [weight.astype(np.float32)]]
+    return pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *[pa.array(m, kind) for m in made]], names=["i", "p", "w"])
+
+
 def train(texts: DataFrame, counts: Counts) -> LogBilinear:
     """One pass over all training texts, averaged over the tasks."""
     share = unigram(counts)
@@ -215,9 +303,10 @@ def train(texts: DataFrame, counts: Counts) -> LogBilinear:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, start = given.value
-        model = LogBilinear(share).load(start.flat())
-        rng, log_noise = np.random.default_rng(TaskContext.get().partitionId()), np.log(NOISE * share).astype(np.float32)
-        cumulative, past, seen = np.cumsum(share), [np.zeros_like(p) for p in model.parts()], 0
+        model, tops = LogBilinear(share).load(start.rows()), np.bincount(top(np.arange(len(share))), share)
+        rng, log_noise = np.random.default_rng(TaskContext.get().partitionId()), np.log(NOISE * tops).astype(np.float32)
+        cumulative, past, seen = np.cumsum(tops), [np.zeros_like(p) for p in model.parts()], 0
+        used = [np.zeros(len(p), np.int64) for p in model.parts()]
         for batch in slices(batches, "text", 2 << 20):
             found = [model_tokens(numbered(t, counts)[1], counts.vocabulary) for t in batch.column("text").to_pylist()]
             before = [contexts(f) for f in found]
@@ -225,19 +314,23 @@ def train(texts: DataFrame, counts: Counts) -> LogBilinear:
             order = rng.permutation(len(target))
             for at in range(0, len(order), BATCH):
                 rows = order[at : at + BATCH]
-                noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(share) - 1)
-                model.step(one[rows], two[rows], target[rows], noise, log_noise, past)
+                noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(tops) - 1)
+                model.step(one[rows], two[rows], target[rows], noise, rng.random((len(rows), NOISE_IN), np.float32), log_noise, past, used)
             seen += len(order)
         if seen:
-            flat = model.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["i", "p", "w"])
-
-    found = arrow_map(texts.select("text"), learn, "i int, p double, w double").groupBy("i").agg((F.sum("p") / F.sum("w")).alias("p")).toArrow()
-    if not found.num_rows:
-        return start
-    flat = np.zeros(found.num_rows)
-    flat[found["i"].to_numpy()] = found["p"].to_numpy()
-    return start.load(flat)
+            made, weight = model.rows(), np.concatenate(used)
+            for i in range(0, len(made), ROWS):
+                if weight[i : i + ROWS].any():
+                    yield _block(i // ROWS, made[i : i + ROWS], weight[i : i + ROWS])
+
+    found = averaged(arrow_map(texts.select("text"), learn, "i int, p array<float>, w array<float>")).toArrow()
+    rows = start.rows()
+    for i, p, w in zip(found["i"].to_pylist(), found["p"], found["w"], strict=True):
+        weight = w.values.to_numpy()
+        mean = p.values.to_numpy().reshape(len(weight), -1)
+        at = slice(i * ROWS, i * ROWS + len(weight))
+        rows[at] = np.where(weight[:, None] > 0, mean, rows[at])
+    return start.load(rows)
 
 
 def scored(docs: DataFrame, learn: Column, *keep: Column) -> DataFrame:

@@ -71,3 +71,30 @@ def test_training_learns_an_order(spark):
     rows = spark.createDataFrame([(i, "a b c d " * 400) for i in range(8)], "doc_id long, text string")
     r = lblm.scored(rows, F.lit(True), F.col("doc_id")).first()
     assert r.score > r.base_score
+
+
+def test_probabilities_of_classed_words_sum_to_one(monkeypatch):
+    monkeypatch.setattr(lblm, "FLAT", 8)
+    monkeypatch.setattr(lblm, "MEMBERS", 5)
+    model = lblm.LogBilinear(np.full(20, 0.05))
+    one, two = np.full(20, 3), np.full(20, 17)
+    assert len(model.q) == 11 and len(model.m) == 12
+    assert abs((10 ** model.log10(one, two, np.arange(20))).sum() - 1) < 1e-4
+
+
+def test_rarer_words_are_modelled_and_gain_on_held_out_texts(spark):
+    """2,000 words, nearly equally common, each followed by one of its own two:
+    the order of words beyond the commonest 510 is learned."""
+    rng = np.random.default_rng(4)
+    follows = rng.permutation(2000)[:, None], rng.permutation(2000)[:, None]
+    follows = np.concatenate(follows, axis=1)
+    texts = []
+    for i in range(120):
+        at, words = int(rng.integers(2000)), []
+        for _ in range(3000):
+            words.append(f"w{at}")
+            at = int(follows[at, rng.integers(2)])
+        texts.append((i, " ".join(words)))
+    rows = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = lblm.scored(rows, F.col("doc_id") < 100, F.col("doc_id")).where("doc_id >= 100").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.6 * got[1], got  # both negative; 512 tokens gave 0.94
