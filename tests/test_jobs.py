@@ -5,7 +5,7 @@ import glob
 import json
 
 import pytest
-from conftest import SF_SMALL
+from ledger_paths import SF_SMALL
 
 from closeledger import cli
 from closeledger.plans.catalog import LANDING_RULES, SEGMENT_A, SEGMENT_B, stored_counts

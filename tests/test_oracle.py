@@ -1,7 +1,7 @@
 """Every catalogue query against its oracle SQL (DuckDB) at sf0.01."""
 
 import pytest
-from conftest import SF_ORACLE, SF_SMALL
+from ledger_paths import SF_ORACLE, SF_SMALL
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry_mod

@@ -5,7 +5,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import SF_SMALL
+from ledger_paths import SF_SMALL
 
 from closeledger.plans import extracts as X
 from closeledger.plans.catalog import JOURNAL_SCOPE, LANDING_RULES, PERIOD, QUERIES, RUN_TS

@@ -1,7 +1,7 @@
 """Properties that tie the extracts together, on the derived sf0.001 ledger."""
 
 import pytest
-from conftest import SF_SMALL
+from ledger_paths import SF_SMALL
 from pyspark.sql import functions as F
 
 from closeledger.operators.balances import balance

@@ -8,7 +8,7 @@ import uuid
 from decimal import Decimal
 
 import pytest
-from conftest import SF_SMALL
+from ledger_paths import SF_SMALL
 from ledger_rows import RUN_TS, P, fact, leaves
 from pyspark.sql import functions as F
 
