@@ -1,5 +1,5 @@
 import corpus_pipeline
-from test_jaccard import brute
+from jaccard_brute import brute
 
 from closeledger.llm.common import stored
 from closeledger.llm.decontam import matches
