@@ -3,7 +3,7 @@ them."""
 
 from __future__ import annotations
 
-from closeledger.llm import curves, decontam, jaccard, langid, lblm, licenses, pieces, rulefit, sharding, windows
+from closeledger.llm import curves, decontam, jaccard, langid, lblm, licenses, pieces, rulefit, sharding, trie, windows
 
 QUERIES = {
     "op1_hilbert_sharding": sharding.op1_hilbert_sharding,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_suffix_dedup": windows.op10_suffix_dedup,
+    "op11_prefix_trie": trie.op11_prefix_trie,
 }
 
-ORACLE = {"op6_license_scan": licenses.oracle_sql()}
+ORACLE = {"op6_license_scan": licenses.oracle_sql(), "op11_prefix_trie": trie.oracle_sql()}
