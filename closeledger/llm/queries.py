@@ -3,7 +3,7 @@ them."""
 
 from __future__ import annotations
 
-from closeledger.llm import curves, decontam, jaccard, langid, lblm, licenses, pieces, rulefit, sharding, trie, windows
+from closeledger.llm import curves, decontam, jaccard, langid, lblm, licenses, pieces, rulefit, sharding, trie, warc, whitening, windows
 
 QUERIES = {
     "op1_hilbert_sharding": sharding.op1_hilbert_sharding,
@@ -17,6 +17,12 @@ QUERIES = {
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_suffix_dedup": windows.op10_suffix_dedup,
     "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_warc": warc.op13_warc,
 }
 
-ORACLE = {"op6_license_scan": licenses.oracle_sql(), "op11_prefix_trie": trie.oracle_sql()}
+ORACLE = {
+    "op6_license_scan": licenses.oracle_sql(),
+    "op11_prefix_trie": trie.oracle_sql(),
+    "op13_warc": warc.oracle_sql(),
+}
