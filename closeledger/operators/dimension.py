@@ -1,48 +1,60 @@
-"""Size-checked broadcast of dimension-side inputs.
+"""Size-checked broadcast of dimension-side inputs, and the joins beyond it.
 
 A broadcast ships the whole side to every executor, so it is only safe for
-data whose size is proven.  The proof is a row count of the (filtered)
-side, taken before any de-duplication so it bounds the de-duplicated set
-too.  All sides an extract needs are counted in **one** small job (a union
-of the sides grouped by side number); the count reads dimension tables,
+data whose size is proven.  The proof is a count of the rows and of the bytes of
+the (filtered) side, taken before any de-duplication so it bounds the
+de-duplicated set too.  All sides an extract needs are measured in **one** small
+job (a union of the sides grouped by side number); it reads dimension tables,
 never the fact.
 
 A side beyond the bound is first cut down to the keys the fact lines
 actually carry (``restrict_to_used``: a distinct of the fact's join key,
 partially aggregated before its small shuffle, semi-joined with the side)
-and counted again: a department tree with millions of leaves still meets
+and measured again: a department tree with millions of leaves still meets
 only the departments that post in the period.  Only if that is still too
 large does the join go without the hint, as a **salted** shuffle join
-(``salted_join``): each line gets a deterministic salt from a hash of its
-columns and the dimension side is replicated once per salt value, so a key
-holding a third of the lines is spread over ``SALT_BUCKETS`` join
-partitions instead of landing in one task.  The journal extracts also
-pre-aggregate lines to groups before such a join (exact for sums), so it
-moves groups, not lines.
+(``salted_join``).  Its hot keys come from a mergeable frequent-items sketch of
+the lines (``hot_keys``): lines of a hot key get a deterministic salt from a hash
+of their columns and the dimension rows of that key are repeated once per salt
+value, so a key holding a third of the lines is spread over ``SALT_BUCKETS`` join
+partitions; all other lines and dimension rows move once, unsalted.  The landing
+and journal extracts also pre-aggregate lines to groups before such a join (exact
+for sums), so it moves groups, not lines.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow key table (a code and a flag or a name) that we are willing
-# to ship to every executor.  At ~100 bytes a row this is ~50 MB.
+# Rows of a narrow key table (a code and a flag or a name), and their bytes, that
+# we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 # Join partitions a hot key is spread over on the shuffle-join path.
 SALT_BUCKETS = 32
+# A key with more than one in HOT_SHARE of the lines is hot; the sketch tracks
+# SKETCH_ITEMS keys, so that no such key escapes it.
+HOT_SHARE, SKETCH_ITEMS = 256, 8192
 
 
-def bounded(sides: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
-    """For each side: does it have at most ``max_rows`` rows?  One job."""
+def bounded(sides: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> list[bool]:
+    """For each side: has it at most ``max_rows`` rows and ``max_bytes`` bytes
+    of values?  One job."""
     if max_rows <= 0 or not sides:
         return [False] * len(sides)
-    tagged = [s.select(F.lit(i).alias("__side")) for i, s in enumerate(sides)]
-    counts = reduce(lambda a, b: a.unionByName(b), tagged).groupBy("__side").agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r["__side"]: r["n"] for r in counts.collect()}  # at most len(sides) rows
-    return [sizes.get(i, 0) <= max_rows for i in range(len(sides))]
+
+    def size(side: DataFrame) -> Column:
+        widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in side.columns]
+        return reduce(lambda a, b: a + b, widths, F.lit(8)).cast("long")
+
+    tagged = [s.select(F.lit(i).alias("__side"), size(s).alias("__bytes")) for i, s in enumerate(sides)]
+    counts = reduce(lambda a, b: a.unionByName(b), tagged).groupBy("__side").agg(F.count(F.lit(1)).alias("n"), F.sum("__bytes").alias("b"))
+    sizes = {r["__side"]: (r["n"], r["b"]) for r in counts.collect()}  # at most len(sides) rows
+    found = [sizes.get(i, (0, 0)) for i in range(len(sides))]
+    return [n <= max_rows and b <= max_bytes for n, b in found]
 
 
 def hint(df: DataFrame, small: bool) -> DataFrame:
@@ -52,8 +64,8 @@ def hint(df: DataFrame, small: bool) -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows,
-    else ``(df, False)``."""
+    """``(broadcast(df), True)`` if ``df`` is proven small, else
+    ``(df, False)``."""
     (small,) = bounded([df], max_rows)
     return hint(df, small), small
 
@@ -91,23 +103,48 @@ def broadcast_or_restrict(
     return [(hint(s, ok), ok) for s, ok in out]
 
 
+def hot_keys(lines: DataFrame, keys: list[Column], share: int = HOT_SHARE) -> list[list]:
+    """For each key: its values that more than one in ``share`` of the lines
+    carry (fewer than ``share`` values).  One job over the lines; tasks merge
+    sketches of a fixed size, and a sketch never misses a value that common.  A
+    value that it lists without need costs some repeated dimension rows."""
+    named = lines.select(*[k.alias(f"__k{i}") for i, k in enumerate(keys)])
+    top = [F.expr(f"approx_top_k(__k{i}, {share}, {SKETCH_ITEMS}) FILTER (WHERE __k{i} IS NOT NULL)").alias(f"t{i}") for i in range(len(keys))]
+    row = named.agg(F.count(F.lit(1)).alias("n"), *top).first()
+    return [[e["item"] for e in row[f"t{i}"] or () if e["count"] * share > row["n"]] for i in range(len(keys))]
+
+
+def repeat_hot(right: DataFrame, key: Column, hot: list, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Dimension rows with ``__salt_r``: those of a hot key once per salt
+    value, the others once."""
+    many, one = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")), F.array(F.lit(0).cast("long"))
+    return right.withColumn("__salt_r", F.explode(F.when(key.isin(hot), many).otherwise(one)))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
-    condition,
+    left_key: Column,
+    right_key: Column,
     how: str,
+    hot: list | None = None,
     buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Shuffle join of ``left`` (many lines, possibly a hot key) with
-    ``right`` (a dimension too large to broadcast) on ``condition``.
-
-    The salt of a line is ``pmod(xxhash64(all its columns), buckets)``:
-    deterministic, so a retried task sends every line to the same partition.
-    Each right row is repeated for every salt value; as the condition also
-    requires equal salts, each (line, dimension row) pair still meets
-    exactly once, so inner, left and left-semi results are unchanged.
+    ``right`` (a dimension too large to broadcast) on ``left_key == right_key``.
+
+    ``hot`` lists the left side's hot keys (default: found by ``hot_keys``).  The
+    salt of a line is ``pmod(xxhash64(all its columns), buckets)`` for a hot key,
+    else 0: deterministic, so a retried task sends every line to the same
+    partition.  Right rows of a hot key are repeated for every salt value, others
+    stand once with salt 0; as the condition also requires equal salts, each
+    (line, dimension row) pair still meets exactly once, so inner, left and
+    left-semi results are unchanged.
     """
-    salted_left = left.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)))
-    salted_right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    joined = salted_left.join(salted_right.hint("merge"), condition & (F.col("__salt") == F.col("__salt_r")), how)
+    (hot,) = hot_keys(left, [left_key]) if hot is None else (hot,)
+    if not hot:
+        return left.join(right.hint("merge"), left_key == right_key, how)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets))
+    salted_left = left.withColumn("__salt", F.when(left_key.isin(hot), salt).otherwise(F.lit(0).cast("long")))
+    joined = salted_left.join(repeat_hot(right, right_key, hot, buckets).hint("merge"), (left_key == right_key) & (F.col("__salt") == F.col("__salt_r")), how)
     return joined.drop("__salt", "__salt_r")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from closeledger.functions.labels import tag
 from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, bounded, broadcast_or_restrict, hint, salted_join
+from closeledger.operators.membership import membership_filter
 
 
 def leaf_set(leaves: DataFrame, node: str, tree: str | None = None, distinct: bool = True) -> DataFrame:
@@ -52,17 +53,20 @@ def member_flag(
     if small:
         joined = df.join(hint(side, True), key == F.col(probe), "left")
     else:
-        joined = salted_join(df, side, key == F.col(probe), "left")
+        joined = salted_join(df, side, key, F.col(probe), "left")
     joined = joined.drop(probe)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def _join_leaf_side(df: DataFrame, key: Column, side: DataFrame, side_key: str, how: str, max_broadcast_rows: int) -> DataFrame:
     """Join ``df`` to a leaf side: broadcast when proven small (possibly
-    after cutting it to the codes ``df`` uses), else salted."""
+    after cutting it to the codes ``df`` uses), else salted, after a membership
+    filter has dropped most lines without a partner."""
     [(side, small)] = broadcast_or_restrict([side], [side_key], [key], df, max_broadcast_rows)
-    cond = key == F.col(side_key)
-    return df.join(side, cond, how) if small else salted_join(df, side, cond, how)
+    if small:
+        return df.join(side, key == F.col(side_key), how)
+    kept = membership_filter(side, side_key, max_broadcast_rows)
+    return salted_join(df if kept is None else kept.keep(df, key), side, key, F.col(side_key), how)
 
 
 def in_hierarchy(
@@ -125,8 +129,8 @@ def duplicate_leaf_impact(
     codes = codes.filter(F.col("__code").isNotNull())
     keys = dups.select(F.col("leaf").alias("__dup")).distinct()
     [(keys, small)] = broadcast_or_restrict([keys], ["__dup"], [F.col("__code")], codes, max_broadcast_rows)
-    cond = F.col("__code") == F.col("__dup")
-    hits = codes.join(keys, cond, "inner") if small else salted_join(codes, keys, cond, "inner")
+    code, dup = F.col("__code"), F.col("__dup")
+    hits = codes.join(keys, code == dup, "inner") if small else salted_join(codes, keys, code, dup, "inner")
     lines = hits.groupBy(F.col("__dup").alias("leaf")).agg(F.count(F.lit(1)).alias("lines"))
     return dups.join(lines, "leaf", "left").select(
         "node", "leaf", "listings", "trees", F.coalesce(F.col("lines"), F.lit(0)).alias("lines")

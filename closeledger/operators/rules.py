@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from closeledger.functions.labels import tag
 from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict
 from closeledger.operators.hierarchy import in_hierarchy, leaf_set, member_flag
+from closeledger.operators.membership import membership_filter
 
 FLAG = "bus_flg"
 
@@ -55,6 +56,10 @@ class SegmentRule:
         """The same rule with one more code equality (e.g. a ledger)."""
         return replace(self, codes=tuple(c for c in self.codes if c[0] != column) + ((column, value),))
 
+    def columns(self) -> list[str]:
+        """Fact columns that the rule looks at."""
+        return [*(c for c, _ in self.codes), self.account_column, *(h.column for h in self.hierarchies)]
+
     def column_predicate(self) -> Column:
         """Everything except hierarchy membership, on raw values."""
         parts = [F.col(c) == F.lit(v) for c, v in self.codes]
@@ -87,9 +92,15 @@ def tag_segments(
     leaves: DataFrame,
     rules: list[SegmentRule] | tuple[SegmentRule, ...],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    grain: list[str] | None = None,
 ) -> DataFrame:
     """Single-pass labelling: ``df`` plus column ``bus_flg``, one row per
-    (line, matching rule); lines matching no rule are dropped."""
+    (line, matching rule); lines matching no rule are dropped.
+
+    A leaf set that is neither small nor small after the cut to used codes needs
+    a shuffle join.  Lines that can match no rule by the membership filters of
+    such sets are dropped before it, and with ``grain`` (the keys that the
+    caller sums ``amount`` by) the others are summed to groups first."""
     rules = list(rules)
     _check_flags(rules)
     out = df.filter(_any([r.column_predicate() for r in rules]))
@@ -106,6 +117,11 @@ def tag_segments(
     sides = broadcast_or_restrict(
         [leaf_set(leaves, h.node, h.tree, distinct=False) for h in refs], ["leaf"] * len(refs), keys, out, max_broadcast_rows
     )
+    if not all(small for _, small in sides):
+        out = _thinned(out, rules, refs, keys, sides, max_broadcast_rows)
+        if grain is not None:
+            needed = [*grain, *(c for r in rules for c in r.columns())]
+            out = out.groupBy(*dict.fromkeys(needed)).agg(F.sum("amount").alias("amount"))
     for i, (h, key, (side, small)) in enumerate(zip(refs, keys, sides)):
         name = f"__in_{i}"
         flag_of[h] = name
@@ -122,6 +138,20 @@ def tag_segments(
     return out.withColumn(FLAG, F.explode(flags)).filter(F.col(FLAG).isNotNull()).drop(*flag_of.values())
 
 
+def _thinned(df: DataFrame, rules, refs, keys, sides, max_broadcast_rows: int) -> DataFrame:
+    """Lines that may still match a rule by the filters of the large sets."""
+    maybe = {}
+    for i, (h, key, (side, small)) in enumerate(zip(refs, keys, sides)):
+        kept = None if small else membership_filter(side, "leaf", max_broadcast_rows)
+        if kept is not None:
+            maybe[h] = f"__maybe_{i}"
+            df = kept.flag(df, key, maybe[h])
+    if not maybe:
+        return df
+    may_match = [reduce(lambda a, b: a & b, [r.column_predicate()] + [F.col(maybe[h]) for h in r.hierarchies if h in maybe]) for r in rules]
+    return df.filter(_any(may_match)).drop(*maybe.values())
+
+
 def tag_one(
     df: DataFrame,
     leaves: DataFrame,

@@ -41,8 +41,9 @@ from closeledger.functions.labels import (
 from closeledger.functions.period import calendar_month, calendar_year, fiscal_year_label, month_label
 from closeledger.operators.balances import balance, nonzero, nonzero_keys
 from closeledger.operators.control import row_count
-from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict, salted_join
+from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict, hot_keys, salted_join
 from closeledger.operators.hierarchy import leaf_set
+from closeledger.operators.membership import membership_filter
 from closeledger.operators.rules import FLAG, SegmentRule, tag_one, tag_segments, tag_segments_union
 from closeledger.operators.watermark import up_to, watermark_bound
 
@@ -117,8 +118,11 @@ def segment_balances(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Non-zero balances per (segment flag, raw keys) for one period."""
-    tagger = tag_segments if single_pass else tag_segments_union
-    tagged = tagger(period_slice(fact, period), leaves, rules, max_broadcast_rows)
+    lines = period_slice(fact, period)
+    if single_pass:
+        tagged = tag_segments(lines, leaves, rules, max_broadcast_rows, grain=keys)
+    else:
+        tagged = tag_segments_union(lines, leaves, rules, max_broadcast_rows)
     return nonzero(balance(tagged, [FLAG, *keys]))
 
 
@@ -233,6 +237,7 @@ def journal_balances(
     keys: list[str],
     bound: Column | dt.date | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    since: dt.date | None = None,
 ) -> DataFrame:
     """Sum of ``amount`` per raw ``keys`` plus ``user`` (operator name, or the
     operator id when the name is missing), over lines of ``scope`` joined to
@@ -242,6 +247,8 @@ def journal_balances(
     )
     if bound is not None:
         lines = up_to(lines, bound)
+    if since is not None:
+        lines = lines.filter(F.col("posted_date") > F.lit(since))
 
     units = leaf_set(leaves, scope.node, scope.tree, distinct=False).select(F.col("leaf").alias("__leaf"))
     ops = operators.select(F.col("employeeid").alias("__opid"), F.col("employeename").alias("__opname"))
@@ -250,17 +257,22 @@ def journal_balances(
         [units, ops], ["__leaf", "__opid"], [unit_key, F.col("oprid")], lines, max_broadcast_rows
     )
 
+    unit_hot = op_hot = None
     if not (units_small and ops_small):
+        if not units_small and (kept := membership_filter(units, "__leaf", max_broadcast_rows)) is not None:
+            lines = kept.keep(lines, unit_key)
+        # one pass of the lines tells the hot keys of both joins
+        unit_hot, op_hot = hot_keys(lines, [unit_key, F.col("oprid")])
         # a shuffle join is coming: move groups, not lines.  Summing before
         # the join is exact because the join only multiplies or keeps rows.
         pre_keys = list(dict.fromkeys([*keys, scope.unit_column, "oprid"]))
         lines = lines.groupBy(*pre_keys).agg(F.sum("amount").alias("amount"))
 
-    def join(left, right, cond, how, small):
-        return left.join(right, cond, how) if small else salted_join(left, right, cond, how)
+    def join(left, right, key, side_key, how, small, hot):
+        return left.join(right, key == side_key, how) if small else salted_join(left, right, key, side_key, how, hot)
 
-    joined = join(lines, units, unit_key == F.col("__leaf"), "inner", units_small)
-    joined = join(joined, ops, F.col("oprid") == F.col("__opid"), "left", ops_small)
+    joined = join(lines, units, unit_key, F.col("__leaf"), "inner", units_small, unit_hot)
+    joined = join(joined, ops, F.col("oprid"), F.col("__opid"), "left", ops_small, op_hot)
     user = F.coalesce(F.col("__opname"), F.col("oprid")).alias("user")
     return joined.groupBy(*keys, user).agg(F.sum("amount").cast(MONEY_SUM).alias("amt"))
 
@@ -339,14 +351,17 @@ def journal_watermarked(
     bound: Column | dt.date | None = None,
     run_ts: dt.datetime | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    since: dt.date | None = None,
 ) -> DataFrame:
     """EXT-9: incremental journal extract, lines posted up to the watermark
-    (the latest already-extracted posting day, or ``bound`` if given)."""
+    (the latest already-extracted posting day, or ``bound`` if given) and, with
+    ``since``, after that day.  With both days given (a stored mark and a closed
+    posting day) the fact is scanned once."""
     if bound is None:
         if posted_dates is None:
             raise ValueError("give posted_dates or bound")
         bound = watermark_bound(posted_dates)
-    b = journal_balances(fact, leaves, operators, scope, period, JOURNAL_WATERMARK_KEYS, bound, max_broadcast_rows)
+    b = journal_balances(fact, leaves, operators, scope, period, JOURNAL_WATERMARK_KEYS, bound, max_broadcast_rows, since)
     return b.select(
         F.col("business_unit").alias("unit"),
         F.col("operating_unit").alias("oper_unit"),
