@@ -18,10 +18,14 @@ shared by every extract of the run.  Config keys:
     line_segments  same shape; defaults to ``segments``
     journal_scope  {node, ledger, project_prefix, tree}
     folders        output folders for file jobs
+    check_content  landing jobs: hold the rows against an independent build
+                   before anything is published (default false)
     stage_period   landing-files: checkpoint the period slice once (for a
                    fact not partitioned by period)
     landing_table, count_table   targets of landing-load: a path (Parquet,
                    appended) or {"jdbc": url, "table": t, "properties": {...}}
+    marks          journal-incremental: folder of durable posting-day marks;
+                   each run then takes the lines posted after the last one
     audit          path of the audit table (Parquet), optional
 """
 
@@ -30,6 +34,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -94,13 +99,15 @@ def build_specs(
             ledger, line_segments if line else segments, period, run_ts,
             _target(cfg["landing_table"]), _target(cfg["count_table"]),
             line_grain=line, with_posted_date=bool(cfg.get("with_posted_date", False)),
+            check_content=bool(cfg.get("check_content", False)),
         )
     if job == "landing-files":
-        return jobs.landing_files(ledger, segments, period, run_ts, folders, stage=bool(cfg.get("stage_period", False)))
+        return jobs.landing_files(ledger, segments, period, run_ts, folders, stage=bool(cfg.get("stage_period", False)),
+                                  check_content=bool(cfg.get("check_content", False)))
     if job == "journal-files":
         return jobs.journal_files(ledger, scope, period, run_ts, folders)
     if job == "journal-incremental":
-        return jobs.journal_incremental(ledger, scope, period, run_ts, folders)
+        return jobs.journal_incremental(ledger, scope, period, run_ts, folders, marks=cfg.get("marks"), closed=run_date - dt.timedelta(days=1))
     raise ValueError(f"unknown job {job!r}; one of {JOBS}")
 
 
@@ -120,7 +127,7 @@ def main(argv: list[str] | None = None) -> int:
     run_ts = now.replace(microsecond=now.microsecond // 1000 * 1000)
     run_date = a.run_date or run_ts.date()
     specs = build_specs(spark, a.job, cfg, run_date, run_ts, a.period)
-    audit = AuditLog(ParquetTarget(cfg["audit"]), app_name=f"closeledger:{a.job}") if cfg.get("audit") else None
+    audit = AuditLog(ParquetTarget(cfg["audit"]), path=os.path.abspath(a.config)) if cfg.get("audit") else None
     for r in run_all(spark, specs, audit):
         print(json.dumps({"extract": r.name, "rows": r.rows, "high_water": str(r.high_water) if r.high_water else None,
                           "control_rows": r.control_rows, "elapsed_sec": round(r.elapsed_sec, 3)}))

@@ -14,8 +14,9 @@ audit row per extract.
 * ``journal_files``     journal summary, stored control counts, journal
                         detail, each published to several folders;
 * ``journal_incremental`` the watermarked journal extract with its new
-                        high-water mark in the run result, published to
-                        several folders.
+                        high-water mark in the run result (or in a store of
+                        marks that chains the runs), published to several
+                        folders.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame
 
 from closeledger.functions.period import run_date_stamp
 from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS
+from closeledger.operators.fingerprint import ContentCheck
 from closeledger.operators.rules import SegmentRule
 from closeledger.plans import extracts as X
 from closeledger.plans.runner import ExtractSpec
 from closeledger.sinks.files import CsvTarget
+from closeledger.sinks.marks import MarkStore
 
 
 @dataclass(frozen=True)
@@ -66,6 +69,16 @@ def _csv_targets(folders: list[str], stem: str, names: list[str], stamp: str) ->
     return tuple(CsvTarget(f"{f.rstrip('/')}/{stem}_{stamp}.csv", tuple(names)) for f in folders)
 
 
+def _landing_content(ledger: Ledger, rules, period: dt.date, run_ts: dt.datetime, extract=X.landing, **more) -> ContentCheck:
+    """The landing extract built rule by rule, to be held against the
+    single-pass one."""
+    return ContentCheck(
+        lambda _s: extract(ledger.fact, ledger.leaves, rules, period, run_ts, single_pass=False, **more),
+        segments=("bus_flg",),
+        keys=("gl_acct", "lgr", "ucmg_id", "bu", "ou", "loc", "dept"),
+    )
+
+
 def landing_load(
     ledger: Ledger,
     rules: tuple[SegmentRule, ...],
@@ -76,9 +89,11 @@ def landing_load(
     line_grain: bool = False,
     with_posted_date: bool = False,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    check_content: bool = False,
 ) -> list[ExtractSpec]:
     """Landing extract appended to its table, then the control count to
-    its own table; the landing spec reconciles against the count."""
+    its own table; the landing spec reconciles against the count, and with
+    ``check_content`` every row against the UNION ALL form of the extract."""
 
     def control(_spark):
         return X.control_count(ledger.fact, ledger.leaves, rules, period, run_ts, max_broadcast_rows=max_broadcast_rows)
@@ -87,7 +102,8 @@ def landing_load(
         def build(_spark):
             return X.landing_line(ledger.fact, ledger.leaves, rules, period, run_ts, with_posted_date, max_broadcast_rows=max_broadcast_rows)
         # the control count is at landing grain; line-grain rows are not reconciled against it
-        return [ExtractSpec("landing_line", build, (landing_target,))]
+        content = _landing_content(ledger, rules, period, run_ts, X.landing_line, with_posted_date=with_posted_date) if check_content else None
+        return [ExtractSpec("landing_line", build, (landing_target,), content=content)]
 
     def build_landing(_spark):
         return X.landing(ledger.fact, ledger.leaves, rules, period, run_ts, max_broadcast_rows=max_broadcast_rows)
@@ -96,7 +112,8 @@ def landing_load(
     # the count observed while it was written (computed once per run)
     return [
         ExtractSpec("control_count", control, (count_target,), count_column="row_cnt"),
-        ExtractSpec("landing", build_landing, (landing_target,), control="control_count"),
+        ExtractSpec("landing", build_landing, (landing_target,), control="control_count",
+                    content=_landing_content(ledger, rules, period, run_ts) if check_content else None),
     ]
 
 
@@ -108,6 +125,7 @@ def landing_files(
     folders: list[str],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     stage: bool = False,
+    check_content: bool = False,
 ) -> list[ExtractSpec]:
     """Landing file, its control count and the period pass-through.  All
     three read the period slice; ``stage=True`` checkpoints that slice once
@@ -126,7 +144,8 @@ def landing_files(
     return [
         ExtractSpec("control_count", count, _csv_targets(folders, "control_count", X.CSV_NAMES["control_count"], stamp),
                     count_column="row_cnt"),
-        ExtractSpec("landing", landing, _csv_targets(folders, "landing", X.CSV_NAMES["landing"], stamp), control="control_count"),
+        ExtractSpec("landing", landing, _csv_targets(folders, "landing", X.CSV_NAMES["landing"], stamp), control="control_count",
+                    content=_landing_content(ledger, rules, period, run_ts, ts_text=True) if check_content else None),
         ExtractSpec(
             "period_passthrough",
             lambda _s: X.period_passthrough(ledger.fact, period),
@@ -172,10 +191,30 @@ def journal_incremental(
     run_ts: dt.datetime,
     folders: list[str],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    marks: str | None = None,
+    closed: dt.date | None = None,
 ) -> list[ExtractSpec]:
-    if ledger.operators is None or ledger.posted_dates is None:
-        raise ValueError("journal_incremental needs the operator dimension and the posted-dates table")
+    """The journal extract up to the latest posting day of the posted-dates
+    table; or, with ``marks`` (a folder on shared storage), the lines posted
+    after the mark of the last run up to the day ``closed`` (default: the day
+    before the run), after which no line may be posted on it.  Runs chained by their marks lose and repeat no line."""
+    if ledger.operators is None or (ledger.posted_dates is None and marks is None):
+        raise ValueError("journal_incremental needs the operator dimension, and the posted-dates table or a folder of marks")
     stamp = run_date_stamp(run_ts.date())
+    if marks is not None:
+        through = closed or run_ts.date() - dt.timedelta(days=1)
+        return [
+            ExtractSpec(
+                "journal_watermarked",
+                lambda _s, since: X.journal_watermarked(
+                    ledger.fact, ledger.leaves, ledger.operators, scope, period,
+                    bound=through, since=since, run_ts=run_ts, max_broadcast_rows=max_broadcast_rows,
+                ),
+                _csv_targets(folders, "journal_watermarked", X.CSV_NAMES["journal_watermarked"], stamp),
+                high_water_column="posted",
+                mark=MarkStore(marks, f"journal_watermarked-{period:%Y-%m}"),
+            )
+        ]
     return [
         ExtractSpec(
             "journal_watermarked",

@@ -6,9 +6,10 @@ each spec the runner:
 
 1. builds the DataFrame and attaches an ``Observation`` (row count, new
    high-water mark) so the metrics come from the writing pass;
-2. publishes it (first target written, the others copied from it);
-3. optionally reconciles the observed row count with an independent
-   control count;
+2. publishes it (first target written, the others copied from it), after
+   holding it against an independent control count, where one is given, and
+   against the contents of an independent build (``content``);
+3. commits its new posting-day mark, where the spec has a mark store;
 4. appends an audit row (``Rowcount: n``), or an ``Error`` row and
    re-raises on failure.
 
@@ -26,8 +27,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from closeledger.operators.control import check_reconciled
+from closeledger.operators.fingerprint import ContentCheck, check_contents
 from closeledger.session import ensure_checkpoint_dir
 from closeledger.sinks.audit import AuditLog, observe_extract
+from closeledger.sinks.marks import MarkStore
 from closeledger.sinks.publish import publish
 
 
@@ -35,14 +38,24 @@ from closeledger.sinks.publish import publish
 class ExtractSpec:
     """``control`` is either a builder of an independent control-count frame
     (column ``row_cnt``), or the name of an earlier spec of the same run
-    whose written ``row_cnt`` was observed (``count_column="row_cnt"``)."""
+    whose written ``row_cnt`` was observed (``count_column="row_cnt"``).
+
+    With ``mark``, ``build`` also takes the day after which lines are new (the
+    committed mark, or None), and the latest ``high_water_column`` becomes the
+    next mark once all targets are published."""
 
     name: str
-    build: Callable[[SparkSession], DataFrame]
+    build: Callable[..., DataFrame]
     targets: Sequence = field(default_factory=tuple)
     high_water_column: str | None = None
     control: Callable[[SparkSession], DataFrame] | str | None = None
     count_column: str | None = None
+    mark: MarkStore | None = None
+    content: ContentCheck | None = None
+
+    def __post_init__(self) -> None:
+        if self.mark is not None and self.high_water_column is None:
+            raise ValueError(f"{self.name}: a mark needs the column it is taken from")
 
     @staticmethod
     def from_sql(name: str, sql: str, args: Mapping | None = None, **kw) -> ExtractSpec:
@@ -74,7 +87,8 @@ def run_spec(
 ) -> RunResult:
     start = time.monotonic()
     try:
-        built = spec.build(spark)
+        since = spec.mark.read(spark) if spec.mark is not None else None
+        built = spec.build(spark) if since is None else spec.build(spark, since.value)
         control_rows = None
         if isinstance(spec.control, str):
             ref = (earlier or {}).get(spec.control)
@@ -84,23 +98,29 @@ def run_spec(
         elif spec.control is not None:
             first = spec.control(spark).select("row_cnt").first()
             control_rows = int(first[0]) if first is not None else 0
-        if control_rows is not None:
+        if control_rows is not None or spec.content is not None:
             # reconciled before any target is touched, on the stored result
             ensure_checkpoint_dir(spark)
             built = built.checkpoint(eager=True)
+        if control_rows is not None:
             check_reconciled(built.count(), control_rows)
+        if spec.content is not None:
+            check_contents(built, spec.content.build(spark), spec.content)
         df, obs = observe_extract(built, spec.name, spec.high_water_column, spec.count_column)
         publish(spark, df, spec.targets)
         metrics = obs.get
         rows = int(metrics["rows"])
         counted = metrics.get("counted")
+        high_water = metrics.get("high_water")
+        if since is not None and high_water is not None:
+            spec.mark.commit(spark, since, high_water)
         result = RunResult(
-            spec.name, rows, metrics.get("high_water"), time.monotonic() - start, control_rows,
+            spec.name, rows, high_water, time.monotonic() - start, control_rows,
             int(counted) if counted is not None else None,
         )
     except Exception as e:
         if audit is not None:
-            audit.error(spark, f"{spec.name}: {type(e).__name__}: {e}")
+            audit.error(spark, f"{spec.name}: {type(e).__name__}: {e}", cause=e)
         raise
     if audit is not None:
         audit.info(spark, result.message)

@@ -7,6 +7,8 @@ the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,6 +55,21 @@ def local_session(master: str = "local[8]", app: str = "closeledger", extra: dic
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="closeledger-"), "closeledger")
+        shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(f"{archive}.zip")
+        _shipped.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

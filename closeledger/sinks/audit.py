@@ -5,11 +5,19 @@ row count and its new high-water mark (latest posting day written) are
 computed by the same tasks that write it: no second pass, no collect.
 After the write, one audit row ``Rowcount: n`` is appended to the audit
 table; a failure appends an ``Error`` row and is re-raised.
+
+Every row tells where it comes from: the application is ``host:path:method``
+(unless the log has a name of its own) and the line is the one that wrote the
+row; an error has method and line of the code that raised it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
+import platform
+import sys
+import traceback
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,16 +59,39 @@ def audit_frame(
     return spark.createDataFrame([(ts, level, log_class, app_name, line_num, message)], AUDIT_LOG)
 
 
+#: Code that raises on behalf of its caller.
+_BELOW = (f"{os.sep}pyspark{os.sep}", f"{os.sep}py4j{os.sep}")
+
+
+def origin(cause: BaseException | None = None) -> tuple[str, int]:
+    """Method and line that write an audit row, or that raised ``cause``."""
+    if cause is not None:
+        frames = [f for f in traceback.extract_tb(cause.__traceback__) if not any(b in f.filename for b in _BELOW)]
+        if frames:
+            return frames[-1].name, frames[-1].lineno or 0
+    frame = sys._getframe(1)
+    while frame.f_back is not None and frame.f_code.co_filename == __file__:
+        frame = frame.f_back
+    return frame.f_code.co_name, frame.f_lineno
+
+
 @dataclass(frozen=True)
 class AuditLog:
     """Where audit rows go: any target with ``write(df)`` (Parquet table,
-    JDBC table) that appends."""
+    JDBC table) that appends.  ``path`` is that of the job (default: the
+    running program)."""
 
     target: object
-    app_name: str = "closeledger"
+    app_name: str | None = None
+    path: str | None = None
+
+    def _write(self, spark: SparkSession, message: str, level: str, at: dt.datetime | None, cause: BaseException | None) -> None:
+        method, line = origin(cause)
+        name = self.app_name or f"{platform.node()}:{self.path or os.path.abspath(sys.argv[0])}:{method}"
+        self.target.write(audit_frame(spark, message, name, level, line_num=line, at=at))
 
     def info(self, spark: SparkSession, message: str, at: dt.datetime | None = None) -> None:
-        self.target.write(audit_frame(spark, message, self.app_name, LEVEL_INFO, at=at))
+        self._write(spark, message, LEVEL_INFO, at, None)
 
-    def error(self, spark: SparkSession, message: str, at: dt.datetime | None = None) -> None:
-        self.target.write(audit_frame(spark, message, self.app_name, LEVEL_ERROR, at=at))
+    def error(self, spark: SparkSession, message: str, at: dt.datetime | None = None, cause: BaseException | None = None) -> None:
+        self._write(spark, message, LEVEL_ERROR, at, cause)

@@ -10,13 +10,14 @@ With ``crlf=True`` Spark's writer also turns a line feed *inside* a quoted
 field into ``\r\n``; the default ``\n`` keeps field text unchanged.
 
 A CSV extract is a directory of part files written in parallel, one header
-per part.  ``single_file=True`` coalesces to one writer task and is meant
-for small aggregates only (a control count, a landing extract); never for a
-period pass-through.
+per part.  With ``single_file=True`` it holds one file with one header: the
+parts are written in parallel without headers, and their bytes are put together
+(``copies.one_csv_file``), so no extract passes through one writer task.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closeledger.functions.labels import as_text_view, rename_positional
+from closeledger.session import ensure_checkpoint_dir
+from closeledger.sinks.copies import one_csv_file
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -59,12 +62,17 @@ def write_csv(
     crlf: bool = False,
 ) -> None:
     out = csv_frame(df, names)
-    if single_file:
-        out = out.coalesce(1)
-    w = out.write.mode(mode).options(**CSV_WRITE_OPTIONS)
-    if crlf:
-        w = w.option("lineSep", "\r\n")
-    w.csv(path)
+    end = "\r\n" if crlf else "\n"
+    w = out.write.mode(mode).options(**CSV_WRITE_OPTIONS).option("lineSep", end)
+    if not single_file:
+        w.csv(path)
+        return
+    if mode != "overwrite":
+        raise ValueError("a single file replaces the one before it; use mode='overwrite'")
+    parts = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/csv-parts-{uuid.uuid4().hex}"
+    w.option("header", "false").csv(parts)
+    header = ",".join('"' + c.replace('"', '""') + '"' for c in out.columns) + end
+    one_csv_file(df.sparkSession, parts, header.encode(), path)
 
 
 def read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
