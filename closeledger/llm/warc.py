@@ -45,8 +45,11 @@ from closeledger.session import ensure_checkpoint_dir
 
 #: Bytes after which a task starts a new file, and bytes of a reader's range.
 FILE_BYTES, RANGE_BYTES = 256 << 20, 8 << 20
-#: Bytes read from a file at once, and bytes that a WARC or HTTP header has at most.
-READ_BYTES, HEADER_BYTES = 256 << 10, 1 << 20
+#: Payload bytes that a writing task has at least, unless there are fewer.
+TASK_BYTES = 16 << 20
+#: Bytes read from a file at once, bytes decoded at once, and bytes that a WARC or
+#: HTTP header has at most.
+READ_BYTES, FEED_BYTES, HEADER_BYTES = 1 << 20, 16 << 10, 1 << 20
 #: Share of all rows from which a group of equal payloads is met by broadcast.
 HOT = 1000
 
@@ -113,8 +116,10 @@ def write_warc(pages: DataFrame, path: str, key: str, url: str, payload: str, le
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body, F.monotonically_increasing_id().alias("row"))
     name = F.concat(F.lit(URN), F.coalesce(F.concat(F.lit("k"), F.url_encode(F.col("key").cast("string"))), F.lit("")), F.lit(":"), F.col("row").cast("string"))
     rows = rows.select("*", F.octet_length("payload").cast("long").alias("size"), F.sha1(F.col("payload").cast("binary")).alias("digest"), name.alias("record_id"))
-    rows, totals = stored_with(rows, "pages", n=F.count("*"))
+    rows, totals = stored_with(rows, "pages", n=F.count("*"), bytes=F.sum("size"))
     rows = with_revisits(rows, totals["n"], least_bytes).select("record_id", "url", "payload", "refers_id")
+    # small tables make few files; larger ones have a file per shuffle partition at least
+    rows = rows.coalesce(max(1, min(partitions(pages.sparkSession), (totals["bytes"] or 0) // TASK_BYTES)))
     files, root = file_of(path)
     files.create_dir(root, recursive=True)
 
@@ -159,25 +164,34 @@ class Archive:
     def __init__(self, path: str) -> None:
         files, place = file_of(path)
         self.path, self.file = path, files.open_input_file(place)
-        self.length = self.file.size()
+        self.length, self.held_at, self.held = self.file.size(), 0, b""
 
-    def read(self, at: int, n: int = READ_BYTES) -> bytes:
-        return self.file.read_at(min(n, self.length - at), at) if at < self.length else b""
+    def read(self, at: int, n: int) -> bytes:
+        """Up to ``n`` bytes from ``at`` on (none at the end only)."""
+        inside = at - self.held_at
+        if not 0 <= inside < len(self.held) and at < self.length:
+            self.held_at, inside = at, 0
+            self.held = self.file.read_at(min(READ_BYTES, self.length - at), at)
+        return self.held[inside : inside + n] if at < self.length else b""
 
     def magic(self, at: int, stop: int) -> int | None:
         """First place of gzip magic from ``at`` on, before ``stop``."""
-        while at < stop:
-            data = self.read(at, min(READ_BYTES, stop - at) + len(MAGIC) - 1)
+        tail = b""
+        while at < stop + len(MAGIC) - 1:
+            data = self.read(at, min(FEED_BYTES, stop + len(MAGIC) - 1 - at))
+            if not data:
+                return None
+            data, at = tail + data, at + len(data)
             if (found := data.find(MAGIC)) >= 0:
-                return at + found
-            at += max(1, len(data) - len(MAGIC) + 1)
+                return at - len(data) + found
+            tail = data[1 - len(MAGIC) :]
         return None
 
     def pieces(self, at: int) -> Iterator[tuple[bytes, int | None]]:
         """Decoded pieces of the member at ``at``; with the last, its end."""
         unpack = zlib.decompressobj(31)
         while not unpack.eof:
-            data = self.read(at)
+            data = self.read(at, FEED_BYTES)
             if not data:
                 raise zlib.error("member ends early")
             at += len(data)
@@ -283,7 +297,8 @@ def read_index(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     spark, step = files.sparkSession, range_bytes or RANGE_BYTES
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(step).cast("long")))
     ranges = files.where("length > 0").select("path", starts.alias("start"))
-    ranges = ranges.repartition(partitions(spark), "path", "start")
+    n = files.agg(F.sum(F.ceil(F.col("length") / step)).alias("n")).first()["n"] or 1
+    ranges = ranges.repartition(min(partitions(spark), int(n)))
     kinds = {"start": pa.int64(), "stop": pa.int64(), "payload_bytes": pa.int64()}
     names = [c.split()[0] for c in INDEX.split(", ")]
 

@@ -49,6 +49,8 @@ def odd_rows():
 def test_round_trip(spark, scratch, monkeypatch, step):
     monkeypatch.setattr(warc, "FILE_BYTES", 30_000)
     monkeypatch.setattr(warc, "READ_BYTES", 4096)
+    monkeypatch.setattr(warc, "FEED_BYTES", 100)
+    monkeypatch.setattr(warc, "TASK_BYTES", 100_000)
     monkeypatch.setattr(warc, "HOT", 10)
     rows = odd_rows()
     files = write_warc(pages_of(spark, rows), scratch, "page_id", "url", "html")
