@@ -79,7 +79,7 @@ def _any(preds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, preds)
 
 
-def _check_flags(rules: list[SegmentRule]) -> None:
+def check_flags(rules: list[SegmentRule]) -> None:
     """Rules are aggregated one by one, so two may not share a flag."""
     if not rules:
         raise ValueError("at least one segment rule is required")
@@ -102,7 +102,7 @@ def tag_segments(
     such sets are dropped before it, and with ``grain`` (the keys that the
     caller sums ``amount`` by) the others are summed to groups first."""
     rules = list(rules)
-    _check_flags(rules)
+    check_flags(rules)
     out = df.filter(_any([r.column_predicate() for r in rules]))
 
     refs: list[HierarchyRef] = []
@@ -174,6 +174,6 @@ def tag_segments_union(
 ) -> DataFrame:
     """One scan per rule, then UNION ALL of the lines; with one flag per rule,
     aggregates over it are those of each rule."""
-    _check_flags(list(rules))
+    check_flags(list(rules))
     parts = [tag_one(df, leaves, r, max_broadcast_rows) for r in rules]
     return reduce(lambda a, b: a.unionByName(b), parts)

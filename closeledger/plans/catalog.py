@@ -5,6 +5,8 @@ DataFrame over the whole derived ledger."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +24,18 @@ from closeledger.functions.period import (
 from closeledger.operators.balances import balance, nonzero
 from closeledger.operators.control import reconcile
 from closeledger.operators.dimension import bounded_broadcast
+from closeledger.operators.fingerprint import ContentCheck, content_differences
 from closeledger.operators.hierarchy import duplicate_leaf_impact, in_hierarchy, join_leaves
+from closeledger.operators.rule_index import tag_segments_indexed
 from closeledger.operators.rules import FLAG, HierarchyRef, SegmentRule, tag_segments
 from closeledger.operators.watermark import watermark_frame
 from closeledger.plans import extracts as X
+from closeledger.plans.runner import ExtractSpec, run_spec
+from closeledger.session import ensure_checkpoint_dir
+from closeledger.sinks.files import ParquetTarget, write_ledger_fact
+from closeledger.sinks.marks import MarkStore
 from closeledger.sources import testdata as td
+from closeledger.sources.zone_map import read_matching, refresh
 
 # Fixed values of the test-data segment rules (codes as in the shipped
 # extracts; node names are neutral stand-ins).
@@ -236,6 +245,92 @@ def q_stored_count(spark, d):
     return X.stored_count(stored_counts(spark, d))
 
 
+def q_hierarchy_semi_ledger(spark, d):
+    """Membership over the whole ledger: lines per period and operating unit."""
+    lines = in_hierarchy(td.ledger_fact(spark, d), "operating_unit", "S", _leaves(spark, d), td.OPER_NODE)
+    return lines.groupBy("drill_date", "operating_unit").agg(F.count(F.lit(1)).alias("lines"), F.sum("amount").cast("decimal(38,4)").alias("amt"))
+
+
+def q_hierarchy_fanout_ledger(spark, d):
+    """The fan-out join over the whole ledger: listings multiply the sums."""
+    lines = join_leaves(td.ledger_fact(spark, d), "operating_unit", "S", _leaves(spark, d), td.OPER_NODE)
+    return lines.groupBy("drill_date", "operating_unit").agg(F.count(F.lit(1)).alias("lines"), F.sum("amount").cast("decimal(38,4)").alias("amt"))
+
+
+def q_nonzero_rounded(spark, d):
+    """Balances of amounts with twelve decimals: many sums are not zero but
+    round to it, and drop."""
+    small = td.ledger_fact(spark, d).withColumn("amount", F.expr("amount * 0.00000001BD"))
+    return nonzero(balance(small, X.LANDING_KEYS))
+
+
+def q_landing_rule_index(spark, d):
+    """The landing extract with its rules looked up in the rule index."""
+    tagged = tag_segments_indexed(X.period_slice(_fact(spark, d), PERIOD), _leaves(spark, d), LANDING_RULES)
+    return nonzero(balance(tagged, [FLAG, *X.LANDING_KEYS]))
+
+
+def many_rules(spark, d, per_department: int = 40) -> list[SegmentRule]:
+    """Overlapping rules: for every department of a nation, ranges of accounts
+    that begin every 2,000 and are 3,000 long; every fourth also asks for a
+    ledger, every fifth for a project under the capital projects' node."""
+    capital = HierarchyRef("project_id", "J", td.PROJ_NODE, td.PROJ_TREE)
+    nations = sorted(r["n_nationkey"] for r in td.table(spark, d, "nation").select("n_nationkey").distinct().collect())
+    rules = []
+    for n in nations:
+        for i in range(per_department):
+            ledger = (("ledger", "GAAP"),) if i % 4 == 0 else ()
+            low = 10_000 + 2_000 * i
+            rules.append(SegmentRule(
+                f"{n}-{i}", (("deptid", f"2203{n:02d}"), *ledger), (str(low), str(low + 3_000)), hierarchies=(capital,) if i % 5 == 0 else ()
+            ))
+    return rules
+
+
+def q_landing_many_rules(spark, d):
+    """The landing extract under 40 rules per nation (1,000 for 25), by the
+    index: one scan of the ledger, a plan of the same size as for two."""
+    return X.landing(_fact(spark, d), _leaves(spark, d), many_rules(spark, d), PERIOD, RUN_TS)
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_landing_zone_map(spark, d):
+    """The landing extract over the stored ledger, from the files that its zone
+    map names only."""
+    path = _scratch(spark, "ledger")
+    write_ledger_fact(td.ledger_fact(spark, d), path)
+    zones = refresh(spark, path, f"{path}-zones")
+    return X.landing(read_matching(spark, path, zones, PERIOD, LANDING_RULES), _leaves(spark, d), LANDING_RULES, PERIOD, RUN_TS)
+
+
+#: Last posting days of the two chained runs of ``journal_after_mark``.
+CHAIN = (td.FIXTURE_WATERMARK, dt.date(1998, 6, 30))
+
+
+def q_journal_after_mark(spark, d):
+    """The second of two chained incremental runs: lines posted after the mark
+    that the first one committed."""
+    store = MarkStore(_scratch(spark, "marks"), "journal")
+    inputs = (_fact(spark, d), _leaves(spark, d), td.operators(spark, d), JOURNAL_SCOPE, PERIOD)
+    first = ExtractSpec(
+        "journal", lambda _s, since: X.journal_watermarked(*inputs, bound=CHAIN[0], since=since, run_ts=RUN_TS),
+        (ParquetTarget(_scratch(spark, "journal")),), high_water_column="posted", mark=store,
+    )
+    run_spec(spark, first)
+    return X.journal_watermarked(*inputs, bound=CHAIN[1], since=store.read(spark).value, run_ts=RUN_TS)
+
+
+def q_content_differences(spark, d):
+    """Groups in which the landing extract differs between the landing rules
+    and the line rules (which ask for one ledger)."""
+    check = ContentCheck(lambda s: s.range(0), (FLAG,), ("gl_acct", "lgr", "ucmg_id", "ou", "loc", "dept"))
+    line = X.landing(_fact(spark, d), _leaves(spark, d), LINE_RULES, PERIOD, RUN_TS)
+    return content_differences(q_landing(spark, d), line, check)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "close_period_12": q_close_period_12,
     "close_period_20": q_close_period_20,
@@ -264,4 +359,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_text_view": q_csv_text_view,
     "duplicate_leaf_check": q_duplicate_leaf_check,
     "stored_count": q_stored_count,
+    "hierarchy_semi_ledger": q_hierarchy_semi_ledger,
+    "hierarchy_fanout_ledger": q_hierarchy_fanout_ledger,
+    "nonzero_rounded": q_nonzero_rounded,
+    "landing_rule_index": q_landing_rule_index,
+    "landing_many_rules": q_landing_many_rules,
+    "landing_zone_map": q_landing_zone_map,
+    "journal_after_mark": q_journal_after_mark,
+    "content_differences": q_content_differences,
 }

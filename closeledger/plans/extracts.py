@@ -44,9 +44,13 @@ from closeledger.operators.control import row_count
 from closeledger.operators.dimension import DEFAULT_BROADCAST_ROWS, broadcast_or_restrict, hot_keys, salted_join
 from closeledger.operators.hierarchy import leaf_set
 from closeledger.operators.membership import membership_filter
+from closeledger.operators.rule_index import tag_segments_indexed
 from closeledger.operators.rules import FLAG, SegmentRule, tag_one, tag_segments, tag_segments_union
 from closeledger.operators.watermark import up_to, watermark_bound
 
+#: Rules that stand in a plan one by one.
+INDEXED_RULES = 16
+
 LANDING_KEYS = ["account", "ledger", "drill_date", "project_id", "business_unit", "operating_unit", "location", "deptid"]
 LINE_KEYS = LANDING_KEYS + ["line_descr", "descr", "descr254", "oprid", "journal_id", "source"]
 LINE_POSTED_KEYS = LINE_KEYS + ["posted_date"]
@@ -117,9 +121,13 @@ def segment_balances(
     single_pass: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Non-zero balances per (segment flag, raw keys) for one period."""
+    """Non-zero balances per (segment flag, raw keys) for one period.  More
+    than ``INDEXED_RULES`` rules are looked up in an index instead of standing
+    in the plan one by one; the lines found are the same."""
     lines = period_slice(fact, period)
-    if single_pass:
+    if single_pass and len(rules) > INDEXED_RULES:
+        tagged = tag_segments_indexed(lines, leaves, rules, max_broadcast_rows)
+    elif single_pass:
         tagged = tag_segments(lines, leaves, rules, max_broadcast_rows, grain=keys)
     else:
         tagged = tag_segments_union(lines, leaves, rules, max_broadcast_rows)

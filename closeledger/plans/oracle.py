@@ -130,6 +130,18 @@ SELECT 'A'||account gl_acct, ledger lgr, 'FY'||cast(year(drill_date) as varchar)
 GROUP BY account, ledger, drill_date, project_id, business_unit, operating_unit, location, deptid,
   reversal_cd, journal_id, posted_date, {USER}"""
 
+JOURNAL_WATERMARKED = f"""
+SELECT business_unit unit, operating_unit oper_unit, account, location, deptid dept, journal_id,
+  {USER} "user", project_id project, replace(line_descr, '"', ' ') line_descr,
+  cast(year(drill_date) as integer) "year", cast(month(drill_date) as integer) "period", source,
+  cast(sum(amount) as decimal(38,4)) amount, posted_date posted, reversal_cd, {RUN_TS} runtime, descr
+{JOURNAL_FROM}
+  AND {{posted}}
+GROUP BY business_unit, operating_unit, account, location, deptid, journal_id, project_id, line_descr,
+  drill_date, source, posted_date, reversal_cd, descr, {USER}"""
+JOURNAL_AFTER_MARK = JOURNAL_WATERMARKED.format(posted=f"""a.posted_date <= DATE '1998-06-30' AND a.posted_date > (
+    SELECT max(a.posted_date) {JOURNAL_FROM} AND a.posted_date <= DATE '1998-05-31')""")
+
 ORACLE: dict[str, str] = {
     "close_period_12": """
 SELECT run_date, cast(CASE WHEN day(run_date) <= 12 THEN date_trunc('month', run_date - INTERVAL 1 MONTH)
@@ -184,15 +196,8 @@ SELECT 'A'||account gl_acct, ledger lgr, 'FY'||cast(year(drill_date) as varchar)
 GROUP BY account, ledger, drill_date, project_id, line_descr, descr, oprid, source, journal_id,
   business_unit, operating_unit, location, deptid, posted_date, reversal_cd, {USER}"""),
     "watermark_scalar": _sql("SELECT coalesce(max(posted_date), DATE '1900-01-01') bound FROM pd"),
-    "journal_watermarked": _sql(f"""
-SELECT business_unit unit, operating_unit oper_unit, account, location, deptid dept, journal_id,
-  {USER} "user", project_id project, replace(line_descr, '"', ' ') line_descr,
-  cast(year(drill_date) as integer) "year", cast(month(drill_date) as integer) "period", source,
-  cast(sum(amount) as decimal(38,4)) amount, posted_date posted, reversal_cd, {RUN_TS} runtime, descr
-{JOURNAL_FROM}
-  AND a.posted_date <= (SELECT coalesce(max(posted_date), DATE '1900-01-01') FROM pd)
-GROUP BY business_unit, operating_unit, account, location, deptid, journal_id, project_id, line_descr,
-  drill_date, source, posted_date, reversal_cd, descr, {USER}"""),
+    "journal_watermarked": _sql(JOURNAL_WATERMARKED.format(
+        posted="a.posted_date <= (SELECT coalesce(max(posted_date), DATE '1900-01-01') FROM pd)")),
     "nonzero_balance": _sql(f"""
 SELECT {LANDING_GROUP}, cast(sum(amount) as decimal(19,4)) amt FROM fx
 GROUP BY {LANDING_GROUP} {NONZERO}"""),
@@ -212,4 +217,40 @@ SELECT cast(drill_date + INTERVAL 1 MONTH AS date) + 4 insert_on, count(*) row_c
 {_count_branch(SEG_A_WHERE, period=False)}
 UNION ALL
 {_count_branch(SEG_B_WHERE, period=False)}) sub GROUP BY drill_date"""),
+    "hierarchy_semi_ledger": _sql("""
+SELECT drill_date, operating_unit, count(*) lines, cast(sum(amount) as decimal(38,4)) amt FROM fx
+WHERE 'S'||operating_unit IN (SELECT leaf FROM leaves WHERE node = 'OPER_GROUP') GROUP BY drill_date, operating_unit"""),
+    "hierarchy_fanout_ledger": _sql("""
+SELECT a.drill_date, a.operating_unit, count(*) lines, cast(sum(a.amount) as decimal(38,4)) amt FROM fx a
+JOIN leaves b ON 'S'||a.operating_unit = b.leaf AND b.node = 'OPER_GROUP' GROUP BY a.drill_date, a.operating_unit"""),
+    "nonzero_rounded": _sql(f"""
+SELECT {LANDING_GROUP}, cast(sum(amount * 0.00000001) as decimal(19,4)) amt FROM fx
+GROUP BY {LANDING_GROUP} HAVING cast(sum(amount * 0.00000001) as decimal(19,4)) != 0"""),
+    "landing_rule_index": _sql(f"""
+SELECT 'A' bus_flg, {LANDING_GROUP}, cast(sum(amount) as decimal(19,4)) amt FROM fx
+WHERE drill_date = {PERIOD} AND {SEG_A_WHERE} GROUP BY {LANDING_GROUP} {NONZERO}
+UNION ALL
+SELECT 'B', {LANDING_GROUP}, cast(sum(amount) as decimal(19,4)) FROM fx
+WHERE drill_date = {PERIOD} AND {SEG_B_WHERE} GROUP BY {LANDING_GROUP} {NONZERO}"""),
+    "landing_many_rules": _sql(f""", rules AS (
+SELECT n_nationkey||'-'||i flag, '2203'||lpad(cast(n_nationkey as string),2,'0') dept_code, i,
+  cast(10000+2000*i as string) low, cast(13000+2000*i as string) high FROM nation CROSS JOIN range(40) t(i))
+SELECT {LANDING_HEAD}, {RUN_TS} insrt_on, {LANDING_TAIL}, flag bus_flg
+FROM fx JOIN rules ON deptid = dept_code AND account BETWEEN low AND high
+WHERE drill_date = {PERIOD} AND (i % 4 != 0 OR ledger = 'GAAP')
+  AND (i % 5 != 0 OR 'J'||project_id IN (SELECT leaf FROM leaves WHERE treecd = 'PROJ' AND node = 'CAPITAL_PROJ'))
+GROUP BY flag, {LANDING_GROUP} {NONZERO}"""),
+    "landing_zone_map": _sql(LANDING),
+    "journal_after_mark": _sql(JOURNAL_AFTER_MARK),
+    "content_differences": _sql(f""", l AS ({LANDING}), m AS ({_landing_branch("A", SEG_A_WHERE)}
+UNION ALL
+{_landing_branch("B", SEG_B_LINE_WHERE)}),
+s AS (SELECT 1 side, * FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM m)
+  UNION ALL SELECT -1, * FROM (SELECT * FROM m EXCEPT ALL SELECT * FROM l)),
+d AS (SELECT DISTINCT bus_flg, gl_acct, lgr, ucmg_id, ou, loc, dept FROM s),
+c AS (SELECT 1 side, * FROM l UNION ALL SELECT -1, * FROM m)
+SELECT d.*, count(*) FILTER (WHERE side = 1) extract_rows, count(*) FILTER (WHERE side = -1) control_rows
+FROM d JOIN c ON c.bus_flg = d.bus_flg AND c.gl_acct = d.gl_acct AND c.lgr = d.lgr AND c.ucmg_id IS NOT DISTINCT FROM d.ucmg_id
+  AND c.ou IS NOT DISTINCT FROM d.ou AND c.loc IS NOT DISTINCT FROM d.loc AND c.dept IS NOT DISTINCT FROM d.dept
+GROUP BY ALL"""),
 }
