@@ -4,9 +4,16 @@ similarity of 0.8 or more, and the components that these links make.
 Documents with equal sets are one class from the start.  Each class gives the
 rarest shingles of its set to the join: with the shingles in one global order,
 rare ones first, two linked sets of n shingles share one of their first
-``n - ceil(0.8 n) + 1`` (prefix filter).  Rarity is the count in a table of
-``BUCKETS`` hashed counters over the whole corpus, broadcast; ties go by hash,
-so the order is total.  Pairs that share a prefix shingle must pass the length
+``n - ceil(0.8 n) + 1`` (prefix filter).  Rarity is the number of classes that hold
+a shingle, counted exactly in one exchange (``entries``): a task packs the hashes of
+many texts into a few rows of bytes, one per range of hashes, and the task of a
+range counts in numpy.  Shingles of one class alone cannot link anything and end
+there, and so does every class whose other shingles are under 80 % of its set.
+Common shingles do not take part in the exchange: the sum of a hashed counter,
+broadcast, bounds a shingle's classes from above, and where it is beyond one in
+``COMMON`` of all classes (and well above the mean counter) it stands for their
+number, so no task meets a shingle of more classes than that.  Ties go by hash.
+Pairs that share a prefix shingle must pass the length
 filter, the positional filter (what can still match before and after the shared
 shingle) and the suffix filter (what can match in each of 16 hash ranges of the
 sets), and are then verified once, on the whole sets of both texts.
@@ -19,11 +26,12 @@ over (``work`` below), every pair whose ends are still in different components
 is verified, so no link between two components is missed.  Groups of thousands
 of near copies so cost a few rounds, not their square.
 
-All links are found next (``linked``).  The ends of a link are in one component,
-so every pair of classes of a component is compared once, on the whole sets.  A
-component is split into blocks of bounded size by a hash of the class, and each
-pair of blocks is one tile with the texts of both, so a hot component is spread
-over many tasks and a text is sent once per block, not once per pair.
+The links of every class are counted next (``link_counts``).  The ends of a link
+are in one component, so every pair of classes of a component is compared once, on
+the whole sets.  A component is split into blocks of bounded size by a hash of the
+class, and each pair of blocks is one tile with the sets of both, so a hot component
+is spread over many tasks.  A tile gives each class its number of linked rows, not
+the links, so what it gives grows with its classes; ``linked`` gives the pairs.
 
 Defined cases: a text without words, empty or null, has an empty set and links
 with nothing (its own id is its component); fewer than five words make one
@@ -36,7 +44,7 @@ Set identity rests on 64-bit hashes of 64-bit shingle hashes.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +64,19 @@ ROUNDS, WORK = 3, 8
 #: Pairs of star steps between rounds.
 STEPS = 2
 #: Classes that a task remembers as already sent.
-SEEN = 1 << 20
+SEEN = 1 << 17
+#: A shingle is common when its counter is beyond one in COMMON of all classes,
+#: FAR times the mean counter, and FEW.
+COMMON, FAR, FEW = 100, 4, 1000
+#: Bytes of packed shingles that a counting task gets, about, and bytes of a pair
+#: of shingle and class among them.
+TASK_BYTES, PAIR_BYTES = 32 << 20, 12
+#: Entries of an Arrow batch.
+ENTRIES = 1 << 20
 #: Shingles that a verifying task remembers.
 HELD = 1 << 22
 #: Shingles and classes that a block of a component has, about.
-BLOCK_SHINGLES, BLOCK_CLASSES = 1 << 20, 4096
+BLOCK_SHINGLES, BLOCK_CLASSES = 1 << 18, 256
 #: Links that a task holds before it passes them on.
 LINKS = 1 << 20
 
@@ -129,40 +145,184 @@ def place_of() -> Column:
     return F.xxhash64(F.col("doc_id").cast("string"), text, F.octet_length(text))
 
 
-def entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Prefix entries (h, node, n, at, before) whose shingle two classes or
-    more have in their prefixes; ``before`` counts the set's earlier ones."""
-    order = docs.sparkSession.sparkContext.broadcast(counts)
+_PACKED = ["part", "class", "own", "h", "count"]
 
-    def prefixes(batch: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[int, int, np.ndarray]]:
-        for sig, found in _sets(batch, seen):
-            ranked = found[np.lexsort((found, order.value[found & np.uint64(BUCKETS - 1)]))]
-            yield sig, len(found), ranked[: prefix_length(len(found))].view(np.int64)
 
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in slices(batches, "text"):
-            found = [p for _, _, p in prefixes(batch, seen)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["h"])
+def _packed(part: int, nodes: np.ndarray, own: np.ndarray | None, h: np.ndarray, count: np.ndarray | None) -> tuple:
+    """A row of pairs: classes, for each pair the number of its class (none:
+    one class a pair), shingles, and their counts."""
+    blob = lambda x: b"" if x is None else x.tobytes()
+    return part, blob(nodes), blob(own), blob(h), blob(count)
+
+
+def _packed_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=_PACKED)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(class, shingle, count) arrays of packed rows; no counts where a row
+    has none."""
+    for batch in batches:
+        for nodes, own, h, count in zip(*[batch.column(c) for c in _PACKED[1:]], strict=True):
+            found = np.frombuffer(nodes.as_buffer(), np.int64)
+            if len(own.as_buffer()):
+                found = found[np.frombuffer(own.as_buffer(), np.uint16)]
+            yield found, np.frombuffer(h.as_buffer(), np.uint64), np.frombuffer(count.as_buffer(), np.int64)
+
+
+def _first(*keys: np.ndarray) -> np.ndarray:
+    """Whether each row of sorted keys differs from the one before."""
+    out = np.ones(len(keys[0]), bool)
+    out[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return out
+
 
-    texts = docs.select("text")
-    shared = arrow_map(texts, shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    bits = docs.sparkSession.sparkContext.broadcast(bit_table(shared, "h"))
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each run of equal keys."""
+    starts = np.flatnonzero(_first(*keys))
+    return starts, np.diff(np.append(starts, len(keys[0])))
 
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _cuts(keys: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
+    """The slices of ascending 64-bit keys that lie in each of ``parts`` equal
+    ranges (a power of two)."""
+    width = np.uint64(64 - (parts.bit_length() - 1))
+    at = keys >> width if parts > 1 else np.zeros(len(keys), np.uint64)
+    for low, n in zip(*[x.tolist() for x in _runs(at)], strict=True):
+        yield int(at[low]), slice(low, low + n)
+
+
+def _parts_for(nbytes: int) -> tuple[int, int]:
+    """Tasks for so many packed bytes, and ranges (a few per task)."""
+    tasks = max(1, -(-nbytes // TASK_BYTES))
+    return tasks, 1 << (4 * tasks - 1).bit_length()
+
+
+def _scattered(texts: DataFrame, counts: np.ndarray, limit: float, parts: int) -> DataFrame:
+    """Packed pairs of every class: by ranges of shingles without counts, and
+    common shingles by ranges of classes with their counts."""
+    order = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text"):
-            out = []
-            for sig, n, prefix in prefixes(batch, seen):
-                at = np.flatnonzero(bits.value(prefix.view(np.uint64)))
-                if len(at):
-                    columns = np.full(len(at), n), at, np.arange(len(at))
-                    out.append((prefix[at], np.full(len(at), sig), *[c.astype(np.int32) for c in columns]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["h", "node", "n", "at", "before"])
-
-    return arrow_map(texts, full, "h long, node long, n int, at int, before int")
+            found = list(_sets(batch, seen))
+            if not found:
+                continue
+            nodes = np.array([sig for sig, _ in found], np.int64)
+            h, own = np.concatenate([x for _, x in found]), np.repeat(np.arange(len(found)), [len(x) for _, x in found])
+            count = order.value[h & np.uint64(BUCKETS - 1)]
+            rare = np.flatnonzero(count <= limit)
+            rare = rare[np.argsort(h[rare], kind="stable")]
+            rows = []
+            for part, cut in _cuts(h[rare], parts):
+                mine = rare[cut]
+                used, local = np.unique(own[mine], return_inverse=True)
+                rows.append(_packed(part, nodes[used], local.astype(np.uint16), h[mine], None))
+            common = np.flatnonzero(count > limit)
+            keys = nodes.view(np.uint64)[own[common]]
+            common = common[np.argsort(keys, kind="stable")]
+            for part, cut in _cuts(np.sort(keys), parts):
+                mine = common[cut]
+                rows.append(_packed(part, nodes[own[mine]], None, h[mine], count[mine]))
+            yield _packed_rows(rows)
+
+    return arrow_map(texts, scatter, "part int, class binary, own binary, h binary, count binary")
+
+
+def _counted_pairs(packed: DataFrame, parts: int) -> DataFrame:
+    """Pairs whose shingle two classes or more hold, packed by ranges of
+    classes, with the number of those classes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, shingles = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for node, h, known in _unpacked(batches):
+            if len(known):
+                keys = node.view(np.uint64)
+                yield _packed_rows([_packed(part, node[cut], None, h[cut], known[cut]) for part, cut in _cuts(keys, parts)])
+            else:
+                nodes.append(node)
+                shingles.append(h)
+        node, h = np.concatenate(nodes), np.concatenate(shingles)
+        nodes.clear()
+        shingles.clear()
+        order = np.argsort(h, kind="stable")
+        node, h = node[order], h[order]
+        _, sizes = _runs(h)
+        shared = np.repeat(sizes > 1, sizes)
+        node, h = node[shared], h[shared]
+        order = np.lexsort((node, h))  # a class that several tasks have sent counts once
+        node, h = node[order], h[order]
+        fresh = _first(h, node)
+        node, h = node[fresh], h[fresh]
+        _, sizes = _runs(h)
+        n = np.repeat(sizes, sizes)
+        node, h, n = node[n > 1], h[n > 1], n[n > 1]
+        order = np.argsort(node.view(np.uint64), kind="stable")
+        node, h, n = node[order], h[order], n[order]
+        rows = [_packed(part, node[cut], None, h[cut], n[cut]) for part, cut in _cuts(node.view(np.uint64), parts)]
+        if rows:
+            yield _packed_rows(rows)
+
+    return arrow_map(packed, count, packed.schema)
+
+
+def _class_sizes(classes: DataFrame, parts: int) -> DataFrame:
+    """Packed rows of all classes with their sizes and no shingles."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n = (batch.column(c).to_numpy() for c in ("node", "n"))
+            order = np.argsort(node.view(np.uint64), kind="stable")
+            node, n = node[order], n[order].astype(np.int64)
+            yield _packed_rows([_packed(part, node[cut], None, np.zeros(0, np.uint64), n[cut]) for part, cut in _cuts(node.view(np.uint64), parts)])
+
+    return arrow_map(classes.select("node", "n"), pack, "part int, class binary, own binary, h binary, count binary")
+
+
+def _prefixes(packed: DataFrame) -> DataFrame:
+    """Prefix entries of the classes whose shared shingles reach 80 %."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sized, pairs = [], []
+        for node, h, count in _unpacked(batches):
+            (pairs if len(h) else sized).append((node, h, count))
+        if not pairs:
+            return
+        known, n = np.concatenate([s[0] for s in sized]), np.concatenate([s[2] for s in sized])
+        order = np.argsort(known)
+        known, n = known[order], n[order]
+        node, h, count = (np.concatenate([p[i] for p in pairs]) for i in range(3))
+        order = np.lexsort((h, count, node))
+        node, h = node[order], h[order]
+        fresh = _first(node, h)
+        node, h = node[fresh], h[fresh]
+        starts, shared = _runs(node)
+        n = n[np.searchsorted(known, node[starts])]
+        before = np.arange(len(node)) - np.repeat(starts, shared)
+        at, size = before + np.repeat(n - shared, shared), np.repeat(n, shared)
+        kept = np.flatnonzero(np.repeat(5 * shared >= 4 * n, shared) & (at < size + (-4 * size // 5) + 1))
+        for low in range(0, len(kept), ENTRIES):
+            mine = kept[low : low + ENTRIES]
+            columns = [h[mine].view(np.int64), node[mine], *[x[mine].astype(np.int32) for x in (size, at, before)]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "node", "n", "at", "before"])
+
+    return arrow_map(packed, cut, "h long, node long, n int, at int, before int")
+
+
+def entries(docs: DataFrame, counts: np.ndarray, classes: DataFrame, total: int, kinds: int) -> DataFrame:
+    """Prefix entries (h, node, n, at, before): ``at`` is a shingle's place in
+    the order of its set, ``before`` the number of earlier ones that other classes
+    hold, too.  ``total`` shingles are in the sets of ``kinds`` classes."""
+    limit = max(FAR * counts.sum() / BUCKETS, kinds / COMMON, FEW)
+    tasks, parts = _parts_for(total * PAIR_BYTES)
+    packed = _scattered(docs.select("text"), counts, limit, parts).repartition(tasks, "part")
+    size = F.octet_length("class") + F.octet_length("h") + F.octet_length("count")
+    pairs, seen = stored_with(_counted_pairs(packed, parts), "pairs-of-shingles", b=F.sum(size.cast("long")))
+    tasks, _ = _parts_for((seen["b"] or 0) + 16 * kinds)
+    both = pairs.unionByName(_class_sizes(classes, parts)).repartition(tasks, "part")
+    return _prefixes(both)
 
 
 def close(a: str, b: str) -> Column:
@@ -231,7 +391,7 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     edges = spark.createDataFrame([], "u long, v long")
     roots, grew = None, False
     weights = found.groupBy("node").agg(F.count("*").alias("weight"))
-    found, total = stored_with(found.distinct().join(weights, "node"), "weighted", n=F.count("*"))
+    found, total = stored_with(found.join(weights, "node"), "weighted", n=F.count("*"))
     size = total["n"]
     for step in range(ROUNDS + 1):
         known = found.withColumn("root", F.col("node")) if roots is None else found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -274,50 +434,79 @@ def _shared(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return shingles[order], owners[order], sizes
 
 
-def _tile_links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
-    """Linked pairs (u, v) between two blocks, or within one."""
+def _tile(left: dict[int, tuple], right: dict[int, tuple] | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(class of ``left``, places of its partners) between two blocks, or
+    within one, where each pair comes once."""
     other = left if right is None else right
     if not left or not other:
         return
-    nodes, (shingles, owners, sizes) = np.array(list(other), np.int64), _shared(list(other.values()))
-    us, vs, held = [], [], 0
-
-    def out() -> pa.RecordBatch:
-        u, v = np.concatenate(us), np.concatenate(vs)
-        us.clear()
-        vs.clear()
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
-
-    for at, (node, found) in enumerate(left.items()):
+    shingles, owners, sizes = _shared([found for found, _ in other.values()])
+    for at, (node, (found, _)) in enumerate(left.items()):
         low = np.searchsorted(shingles, found, "left")
         runs = np.searchsorted(shingles, found, "right") - low
         place = np.repeat(low - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
-        shared = np.bincount(owners[place], minlength=len(nodes))
+        shared = np.bincount(owners[place], minlength=len(sizes))
         hits = np.flatnonzero(100 * shared >= 80 * (len(found) + sizes - shared))
         hits = hits[hits > at] if right is None else hits
         if len(hits):
-            us.append(np.full(len(hits), node))
-            vs.append(nodes[hits])
-            held += len(hits)
-        if held > LINKS:
-            yield out()
-            held = 0
-    if held:
-        yield out()
+            yield node, hits
 
 
-def linked(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """Every linked pair (u, v), u < v, of the classes in ``named`` (node,
-    root, place, n); ``docs`` holds their texts."""
+def _tile_links(left: dict[int, tuple], right: dict[int, tuple] | None) -> Iterator[pa.RecordBatch]:
+    """Linked pairs (u, v) of a tile."""
+    nodes, us, vs = np.array(list(left if right is None else right), np.int64), [], []
+    for node, hits in _tile(left, right):
+        us.append(np.full(len(hits), node))
+        vs.append(nodes[hits])
+        if sum(map(len, us)) > LINKS:
+            yield _pairs(us, vs)
+            us, vs = [], []
+    if us:
+        yield _pairs(us, vs)
+
+
+def _pairs(us: list[np.ndarray], vs: list[np.ndarray]) -> pa.RecordBatch:
+    u, v = np.concatenate(us), np.concatenate(vs)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+
+def _tile_counts(left: dict[int, tuple], right: dict[int, tuple] | None) -> Iterator[pa.RecordBatch]:
+    """(node, others): the rows that each class of a tile is linked to in it."""
+    other = left if right is None else right
+    rows = np.array([r for _, r in other.values()], np.int64)
+    here, there = dict.fromkeys(left, 0), np.zeros(len(other), np.int64)
+    for node, hits in _tile(left, right):
+        here[node] += int(rows[hits].sum())
+        there[hits] += left[node][1]
+    nodes = np.array([*here, *other], np.int64)
+    counts = np.concatenate([np.array(list(here.values()), np.int64), there])
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[counts > 0]), pa.array(counts[counts > 0])], names=["node", "others"])
+
+
+def _tiles(docs: DataFrame, named: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``work`` of every tile of the components of ``named`` (node, root,
+    place, n, rows); ``docs`` holds their texts."""
     sizes = named.groupBy("root").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles")).where("classes > 1")
     blocks = F.ceil(F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("classes") / BLOCK_CLASSES)).cast("long")
     parts = named.join(sizes.select("root", blocks.alias("blocks")), "root")
-    parts = stored(parts.select("node", "root", "place", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "blocks")
+    parts = stored(parts.select("node", "root", "place", "rows", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "blocks")
     texts = docs.select("text", place_of().alias("place"))
     texts = texts.where(in_table(texts, bit_table(parts.select("place"), "place"), "place"))
-    rows = parts.join(texts, "place").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    own = ["root", "blocks", "block", "node", "rows"]
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [shingle_set(t or "") for t in batch.column("text").to_pylist()]
+            # a place may be a stranger's
+            right = pa.array([signature(f) == n for f, n in zip(found, batch.column("node").to_pylist(), strict=True)], pa.bool_())
+            made = pa.array([f.tobytes() for f in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], made], names=[*own, "set"]).filter(right)
+
+    kinds = "root long, blocks long, block long, node long, rows long, set binary"
+    rows = stored(arrow_map(parts.join(texts, "place").select(*own, "text"), sets, kinds), "sets-of-blocks")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     key = ["root", "low", "high"]
-    rows = rows.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text")
+    rows = rows.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "rows", "set")
     rows = rows.repartition(partitions(docs.sparkSession), *key).sortWithinPartitions(*key)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,21 +514,31 @@ def linked(docs: DataFrame, named: DataFrame) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if now is not None:
-                yield from _tile_links(tile[0], None if now[1] == now[2] else tile[1])
+                yield from work(tile[0], None if now[1] == now[2] else tile[1])
 
-        for batch in slices(batches, "text"):
-            columns = [batch.column(c).to_pylist() for c in (*key, "block", "node", "text")]
-            for root, low, high, block, node, text in zip(*columns, strict=True):
+        for batch in slices(batches, "set"):
+            columns = [batch.column(c).to_pylist() for c in (*key, "block", "node", "rows", "set")]
+            for root, low, high, block, node, n, found in zip(*columns, strict=True):
                 if now != (root, low, high):
                     yield from done()
                     now, tile = (root, low, high), ({}, {})
-                side = tile[block != low]
-                # rows equal in id and text come once each; a place may be a stranger's
-                if node not in side and signature(found := shingle_set(text or "")) == node:
-                    side[node] = found
+                # rows equal in id and text come once each
+                tile[block != low][node] = np.frombuffer(found, np.uint64), n
         yield from done()
 
-    return arrow_map(rows, compare, "u long, v long")
+    return arrow_map(rows, compare, schema)
+
+
+def linked(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """Every linked pair (u, v), u < v, of the classes in ``named``."""
+    return _tiles(docs, named, _tile_links, "u long, v long")
+
+
+def link_counts(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, others): the number of rows of other classes that a class is
+    linked to, where there are any."""
+    found = _tiles(docs, named, _tile_counts, "node long, others long")
+    return found.groupBy("node").agg(F.sum("others").alias("others"))
 
 
 def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -357,8 +556,9 @@ def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("rows"),
         F.min("doc_id").alias("class_id"),
     )
-    classes = stored(classes, "classes")
-    roots = links(docs, classes, stored(entries(docs, counts), "entries"))
+    classes, seen = stored_with(classes, "classes", n=F.count("*"), shingles=F.sum("n"))
+    found = entries(docs, counts, classes, seen["shingles"] or 0, seen["n"])
+    roots = links(docs, classes, stored(found, "entries"))
     named = classes.drop("parts").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
     return members.drop("parts"), named.join(smallest, "root")
@@ -379,23 +579,28 @@ def grouped(docs: DataFrame) -> DataFrame:
     return _of_documents(*classed(_texts(docs)))
 
 
-def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def joined(docs: DataFrame) -> DataFrame:
     """``grouped`` with n_links, the number of other rows that a row is linked
-    to (those of its own class too), and every linked pair of classes (u, v)."""
+    to (those of its own class too)."""
     docs = _texts(docs)
     members, named = classed(docs)
     named = stored(named, "components")
-    pairs = stored(linked(docs, named.select("node", "root", "place", "n")), "linked")
-    both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    others = both.join(named.select(F.col("node").alias("v"), "rows"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("rows").alias("others"))
+    others = link_counts(docs, named.select("node", "root", "place", "n", "rows"))
     named = named.join(others, "node", "left").withColumn("n_links", F.coalesce("others", F.lit(0)) + F.col("rows") - 1)
-    return _of_documents(members, named, "n_links").fillna(0, ["n_links"]), pairs
+    return _of_documents(members, named, "n_links").fillna(0, ["n_links"])
+
+
+def linked_classes(docs: DataFrame) -> DataFrame:
+    """Every linked pair (u, v) of classes with different sets."""
+    docs = _texts(docs)
+    _, named = classed(docs)
+    return linked(docs, stored(named, "components").select("node", "root", "place", "n", "rows"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count, class, component and number of links of every whole
     document."""
-    return joined(read_table(spark, sf_dir, "documents"))[0].drop("place", "root")
+    return joined(read_table(spark, sf_dir, "documents")).drop("place", "root")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

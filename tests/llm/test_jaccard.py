@@ -1,11 +1,12 @@
 import random
 from collections import Counter
 
+import numpy as np
 from jaccard_brute import brute
 
 from closeledger.llm import jaccard
-from closeledger.llm.jaccard import grouped, near_duplicate_stage, op9_jaccard_join, prefix_length
-from closeledger.llm.words import shingle_strings
+from closeledger.llm.jaccard import grouped, near_duplicate_stage, op9_jaccard_join, prefix_length, signature
+from closeledger.llm.words import shingle_set, shingle_strings
 
 
 def _got(frame):
@@ -65,10 +66,47 @@ def test_every_link_is_found(spark, odd, odd_rows, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     for classes in (jaccard.BLOCK_CLASSES, 7):
         monkeypatch.setattr(jaccard, "BLOCK_CLASSES", classes)
-        found, pairs = jaccard.joined(docs)
-        assert sorted(((r.doc_id, r.n_links) for r in found.collect()), key=repr) == brute_links(rows)
-        got = [(r.u, r.v) for r in pairs.collect()]
+        assert sorted(((r.doc_id, r.n_links) for r in jaccard.joined(docs).collect()), key=repr) == brute_links(rows)
+        if classes > 7:
+            continue
+        got = [(r.u, r.v) for r in jaccard.linked_classes(docs).collect()]
         distinct = {frozenset(shingle_strings(t or "")) for t in texts} - {frozenset()}
         linked = sum(100 * len(a & b) >= 80 * len(a | b) for a in distinct for b in distinct if a is not b) // 2
         assert len(got) == len(set(got)) == linked > len(distinct)
-    assert sorted(((r.doc_id, r.n_links) for r in jaccard.joined(odd)[0].collect()), key=repr) == brute_links([(r[0], r[1]) for r in odd_rows])
+    assert sorted(((r.doc_id, r.n_links) for r in jaccard.joined(odd).collect()), key=repr) == brute_links([(r[0], r[1]) for r in odd_rows])
+
+
+def test_common_shingles_and_many_ranges(spark, sf, monkeypatch):
+    """Shingles of many classes go by their counters, ranges are many and
+    batches small; the groups stay those of brute force."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs += [(10_000 + i, f"{passage} own{i} " + " ".join(f"t{i}.{j}" for j in range(3))) for i in range(60)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(jaccard, "TASK_BYTES", 100_000)
+    monkeypatch.setattr(jaccard, "ENTRIES", 50)
+    want = sorted(brute(docs), key=repr)
+    for few in (20, 0):  # the passage by its counter; every shingle
+        monkeypatch.setattr(jaccard, "COMMON", 10**9)
+        monkeypatch.setattr(jaccard, "FAR", 0)
+        monkeypatch.setattr(jaccard, "FEW", few)
+        assert _got(grouped(table)) == want
+
+
+def test_entries_are_rare_first_and_exact(spark, monkeypatch):
+    rng = random.Random(2)
+    base = [[f"{d}.{i}" for i in range(40)] for d in range(6)]
+    texts = [" ".join(w if rng.random() > 0.03 else f"n{rng.random()}" for w in base[rng.randrange(6)]) for _ in range(50)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {}
+    monkeypatch.setattr(jaccard, "links", lambda docs, classes, found: kept.update(found=found.collect()) or spark.createDataFrame([], "node long, root long"))
+    grouped(table).collect()
+    sets = {signature(s): s for s in (shingle_set(t) for t in texts)}
+    held = Counter(h for s in sets.values() for h in s.tolist())
+    want = set()
+    for node, s in sets.items():
+        order = sorted(s.tolist(), key=lambda h: (held[h], h))
+        own = sum(held[h] == 1 for h in order)
+        if 5 * (len(order) - own) >= 4 * len(order):
+            want |= {(np.uint64(h).view(np.int64).item(), node, len(order), i, i - own) for i, h in enumerate(order[: prefix_length(len(order))]) if i >= own}
+    assert {(r.h, r.node, r.n, r.at, r.before) for r in kept["found"]} == want and len(kept["found"]) == len(want) > 50
