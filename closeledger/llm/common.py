@@ -3,9 +3,7 @@ shared folder, a distributed row rank, and text access in Arrow batches."""
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,33 +13,38 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from closeledger.session import ensure_checkpoint_dir
+from closeledger.session import ship_package as ship
 
 #: Bytes of text that one numpy block of a task works on.
 BLOCK_BYTES = 8 << 20
 
-#: Spark's own setting: remove a query's shuffle files at its end.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's own settings while a table is stored: remove a query's shuffle files at
+#: its end, and keep the batches that go to Python small (by default 64 MB each).
+STORING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BLOCK_BYTES),
+}
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, so that
-    they need not have it installed."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        archive = os.path.join(tempfile.mkdtemp(prefix="closeledger-"), "closeledger")
-        shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
-        spark.sparkContext.addPyFile(f"{archive}.zip")
-        _shipped.add(app)
+def release() -> None:
+    """Give memory that a task no longer uses back to the system, as Python
+    workers live on and share an executor's memory with its JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own rules
+        pass
 
 
 def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:  # noqa: ANN001
     """``mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -50,12 +53,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     files of the write go when it is done, as no later step reads them."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/closeledger-llm/{uuid.uuid4().hex}/{label}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in STORING}
+    for k, v in STORING.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

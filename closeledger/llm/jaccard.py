@@ -68,9 +68,9 @@ SEEN = 1 << 17
 #: A shingle is common when its counter is beyond one in COMMON of all classes,
 #: FAR times the mean counter, and FEW.
 COMMON, FAR, FEW = 100, 4, 1000
-#: Bytes of packed shingles that a counting task gets, about, and bytes of a pair
-#: of shingle and class among them.
-TASK_BYTES, PAIR_BYTES = 32 << 20, 12
+#: Bytes of packed shingles that a counting task gets at most, about, bytes of a
+#: pair of shingle and class among them, and bytes of text that are packed at once.
+TASK_BYTES, PAIR_BYTES, PACK_BYTES = 16 << 20, 12, 4 << 20
 #: Entries of an Arrow batch.
 ENTRIES = 1 << 20
 #: Shingles that a verifying task remembers.
@@ -193,10 +193,9 @@ def _cuts(keys: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
         yield int(at[low]), slice(low, low + n)
 
 
-def _parts_for(nbytes: int) -> tuple[int, int]:
-    """Tasks for so many packed bytes, and ranges (a few per task)."""
-    tasks = max(1, -(-nbytes // TASK_BYTES))
-    return tasks, 1 << (4 * tasks - 1).bit_length()
+def _parts_for(nbytes: int) -> int:
+    """Ranges for so many packed bytes, one a task: a power of two."""
+    return 1 << max(0, -(-nbytes // TASK_BYTES) - 1).bit_length()
 
 
 def _scattered(texts: DataFrame, counts: np.ndarray, limit: float, parts: int) -> DataFrame:
@@ -206,20 +205,23 @@ def _scattered(texts: DataFrame, counts: np.ndarray, limit: float, parts: int) -
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PACK_BYTES):
             found = list(_sets(batch, seen))
             if not found:
                 continue
-            nodes = np.array([sig for sig, _ in found], np.int64)
-            h, own = np.concatenate([x for _, x in found]), np.repeat(np.arange(len(found)), [len(x) for _, x in found])
-            count = order.value[h & np.uint64(BUCKETS - 1)]
-            rare = np.flatnonzero(count <= limit)
-            rare = rare[np.argsort(h[rare], kind="stable")]
+            nodes, sizes = np.array([sig for sig, _ in found], np.int64), [len(x) for _, x in found]
+            h = np.concatenate([x for _, x in found])
+            found.clear()
+            by = np.argsort(h, kind="stable").astype(np.int32)
+            h, own = h[by], np.repeat(np.arange(len(nodes), dtype=np.uint16), sizes)[by]
+            count = order.value[(h & np.uint64(BUCKETS - 1)).astype(np.int32)]
             rows = []
-            for part, cut in _cuts(h[rare], parts):
-                mine = rare[cut]
-                used, local = np.unique(own[mine], return_inverse=True)
-                rows.append(_packed(part, nodes[used], local.astype(np.uint16), h[mine], None))
+            for part, cut in _cuts(h, parts):
+                rare = count[cut] <= limit
+                mine, used = own[cut][rare], np.zeros(len(nodes), bool)
+                used[mine] = True
+                local = (np.cumsum(used, dtype=np.int32) - 1).astype(np.uint16)
+                rows.append(_packed(part, nodes[used], local[mine], h[cut][rare], None))
             common = np.flatnonzero(count > limit)
             keys = nodes.view(np.uint64)[own[common]]
             common = common[np.argsort(keys, kind="stable")]
@@ -316,13 +318,10 @@ def entries(docs: DataFrame, counts: np.ndarray, classes: DataFrame, total: int,
     the order of its set, ``before`` the number of earlier ones that other classes
     hold, too.  ``total`` shingles are in the sets of ``kinds`` classes."""
     limit = max(FAR * counts.sum() / BUCKETS, kinds / COMMON, FEW)
-    tasks, parts = _parts_for(total * PAIR_BYTES)
-    packed = _scattered(docs.select("text"), counts, limit, parts).repartition(tasks, "part")
-    size = F.octet_length("class") + F.octet_length("h") + F.octet_length("count")
-    pairs, seen = stored_with(_counted_pairs(packed, parts), "pairs-of-shingles", b=F.sum(size.cast("long")))
-    tasks, _ = _parts_for((seen["b"] or 0) + 16 * kinds)
-    both = pairs.unionByName(_class_sizes(classes, parts)).repartition(tasks, "part")
-    return _prefixes(both)
+    parts = _parts_for(total * PAIR_BYTES)
+    packed = _scattered(docs.select("text"), counts, limit, parts).repartitionById(parts, "part")
+    pairs = stored(_counted_pairs(packed, parts), "pairs-of-shingles")
+    return _prefixes(pairs.unionByName(_class_sizes(classes, parts)).repartitionById(parts, "part"))
 
 
 def close(a: str, b: str) -> Column:
