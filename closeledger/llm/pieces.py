@@ -12,8 +12,8 @@ another character, so a text splits into chunks at space marks without change
 of the result, and chunks already encoded are looked up.
 
 In every Arrow batch the chunks seen for the first time are encoded by the
-sentencepiece library too, and every text's ids are decoded; a difference
-raises an error.
+sentencepiece library too, and the ids of every whole text are decoded, here and
+by the library; a difference raises an error.
 
 Defined cases: a null text counts as empty (no ids, empty decoded text); a
 null id is kept; repeated rows give repeated results; an empty table gives no
@@ -38,8 +38,9 @@ from closeledger.llm.common import arrow_map, read_table, slices
 SPACE = "▁"
 #: Chunks of more symbols take the heap.
 SHORT = 48
-#: Entries that a task's memo of chunks holds before it starts anew.
-MEMO = 400_000
+#: Bytes that a worker's memo of chunks holds, about, before it starts anew, and
+#: bytes that an entry takes beside its ids and text.
+MEMO_BYTES, ENTRY_BYTES = 24 << 20, 250
 #: Symbols that one lockstep batch holds.
 LOCKSTEP = 1 << 18
 #: Bytes of text whose chunks a task holds at once.
@@ -83,8 +84,9 @@ class Pieces:
         self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        #: Ids of chunks, joined by commas.
-        self.memo: dict[str, str] = {}
+        #: Ids of chunks, joined by commas and as 32-bit numbers.
+        self.memo: dict[str, tuple[str, bytes]] = {}
+        self.held = 0
 
     @staticmethod
     def chunks(text: str) -> list[str]:
@@ -205,39 +207,53 @@ class Pieces:
             out.append(held.decode("utf-8", "replace"))
         return "".join(out).replace(SPACE, " ").removeprefix(" ")
 
+    def text_of(self, ids: list[int]) -> str:
+        """``decode``, at once where no id is part of a character."""
+        if not self.partial.isdisjoint(ids):
+            return self.decode(ids)
+        return "".join(map(self.plain.__getitem__, ids)).replace(SPACE, " ").removeprefix(" ")
+
     def learn(self, chunks: set[str]) -> None:
         """Encode new chunks into the memo.  Their ids must equal the
-        library's, and must decode to the chunk."""
+        library's."""
         new = sorted(chunks)
         short = [SPACE + c for c in new if len(c) < SHORT]
         found = dict(zip(short, self.merge_batch(short), strict=True))
         expected = self.library.encode([c.replace(SPACE, " ") for c in new], num_threads=1)
         if new[0] == "":  # a last space; as a text of its own it would be empty
             expected[0] = [self.library.piece_to_id(SPACE)]
-        size, plain, partial = len(self.names), self.plain, self.partial
+        size = len(self.names)
         for c, want in zip(new, expected, strict=True):
             symbols = found.get(SPACE + c) or self.merge_heap(SPACE + c)
             ids = symbols if min(symbols) >= 0 and max(symbols) < size else self.ids(symbols)
             if ids != want:
                 raise ValueError(f"encoding differs from the library: {c!r}: {ids}, not {want}")
-            text = "".join([plain[i] for i in ids]) if partial.isdisjoint(ids) else SPACE + self.decode(ids).replace(" ", SPACE)
-            if text != SPACE + c:
-                raise ValueError(f"decoding differs from the text: {c!r}: {text!r}")
-            self.memo[c] = ",".join(map(str, ids))
+            self.memo[c] = ",".join(map(str, ids)), np.array(ids, np.int32).tobytes()
+            self.held += ENTRY_BYTES + len(c) + len(self.memo[c][0]) + len(self.memo[c][1])
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by commas, decoded text) of every text."""
-        if len(self.memo) > MEMO:
+        if self.held > MEMO_BYTES:
             self.memo.clear()
+            self.held = 0
         memo = self.memo
         split = [self.chunks(t) for t in texts]
         new = {c for own in split for c in own if c not in memo}
         if new:
             self.learn(new)
-        get = memo.__getitem__
+        found = []
         for own in split:
-            ids = ",".join(map(get, own))
-            yield ids.count(",") + 1 if own else 0, ids, SPACE.join(own).replace(SPACE, " ")
+            parts = [memo[c] for c in own]
+            found.append((",".join([p[0] for p in parts]), np.frombuffer(b"".join([p[1] for p in parts]), np.int32).tolist()))
+        for c in new:  # long chunks hardly come again
+            if len(c) >= SHORT:
+                self.held -= ENTRY_BYTES + len(c) + sum(map(len, memo.pop(c)))
+        texts_of_library = self.library.decode([ids for _, ids in found], num_threads=1) if found else []
+        for (joined, ids), expected in zip(found, texts_of_library, strict=True):
+            text = self.text_of(ids)
+            if text != expected:
+                raise ValueError(f"decoding differs from the library: {ids}")
+            yield len(ids), joined, text
 
 
 _loaded: dict[bytes, Pieces] = {}

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from closeledger.llm.pieces import SPACE, Pieces, encoded, encoding_stage, model_bytes, op8_sentencepiece
+from closeledger.llm.pieces import BATCH, ENTRY_BYTES, MEMO_BYTES, SHORT, SPACE, Pieces, encoded, encoding_stage, model_bytes, op8_sentencepiece
 
 pytest.importorskip("public_tokenizers")
 
@@ -41,5 +41,29 @@ def test_odd_rows(spark, odd, odd_rows, nothing, pieces):
     assert staged.count() == len(odd_rows) and staged.columns.count("n_tokens") == 1
 
 
-def test_query(spark, sf):
-    assert op8_sentencepiece(spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+def test_query(spark, sf, pieces):
+    """Every row equals the library's own encoding and decoding."""
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = pieces.library.encode(r.text or "")
+        want.append((r.doc_id, len(ids), sha(",".join(map(str, ids))), sha(pieces.library.decode(ids))))
+    assert sorted(map(tuple, op8_sentencepiece(spark, sf).collect())) == sorted(want)
+
+
+def test_memo_is_bounded_by_bytes(pieces):
+    """Texts without spaces are one chunk each and leave nothing behind."""
+    rng = random.Random(4)
+    for at in range(20):
+        texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=2000)) for _ in range(500)]
+        texts += [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(300)) for _ in range(60)]
+        for text, (n, _, decoded) in zip(texts, pieces.encode(texts), strict=True):
+            assert n and decoded == text
+        held = sum(ENTRY_BYTES + len(c) + len(a) + len(b) for c, (a, b) in pieces.memo.items())
+        assert held == pieces.held < MEMO_BYTES + 10 * BATCH and all(len(c) < SHORT for c in pieces.memo), at
+
+
+def test_a_wrong_id_is_an_error(pieces, monkeypatch):
+    monkeypatch.setattr(pieces, "text_of", lambda ids: "other")
+    with pytest.raises(ValueError, match="decoding differs"):
+        list(pieces.encode(["a text"]))
