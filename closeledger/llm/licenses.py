@@ -1,15 +1,18 @@
 """License scan: an exact set-similarity join of text blocks with license
 templates, in DataFrame operations only.
 
-A block is a line of a document, as its set of words; a template is a set of
-words too.  A block matches a template when it holds at least 80 % of the
-template's words.  The words of all templates are ordered by their frequency
-in the whole corpus, rarest first.  A matching block must hold one of the
-first ``n - need + 1`` words of a template of n words (prefix filter), at
-least ``need`` template words at all (length filter), and enough words on
-either side of the shared one (positional filter).  Only such blocks are
-joined, on the shared word, and every candidate is verified by its exact
-overlap.  Templates are fixed and few, so they are broadcast.
+A block is a run of consecutive words of a document, wherever its lines break,
+as its set of words; a template is a set of words too.  The blocks held against a
+template are all runs that are a quarter longer than it (``window``), and one
+matches when it holds at least 80 % of the template's words.  The words of all
+templates are ordered by their frequency in the whole corpus, rarest first.  A
+matching block must hold one of the first ``n - need + 1`` words of a template of n
+words (prefix filter), so blocks are opened at the places of such words only: the
+words around a place are cut out, and joined with the templates on the word.  They
+must hold at least ``need`` template words at all (length filter), and enough of
+them on either side of the shared one in the order (positional filter).  Of a
+candidate, every block over the place is verified by its exact overlap.  Templates
+are fixed and few, so they are broadcast.
 
 Beside the join, whole texts are scanned for the base phrases.
 
@@ -58,6 +61,11 @@ def template_words() -> dict[str, list[str]]:
     return {label: sorted(set(text.split())) for label, text in TEMPLATES.items()}
 
 
+def window(label: str) -> int:
+    """Words of the blocks that are held against a template."""
+    return -(-5 * len(TEMPLATES[label].split()) // 4)
+
+
 def required(n: int) -> int:
     return -(-PERCENT * n // 100)
 
@@ -119,30 +127,35 @@ def word_order(rows: DataFrame) -> list[str]:
 
 
 def template_hits(rows: DataFrame, order: list[str]) -> DataFrame:
-    """doc_id, _cl_hash, template, containment of every matching line of
-    ``rows`` (doc_id, _cl_hash, text)."""
+    """doc_id, _cl_hash, template, containment of the blocks of ``rows``
+    (doc_id, _cl_hash, text) that match; the best of those over one place."""
     spark = rows.sparkSession
     rank = {w: i for i, w in enumerate(order)}
     entries = []
     for label, words in template_words().items():
         ranks, need = sorted(rank[w] for w in words), required(len(words))
-        entries += [(r, at, label, ranks, need) for at, r in enumerate(ranks[: len(ranks) - need + 1])]
-    prefixes = spark.createDataFrame(entries, "token int, _t_at int, template string, _t_ranks array<int>, _t_need int")
-    least = min(required(len(w)) for w in template_words().values())
+        entries += [(r, at, label, ranks, words, need, window(label)) for at, r in enumerate(ranks[: len(ranks) - need + 1])]
+    names = "token int, _t_at int, template string, _t_ranks array<int>, _t_words array<string>, _t_need int, _t_window int"
+    prefixes = spark.createDataFrame(entries, names)
+    least, widest = min(e[5] for e in entries), max(e[6] for e in entries)
     ranks_of = F.create_map(*[F.lit(x) for w in order for x in (w, rank[w])])
 
     rare = sorted({order[e[0]] for e in entries})
-    lines = rows.where(may_hold(F.col("text"), rare)).select("doc_id", "_cl_hash", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.where(may_hold(F.col("line"), rare))
-    lines = lines.select("doc_id", "_cl_hash", F.split(F.regexp_replace(lowered(F.col("line")), SEPARATORS, " "), " ").alias("line"))
-    lines = lines.select("doc_id", "_cl_hash", F.array_intersect("line", F.array(*[F.lit(w) for w in order])).alias("known"))
-    lines = lines.where(F.size("known") >= least)
-    lines = lines.withColumn("ranks", F.array_sort(F.transform("known", lambda w: ranks_of[w])))
-    tokens = lines.select("doc_id", "_cl_hash", "ranks", F.posexplode("ranks").alias("_b_at", "token"))
-    before = F.least(F.col("_b_at"), F.col("_t_at"))
-    after = F.least(F.size("ranks") - F.col("_b_at"), F.size("_t_ranks") - F.col("_t_at"))
-    candidates = tokens.join(F.broadcast(prefixes), "token").where((F.size("ranks") >= F.col("_t_need")) & (before + after >= F.col("_t_need")))
-    shared = F.size(F.array_intersect("ranks", "_t_ranks"))
+    words = F.split(F.regexp_replace(lowered(F.col("text")), SEPARATORS, " "), " ")
+    texts = rows.where(may_hold(F.col("text"), rare)).select("doc_id", "_cl_hash", words.alias("words"))
+    places = texts.select("doc_id", "_cl_hash", "words", F.posexplode("words").alias("_p", "_w")).where(F.col("_w").isin(rare))
+    first = F.greatest(F.col("_p") - (widest - 1), F.lit(0))
+    around = F.slice("words", first + 1, F.col("_p") - first + widest)
+    places = places.select("doc_id", "_cl_hash", "_w", (F.col("_p") - first).alias("_at"), around.alias("words"))
+    places = places.withColumn("known", F.array_intersect("words", F.array(*[F.lit(w) for w in order]))).where(F.size("known") >= least)
+    ranks = F.array_sort(F.transform("known", lambda w: ranks_of[w]))
+    places = places.select("doc_id", "_cl_hash", "_at", "words", ranks.alias("ranks"), ranks_of[F.col("_w")].alias("token"))
+    place = F.array_position("ranks", F.col("token")).cast("int") - 1
+    before = F.least(place, F.col("_t_at"))
+    after = F.least(F.size("ranks") - place, F.size("_t_ranks") - F.col("_t_at"))
+    candidates = places.join(F.broadcast(prefixes), "token").where((F.size("ranks") >= F.col("_t_need")) & (before + after >= F.col("_t_need")))
+    starts = F.sequence(F.greatest(F.col("_at") - F.col("_t_window") + 1, F.lit(0)), F.col("_at"))
+    shared = F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.slice(F.col("words"), i + 1, F.col("_t_window")), F.col("_t_words")))))
     verified = candidates.withColumn("shared", shared).where(F.col("shared") >= F.col("_t_need"))
     return verified.select("doc_id", "_cl_hash", "template", (F.col("shared") / F.size("_t_ranks")).alias("containment"))
 
@@ -181,13 +194,15 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same in DuckDB SQL, every line against every template."""
+    """The same in DuckDB SQL: of every text with enough of a template's words,
+    all blocks that begin with one of them (a block that begins otherwise holds no
+    more words than the one that begins at the next)."""
     words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     starts = []
     for phrase, label in PHRASES.items():
         parts = " and ".join(f"w[i + {k}] = '{p}'" for k, p in enumerate(phrase.split()))
         starts.append(f"select r, i - 1 as place, '{label}' as label from places where {parts}")
-    templates = ", ".join(f"('{label}', {ws!r}, {len(ws)}, {required(len(ws))})" for label, ws in template_words().items())
+    templates = ", ".join(f"('{label}', {ws!r}, {len(ws)}, {required(len(ws))}, {window(label)})" for label, ws in template_words().items())
     return f"""
 with docs as (
   select row_number() over () as r, doc_id,
@@ -196,10 +211,11 @@ with docs as (
 tokens as (select r, doc_id, t, {words.format("t")} as w from docs),
 places as (select r, w, unnest(range(1, len(w) + 1)) as i from tokens),
 base as ({" union all ".join(starts)}),
-templates(template, tw, n, need) as (values {templates}),
-lines as (select r, list_distinct({words.format("line")}) as lw from (select r, unnest(string_split(t, chr(10))) as line from tokens)),
-hits as (select r, template as label, len(list_intersect(lw, tw)) as shared, n from lines, templates
-         where len(list_intersect(lw, tw)) >= need),
+templates(template, tw, n, need, size) as (values {templates}),
+likely as (select r, w, template, tw, n, need, size from tokens, templates where len(list_intersect(list_distinct(w), tw)) >= need),
+starts as (select *, unnest(range(1, len(w) + 1)) as i from likely),
+blocks as (select r, template, n, need, len(list_intersect(w[i:i + size - 1], tw)) as shared from starts where list_contains(tw, w[i])),
+hits as (select r, template as label, max(shared) as shared, n from blocks group by r, template, n, need having max(shared) >= need),
 labels as (
   select r, string_agg(distinct label, ',' order by label) as labels
   from (select r, label from base union all select r, label from hits) group by r),
