@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from closeledger.llm.common import arrow_map, read_table, slices
 from closeledger.llm.words import shingle_hashes, shingle_strings, word_hashes
@@ -118,7 +119,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     doc_type, item_type = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     schema = f"doc_id {doc_type.simpleString()}, item_id {item_type.simpleString()}, shared long, item_shingles long, containment double"
-    out = spark.createDataFrame([], schema)
+    out, item_arrow = spark.createDataFrame([], schema), to_arrow_type(item_type)
     for index in blocks(benchmark):
         shared_index = spark.sparkContext.broadcast(index)
 
@@ -135,7 +136,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                        pa.array([index.ids[i] for i in items], pa.int64() if item_type.simpleString() == "bigint" else None),
+                        pa.array([index.ids[i] for i in items], item_arrow),
                         pa.array(counts, pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array([n / s for n, s in zip(counts, sizes, strict=True)], pa.float64()),

@@ -19,8 +19,8 @@ Scoring is normalised: a batch's distinct contexts go through one matrix
 product each with the vectors of all direct tokens and classes, and those of
 words in a class through one with all members.
 
-Words that are common enough (at most ``HEAD`` of them, by a cut in the count)
-are broadcast with their counts.  Rarer words leave the scoring task as
+The ``HEAD`` commonest words that occur twice or more, ties by word, are broadcast
+with their counts.  Rarer words leave the scoring task as
 (row, word, times) and meet their counts in a join, so no count is missing
 however many words there are.
 
@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from closeledger.llm.common import arrow_map, id_remainder, partitions, read_table, slices, stored
+from closeledger.llm.common import arrow_map, id_remainder, partitions, ranked, read_table, slices, stored
 
 VOCABULARY = 1 << 15
 #: Tokens predicted directly, words of a class.
@@ -116,19 +116,28 @@ class Counts:
         return np.log10((c + 0.5) / (rest + 0.5 * (kinds + 1)))
 
 
+def commonest(words: DataFrame, n: int) -> DataFrame:
+    """The ``n`` words of the largest counts, ties by word (all, if fewer).
+    Words are counted by the magnitude of their count, some hundred rows; only
+    those of the magnitude that the cut falls into are ranked, in Spark."""
+    step = F.floor(F.log2(F.col("c")) * 8).cast("int")
+    kept, cut, room = 0, None, 0
+    for row in words.groupBy(step.alias("m")).agg(F.count("*").alias("n")).orderBy(F.desc("m")).collect():
+        if kept + row["n"] > n:
+            cut, room = row["m"], n - kept
+            break
+        kept += row["n"]
+    if cut is None:
+        return words
+    order, _ = ranked(words.where(step == cut).withColumn("_cl_less", -F.col("c")), ["_cl_less", "word"], "_cl_rank", "words-at-the-cut")
+    return words.where(step > cut).unionByName(order.where(F.col("_cl_rank") < room).select(*words.columns))
+
+
 def counts_of(words: DataFrame, ends: int) -> Counts:
     """``words`` is the stored table of word counts."""
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # as many common words as fit, by a cut in the count: one row per count value
-    values = words.where("c > 1").groupBy(F.least("c", F.lit(100_000)).alias("c")).agg(F.count("*").alias("n")).orderBy(F.desc("c"))
-    cut, kept = None, 0
-    for row in values.collect():
-        kept += row["n"]
-        if kept > HEAD:
-            break
-        cut = row["c"]
-    head = words.where(F.col("c") >= cut).toArrow().to_pylist() if cut else []
-    head.sort(key=lambda r: (-r["c"], r["word"]))
+    head = commonest(words.where("c > 1"), HEAD).toArrow().to_pylist()
+    head.sort(key=lambda r: (-r["c"], r["word"].encode("utf-8")))
     names = {r["word"].encode("utf-8"): i for i, r in enumerate(head)}
     return Counts(total + ends, distinct + (ends > 0), ends, names, np.array([r["c"] for r in head], dtype=np.int64))
 

@@ -1,7 +1,7 @@
 """Quality classifier: a sparse ensemble of conjunctive rules.
 
 1. Text statistics of every whole document are counted in numpy, in Arrow
-   batches.
+   batches of the text alone.
 2. Small regression trees are grown in numpy on bootstrap samples of a bounded
    labelled sample (``FIT_ROWS`` rows, chosen by hash of the id); every path
    from a root to a node becomes a rule, a conjunction of ``stat <= cut``.
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import string
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from closeledger.llm.common import arrow_map, id_remainder, read_table, slices, stored
+from closeledger.llm.common import id_remainder, read_table, release, ship, slices, stored
 
 #: Bound of the labelled sample that the model is fitted on.
 FIT_ROWS = 20_000
@@ -193,17 +192,21 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty:
 
 
 def with_statistics(docs: DataFrame, *keep: Column) -> DataFrame:
-    """``keep`` columns and the statistics of every row."""
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_cl_text"))
-    kept = rows.schema.fields[:-1]
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_cl_text"):
-            found = np.array([statistics(t or "") for t in batch.column("_cl_text").to_pylist()]).reshape(-1, len(STATS))
-            columns = [batch.column(i) for i in range(len(kept))] + [pa.array(x) for x in found.T]
-            yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), *STATS])
-
-    return arrow_map(rows, measure, StructType([*kept, *[StructField(s, DoubleType()) for s in STATS]]))
+    """``keep`` columns and the statistics of every row; only the text goes
+    to Python."""
+    ship(docs.sparkSession)
+
+    def measure(texts: pa.Array) -> pa.Array:
+        batch, out = pa.RecordBatch.from_arrays([texts.cast(pa.string())], names=["t"]), []
+        for part in slices(iter([batch]), "t"):
+            out += [statistics(t or "") for t in part.column("t").to_pylist()]
+        found = np.array(out).reshape(-1, len(STATS))
+        release()
+        return pa.StructArray.from_arrays([pa.array(x) for x in found.T], names=list(STATS))
+
+    kind = StructType([StructField(s, DoubleType()) for s in STATS])
+    rows = docs.select(*keep, F.arrow_udf(measure, kind)(F.col("text").cast("string")).alias("_cl_stats"))
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns[:-1]], "_cl_stats.*")
 
 
 def train(rows: DataFrame, labels: DataFrame, label: str = "quality", limit: int = FIT_ROWS) -> RuleModel:

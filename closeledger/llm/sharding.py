@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from closeledger.llm.common import ranked, read_table, ship, stored
+from closeledger.llm.common import partitions, ranked, read_table, ship, stored
 from closeledger.llm.hilbert import hilbert_index
 
 #: Bits of each dimension; four dimensions make a 24-bit curve.
@@ -40,11 +40,11 @@ def number_cell(value: float | None, edges: list[float]) -> int:
     return 0 if value is None else 1 + bisect.bisect_left(edges, value)
 
 
-def shards(docs: DataFrame, count: int = 24, bits: int = BITS) -> tuple[DataFrame, dict[str, list[float]]]:
+def shards(docs: DataFrame, count: int = 24, bits: int = BITS, row: str | None = None) -> tuple[DataFrame, dict[str, list[float]]]:
     """(rows with their shard and cells, quantile edges of the number dimensions).
 
     Columns: doc_id, size, text_crc32, lang, source, cell_* per dimension,
-    curve, shard, slot."""
+    curve, shard, slot; and the column ``row``, if named, that tells rows apart."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(
@@ -53,7 +53,7 @@ def shards(docs: DataFrame, count: int = 24, bits: int = BITS) -> tuple[DataFram
         F.crc32(text).alias("text_crc32"),
         F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),
-        F.monotonically_increasing_id().alias("_cl_row"),
+        F.monotonically_increasing_id().alias("_cl_row") if row is None else F.col(row).alias("_cl_row"),
     )
     rows = stored(rows, "metadata")
     marks = [i / (2**bits - 1) for i in range(1, 2**bits - 1)]
@@ -82,7 +82,7 @@ def shards(docs: DataFrame, count: int = 24, bits: int = BITS) -> tuple[DataFram
     shard = F.expr(f"cast((_cl_rank * {count}) div {max(total, 1)} as int)")
     first = F.expr(f"(cast(shard as bigint) * {total} + {count - 1}) div {count}")
     rows = rows.withColumn("shard", shard).withColumn("slot", F.col("_cl_rank") - first)
-    return rows.drop("_cl_row", "_cl_rank"), edges
+    return rows.drop("_cl_rank" if row else "_cl_row", "_cl_rank").withColumnRenamed("_cl_row", row or "_cl_row"), edges
 
 
 def manifest(sharded: DataFrame) -> DataFrame:
@@ -91,15 +91,22 @@ def manifest(sharded: DataFrame) -> DataFrame:
     return sharded.groupBy("shard").agg(F.count("*").alias("n_rows"), F.sum("size").alias("n_bytes"), *ranges)
 
 
-def write_shards(docs: DataFrame, sharded: DataFrame, path: str) -> None:
-    """Write the documents, one folder per shard.  Rows with equal id and text
-    are copies and go to the first of their shards together."""
-    places = sharded.groupBy(F.col("doc_id").alias("_cl_id"), F.col("text_crc32").alias("_cl_crc"))
-    places = places.agg(F.min("shard").alias("_cl_shard"))
-    crc = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    joined = docs.drop("shard").join(places, F.col("doc_id").eqNullSafe(F.col("_cl_id")) & (crc == F.col("_cl_crc")))
-    joined = joined.drop("_cl_id", "_cl_crc").withColumnRenamed("_cl_shard", "shard")
-    joined.write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, count: int = 24, folder: str = "shard") -> DataFrame:
+    """Write the documents, one folder (``folder``=0, 1, ...) per shard, and
+    return the rows of ``shards``.  Every row goes to its own shard, copies too,
+    as the documents are stored with their row numbers first.  A column with the
+    folder's name would be lost in the folders' names and is refused."""
+    if folder in docs.columns:
+        raise ValueError(f"the documents have a column {folder!r}; name the folders otherwise")
+    rows = stored(docs.withColumn("_cl_row", F.monotonically_increasing_id()), "documents")
+    placed, _ = shards(rows, count, row="_cl_row")
+    placed = stored(placed, "places")
+    joined = rows.join(placed.select(F.col("_cl_row"), F.col("shard").alias("_cl_shard")), "_cl_row").drop("_cl_row")
+    joined = joined.withColumnRenamed("_cl_shard", folder)
+    # a few writing tasks per shard
+    spread = F.pmod(F.xxhash64("doc_id", F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit("")))), F.lit(4))
+    joined.repartition(partitions(docs.sparkSession), F.col(folder), spread).write.mode("overwrite").partitionBy(folder).parquet(path)
+    return placed.drop("_cl_row")
 
 
 def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
