@@ -93,7 +93,8 @@ def test_large_leaf_set_is_cut_to_used_codes_then_broadcast(spark):
     t = td.ledger_tables(spark, SF_SMALL, PERIOD)
     df = X.landing(t.fact, t.leaves, LANDING_RULES, PERIOD, RUN_TS, max_broadcast_rows=5)
     text = plan(df)
-    assert text.count("BroadcastHashJoin LeftOuter") == 1, text  # department flag join
+    assert text.count("BroadcastHashJoin LeftOuter") == 2, text  # department flag join, membership filter of the projects
+    assert text.count("__bits") > 0
     assert text.count("SortMergeJoin LeftOuter") == 1, text  # project flag join
     assert df.count() == 32
 
