@@ -16,7 +16,8 @@ number, so no task meets a shingle of more classes than that.  Ties go by hash.
 Pairs that share a prefix shingle must pass the length
 filter, the positional filter (what can still match before and after the shared
 shingle) and the suffix filter (what can match in each of 16 hash ranges of the
-sets), and are then verified once, on the whole sets of both texts.
+sets), and are then verified once, on the whole sets of both texts.  Entries name
+the entries just before them, so a pair that shares many is met at few of them.
 
 A component does not need all its links.  Rounds of star pairs come first: in
 each group of classes that share a prefix shingle, one class (by a hash that
@@ -60,7 +61,9 @@ from closeledger.llm.words import shingle_set
 BUCKETS = 1 << 18
 CLASSES = 16
 #: Star rounds at most, and pairs per prefix entry that end them earlier.
-ROUNDS, WORK = 3, 8
+ROUNDS, WORK = 8, 0.5
+#: Earlier entries that an entry names.
+NEAR = 8
 #: Pairs of star steps between rounds.
 STEPS = 2
 #: Classes that a task remembers as already sent.
@@ -308,15 +311,19 @@ def _prefixes(packed: DataFrame) -> DataFrame:
         for low in range(0, len(kept), ENTRIES):
             mine = kept[low : low + ENTRIES]
             columns = [h[mine].view(np.int64), node[mine], *[x[mine].astype(np.int32) for x in (size, at, before)]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "node", "n", "at", "before"])
+            back = mine[:, None] - np.arange(1, NEAR + 1)[None, :]
+            named = np.arange(1, NEAR + 1)[None, :] <= before[mine][:, None]
+            ends = np.concatenate([[0], np.cumsum(named.sum(axis=1))]).astype(np.int32)
+            near = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[back[named]].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], near], names=["h", "node", "n", "at", "before", "near"])
 
-    return arrow_map(packed, cut, "h long, node long, n int, at int, before int")
+    return arrow_map(packed, cut, "h long, node long, n int, at int, before int, near array<long>")
 
 
 def entries(docs: DataFrame, counts: np.ndarray, classes: DataFrame, total: int, kinds: int) -> DataFrame:
-    """Prefix entries (h, node, n, at, before): ``at`` is a shingle's place in
-    the order of its set, ``before`` the number of earlier ones that other classes
-    hold, too.  ``total`` shingles are in the sets of ``kinds`` classes."""
+    """Prefix entries (h, node, n, at, before, near): ``at`` is a shingle's place
+    in the order of its set, ``before`` the number of earlier ones that other
+    classes hold, too, and ``near`` the last of those.  ``total`` shingles are in the sets of ``kinds`` classes."""
     limit = max(FAR * counts.sum() / BUCKETS, kinds / COMMON, FEW)
     parts = _parts_for(total * PAIR_BYTES)
     packed = _scattered(docs.select("text"), counts, limit, parts).repartitionById(parts, "part")
@@ -394,7 +401,7 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     size = total["n"]
     for step in range(ROUNDS + 1):
         known = found.withColumn("root", F.col("node")) if roots is None else found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        known = known.select("h", "node", "n", "at", "before", "root", "weight")
+        known = known.select("h", "node", "n", "at", "before", "root", "weight", "near")
         by = F.struct(F.lit(0) if step else -F.col("weight"), F.xxhash64("node", F.lit(step)))
         hub = F.min_by(F.struct("node", "n", "at", "before", "root"), by).alias("hub")
         groups = known.groupBy("h").agg(hub, F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -405,9 +412,11 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
             break
         last = (step and (total["work"] <= WORK * size or not grew)) or step == ROUNDS
         if last:
-            other = known.select("h", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "at", "before", "root")])
-            own = open_.select("h", *[c for c in open_.columns if c.startswith("a_")])
-            pairs = counted(own.join(other, "h").where("a_root <> b_root"))
+            columns = ("node", "n", "at", "before", "root", "near")
+            own, other = (known.select("h", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "ab")
+            own = own.join(open_.select("h", "a_node"), ["h", "a_node"], "left_semi")
+            # a pair that shares an entry named by both meets there, or at an earlier one
+            pairs = counted(own.join(other, "h").where((F.col("a_root") != F.col("b_root")) & ~F.arrays_overlap("a_near", "b_near")))
             pairs = pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         else:
             pairs = counted(open_).groupBy(F.col("a_node").alias("a")).agg(F.max_by("b_node", F.struct("shared", "b_node")).alias("b"))

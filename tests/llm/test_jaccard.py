@@ -110,3 +110,6 @@ def test_entries_are_rare_first_and_exact(spark, monkeypatch):
         if 5 * (len(order) - own) >= 4 * len(order):
             want |= {(np.uint64(h).view(np.int64).item(), node, len(order), i, i - own) for i, h in enumerate(order[: prefix_length(len(order))]) if i >= own}
     assert {(r.h, r.node, r.n, r.at, r.before) for r in kept["found"]} == want and len(kept["found"]) == len(want) > 50
+    by_place = {(r.node, r.before): r for r in kept["found"]}
+    for r in kept["found"]:
+        assert r.near == [by_place[r.node, r.before - k].h for k in range(1, min(r.before, jaccard.NEAR) + 1)]
