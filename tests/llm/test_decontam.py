@@ -42,3 +42,12 @@ def test_odd_rows(spark, odd, odd_rows, nothing):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(r[0]) for r in odd_rows if r[0] not in hit)
     assert matches(nothing, bench).count() == 0 and matches(odd, bench.limit(0)).count() == 0
     assert clean(odd, bench.limit(0)).count() == len(odd_rows)
+
+
+def test_ids_of_any_type(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([("d1", f"x {text} y"), ("d2", "nothing here")], "doc_id string, text string")
+    for kind, item in (("int", 7), ("long", 7), ("short", 7), ("string", "i7")):
+        found = matches(docs, spark.createDataFrame([(item, text)], f"item_id {kind}, text string"))
+        assert [(r.doc_id, r.item_id) for r in found.collect()] == [("d1", item)]
+        assert found.schema["item_id"].dataType.simpleString() in (kind, "bigint", "smallint")

@@ -98,3 +98,20 @@ def test_rarer_words_are_modelled_and_gain_on_held_out_texts(spark):
     rows = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
     got = lblm.scored(rows, F.col("doc_id") < 100, F.col("doc_id")).where("doc_id >= 100").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > 0.6 * got[1], got  # both negative; 512 tokens gave 0.94
+
+
+def test_common_words_are_the_largest_counts_with_ties_by_word(spark, monkeypatch):
+    """More words of one count than fit leave a vocabulary all the same."""
+    from closeledger.llm import lblm
+
+    monkeypatch.setattr(lblm, "HEAD", 3)
+    table = [(w, 200_000) for w in ("e", "b", "é", "a", "d")] + [("rare", 1), ("twice", 2)]
+    counts = lblm.counts_of(spark.createDataFrame(table, "word string, c long"), 7)
+    assert counts.words == {b"a": 0, b"b": 1, b"d": 2} and counts.vocabulary == 3
+    assert (counts.tokens, counts.distinct) == (1_000_010, 8)
+    monkeypatch.setattr(lblm, "HEAD", 40)
+    table = [(f"w{i:03d}", 300_000 + i % 50) for i in range(100)] + [(f"x{i}", 250_000) for i in range(5)]
+    counts = lblm.counts_of(spark.createDataFrame(table, "word string, c long"), 0)
+    want = sorted(table, key=lambda r: (-r[1], r[0]))[:40]
+    assert list(counts.words) == [w.encode() for w, _ in want] and counts.c.tolist() == [c for _, c in want]
+    assert lblm.counts_of(spark.createDataFrame([("one", 1)], "word string, c long"), 0).vocabulary == 0
