@@ -39,4 +39,4 @@ def test_registered_once_each(spark):
 
     names = __spark_entry__.queries()
     assert set(QUERIES) < set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
