@@ -22,10 +22,13 @@ rows; further columns are ignored by the query and kept by the stage.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,8 @@ from closeledger.llm.common import arrow_map, read_table, slices
 SPACE = "▁"
 #: Chunks of more symbols take the heap.
 SHORT = 48
-#: Bytes that a worker's memo of chunks holds, about, before it starts anew, and
-#: bytes that an entry takes beside its ids and text.
+#: Bytes that a worker's memo of chunks keeps from one batch to the next, at most,
+#: and bytes that an entry takes beside its ids and text, about.
 MEMO_BYTES, ENTRY_BYTES = 24 << 20, 250
 #: Symbols that one lockstep batch holds.
 LOCKSTEP = 1 << 18
@@ -82,9 +85,22 @@ class Pieces:
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
         self.pairs = pairs
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        #: The pairs as a hash table with linear probing, a slot four times as many.
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys, self.merged = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int32)
+        left, value = np.fromiter(pairs.keys(), np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
+        slot = self._slot(left)
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            self.keys[slot[free]], taken = left[free], np.zeros(len(left), bool)
+            taken[free] = self.keys[slot[free]] == left[free]  # of several in a slot one stays
+            self.merged[slot[taken]] = value[taken]
+            left, value, slot = left[~taken], value[~taken], slot[~taken] + 1 & len(self.keys) - 1
+        #: Scores by order, equal ones alike; -1, the last, for no piece.
+        self.rank = np.append(np.unique(self.scores, return_inverse=True)[1], -1).astype(np.int32)
         #: Ids of chunks, joined by commas and as 32-bit numbers.
+        self.written = [str(i) for i in range(len(self.names))]
+        self.digits = np.array([len(w) for w in self.written])
         self.memo: dict[str, tuple[str, bytes]] = {}
         self.held = 0
 
@@ -143,52 +159,74 @@ class Pieces:
             offer(i, right[i])
         return [s for s in symbols if s is not None]
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def _lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Merged piece of each pair, -1 where there is none."""
-        key = np.where((a < 0) | (b < 0), -1, a << 32 | np.maximum(b, 0))
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.merged[at], -1)
+        shape, none = a.shape, (a < 0) | (b < 0)
+        key = (a.astype(np.int64) << 32 | b).ravel()
+        key[none.ravel()] = 0  # no pair: both would be id 0
+        slot = self._slot(key)
+        held, out = self.keys[slot], self.merged[slot]
+        left = np.flatnonzero(held != key)
+        out[left] = -1
+        left = left[held[left] >= 0]
+        at = slot[left]
+        while len(left):
+            at = at + 1 & len(self.keys) - 1
+            held = self.keys[at]
+            same = held == key[left]
+            out[left[same]] = self.merged[at[same]]
+            on = ~same & (held >= 0)
+            left, at = left[on], at[on]
+        return out.reshape(shape)
 
     def merge_batch(self, chunks: list[str]) -> list[list[int]]:
-        """The agendas of many short chunks in lockstep: a row per chunk, the
-        best pair of every row merged in each round."""
-        out: list[list[int]] = [[]] * len(chunks)
-        lengths = np.array([len(c) for c in chunks])
-        for width in np.unique(lengths).tolist():
-            own = np.flatnonzero(lengths == width)
+        """The agendas of many short chunks in lockstep: the best pair of every
+        chunk is merged in each round."""
+        flat, lengths = self.merge_flat(chunks)
+        flat, ends = flat.tolist(), np.cumsum(lengths).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def merge_flat(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all chunks, one after the other, and their numbers."""
+        widths, done = np.array([len(c) for c in chunks], np.int64), []
+        for width in np.unique(widths[widths > 0]).tolist():
+            own = np.flatnonzero(widths == width)
             for part in np.array_split(own, len(own) * width // LOCKSTEP + 1):
-                part = part.tolist()
-                symbols = self.numbers("".join([chunks[i] for i in part])).reshape(len(part), width)
-                for i, merged in zip(part, self._lockstep(symbols), strict=True):
-                    out[i] = merged
-        return out
-
-    def _lockstep(self, symbols: np.ndarray) -> list[list[int]]:
-        done: list[list[int]] = [[]] * len(symbols)
-        number = np.arange(len(symbols))
-        scores = np.append(self.scores, -np.inf)  # -1: no merge
-        pairs = self._lookup(symbols[:, :-1], symbols[:, 1:])
-        while symbols.shape[1] > 1:
-            values = scores[pairs]
-            best = values.argmax(axis=1)  # the leftmost of the best
-            rows = np.arange(len(symbols))
-            merged = pairs[rows, best]
-            live = merged >= 0
-            for i, row in zip(number[~live].tolist(), symbols[~live].tolist(), strict=True):
-                done[i] = row
-            symbols, pairs, number, best, merged = symbols[live], pairs[live], number[live], best[live], merged[live]
-            if not len(symbols):
-                return done
-            rows, width = np.arange(len(symbols)), symbols.shape[1]
-            symbols[rows, best] = merged
-            kept = np.arange(width)[None, :] != (best + 1)[:, None]
-            symbols = symbols[kept].reshape(len(symbols), width - 1)
-            pairs = pairs[kept[:, 1:]].reshape(len(symbols), width - 2)  # without the pair that was merged
-            for at, ok in ((best - 1, best > 0), (best, best < width - 2)):
-                r, p = rows[ok], at[ok]
-                pairs[r, p] = self._lookup(symbols[r, p], symbols[r, p + 1])
-        for i, s in zip(number.tolist(), symbols.tolist(), strict=True):
-            done[i] = s
+                symbols = self.numbers("".join([chunks[i] for i in part.tolist()])).astype(np.int32)
+                done += self._lockstep(part, np.ascontiguousarray(symbols.reshape(len(part), width).T))
+        lengths = np.zeros(len(chunks), np.int64)
+        for number, symbols in done:
+            lengths[number] = len(symbols)
+        starts = np.cumsum(lengths) - lengths
+        flat = np.empty(int(lengths.sum()), np.int64)
+        for number, symbols in done:
+            flat[starts[number] + np.arange(len(symbols))[:, None]] = symbols
+        return flat, lengths
+
+    def _lockstep(self, number: np.ndarray, symbols: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(numbers of chunks, their symbols, a column a chunk) as they end."""
+        done, place = [], np.arange(SHORT + 1, dtype=np.int32)[:, None]
+        pairs = self._lookup(symbols[:-1], symbols[1:])
+        while len(pairs):
+            # rank, then the place counted from the right: the leftmost of the best
+            best = (self.rank[pairs] * 64 + (63 - place[: len(pairs)])).max(axis=0)
+            live = best >= 0
+            if not live.all():
+                done.append((number[~live], symbols[:, ~live]))
+                number, symbols, pairs, best = number[live], symbols[:, live], pairs[:, live], best[live]
+                if not len(number):
+                    return done
+            at, rows, width = 63 - (best & 63), np.arange(len(number)), len(symbols)
+            symbols[at, rows] = pairs[at, rows]
+            symbols = np.where(place[: width - 1] <= at, symbols[:-1], symbols[1:])
+            pairs = np.where(place[: width - 2] < at, pairs[:-1], pairs[1:])  # without the pair that was merged
+            for where, ok in ((at - 1, at > 0), (at, at < width - 2)):
+                r, p = rows[ok], where[ok]
+                pairs[p, r] = self._lookup(symbols[p, r], symbols[p + 1, r])
+        done.append((number, symbols))
         return done
 
     def decode(self, ids: list[int]) -> str:
@@ -213,43 +251,74 @@ class Pieces:
             return self.decode(ids)
         return "".join(map(self.plain.__getitem__, ids)).replace(SPACE, " ").removeprefix(" ")
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[str]) -> None:
         """Encode new chunks into the memo.  Their ids must equal the
         library's."""
-        new = sorted(chunks)
-        short = [SPACE + c for c in new if len(c) < SHORT]
-        found = dict(zip(short, self.merge_batch(short), strict=True))
+        size, long = len(self.names), [c for c in chunks if len(c) >= SHORT]
+        new = [c for c in chunks if len(c) < SHORT]
+        flat, lengths = self.merge_flat([SPACE + c for c in new])
+        found = [self.ids(self.merge_heap(SPACE + c)) for c in long]
+        ascii_ = (flat < 0) & (flat >= -128)  # a byte each
+        flat[ascii_] = np.array(self.byte_ids)[-1 - flat[ascii_]]
+        outside = np.flatnonzero((flat < 0) | (flat >= size))
+        if len(outside):  # several bytes each: as lists, after the others
+            ends = np.cumsum(lengths)
+            other = np.unique(np.searchsorted(ends, outside, "right")).tolist()
+            kept = np.ones(len(new), bool)
+            kept[other] = False
+            long += [new[i] for i in other]
+            found += [self.ids(flat[ends[i] - lengths[i] : ends[i]].tolist()) for i in other]
+            flat, lengths, new = flat[np.repeat(kept, lengths)], lengths[kept], [new[i] for i in np.flatnonzero(kept).tolist()]
+        new += long
+        flat = np.append(flat, np.fromiter(chain.from_iterable(found), np.int64))
+        ends = np.cumsum(np.append(lengths, [len(f) for f in found])).astype(np.int64)
         expected = self.library.encode([c.replace(SPACE, " ") for c in new], num_threads=1)
-        if new[0] == "":  # a last space; as a text of its own it would be empty
-            expected[0] = [self.library.piece_to_id(SPACE)]
-        size = len(self.names)
-        for c, want in zip(new, expected, strict=True):
-            symbols = found.get(SPACE + c) or self.merge_heap(SPACE + c)
-            ids = symbols if min(symbols) >= 0 and max(symbols) < size else self.ids(symbols)
-            if ids != want:
-                raise ValueError(f"encoding differs from the library: {c!r}: {ids}, not {want}")
-            self.memo[c] = ",".join(map(str, ids)), np.array(ids, np.int32).tobytes()
-            self.held += ENTRY_BYTES + len(c) + len(self.memo[c][0]) + len(self.memo[c][1])
+        if "" in chunks:  # a last space; as a text of its own it would be empty
+            expected[new.index("")] = [self.library.piece_to_id(SPACE)]
+        listed, wanted = flat.tolist(), list(chain.from_iterable(expected))
+        if listed != wanted or ends.tolist() != list(accumulate(map(len, expected))):
+            pairs = zip(new, np.split(flat, ends[:-1]), expected, strict=True)
+            c, ids, want = next(x for x in pairs if x[1].tolist() != x[2])
+            raise ValueError(f"encoding differs from the library: {c!r}: {ids.tolist()}, not {want}")
+        joined = ",".join(map(self.written.__getitem__, listed))
+        stops = np.cumsum(self.digits[flat] + 1)[ends - 1].tolist()
+        data, at, start = flat.astype(np.int32).tobytes(), 0, 0
+        for c, end, stop in zip(new, (4 * ends).tolist(), stops, strict=True):
+            self.memo[c] = joined[start : stop - 1], data[at:end]
+            self.held += ENTRY_BYTES + len(c) + stop - 1 - start + end - at
+            at, start = end, stop
+
+    def forget(self, chunks: list[str]) -> None:
+        for c in chunks:
+            self.held -= ENTRY_BYTES + len(c) + sum(map(len, self.memo.pop(c)))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by commas, decoded text) of every text."""
-        if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
         memo = self.memo
-        split = [self.chunks(t) for t in texts]
-        new = {c for own in split for c in own if c not in memo}
-        if new:
-            self.learn(new)
-        found = []
-        for own in split:
-            parts = [memo[c] for c in own]
-            found.append((",".join([p[0] for p in parts]), np.frombuffer(b"".join([p[1] for p in parts]), np.int32).tolist()))
-        for c in new:  # long chunks hardly come again
-            if len(c) >= SHORT:
-                self.held -= ENTRY_BYTES + len(c) + sum(map(len, memo.pop(c)))
+        gc.disable()  # a batch makes many lists, none in a cycle
+        try:
+            split = [self.chunks(t) for t in texts]
+            times = Counter(chain.from_iterable(split))
+            new = [c for c in times if c not in memo]
+            if new:
+                self.learn(new)
+            found = []
+            for own in split:
+                parts = [memo[c] for c in own]
+                found.append((",".join([p[0] for p in parts]), np.frombuffer(b"".join([p[1] for p in parts]), np.int32)))
+        finally:
+            gc.enable()
+        self.forget([c for c in new if len(c) >= SHORT])  # long chunks hardly come again
+        if self.held > MEMO_BYTES:  # chunks that came once go first, then those that did not come at all
+            self.forget([c for c in new if times[c] == 1 and len(c) < SHORT])
+        if self.held > MEMO_BYTES:
+            self.forget([c for c in memo if c not in times])
+        if self.held > MEMO_BYTES:
+            self.forget(list(memo))
+        del split, times, new
         texts_of_library = self.library.decode([ids for _, ids in found], num_threads=1) if found else []
         for (joined, ids), expected in zip(found, texts_of_library, strict=True):
+            ids = ids.tolist()
             text = self.text_of(ids)
             if text != expected:
                 raise ValueError(f"decoding differs from the library: {ids}")

@@ -67,3 +67,31 @@ def test_a_wrong_id_is_an_error(pieces, monkeypatch):
     monkeypatch.setattr(pieces, "text_of", lambda ids: "other")
     with pytest.raises(ValueError, match="decoding differs"):
         list(pieces.encode(["a text"]))
+
+
+def test_chunks_that_come_again_are_not_learned_again(pieces, monkeypatch):
+    """A full memo gives up the chunks that came once, not the common ones."""
+    from closeledger.llm import pieces as module
+
+    monkeypatch.setattr(module, "MEMO_BYTES", 100_000)
+    pieces.forget(list(pieces.memo)) if pieces.memo else None
+    rng, learned, learn = random.Random(5), [], pieces.learn
+    monkeypatch.setattr(pieces, "learn", lambda chunks: (learned.extend(chunks), learn(chunks)))
+    common = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(50)]
+    for _ in range(6):
+        texts = [" ".join(common + ["".join(rng.choices("abcdefgh", k=12)) for _ in range(200)]) for _ in range(4)]
+        assert [d for _, _, d in pieces.encode(texts)] == texts
+        assert pieces.held <= 100_000
+    assert learned.count(common[0]) == 1 and set(common) <= set(pieces.memo)
+
+
+def test_every_pair_is_found_and_no_other(pieces):
+    import numpy as np
+
+    keys = np.fromiter(pieces.pairs, np.int64)
+    found = pieces._lookup(keys >> 32, keys & 0xFFFFFFFF)
+    assert found.tolist() == list(pieces.pairs.values())
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(-2, len(pieces.names), (2, 200_000))
+    want = [pieces.pairs.get(x << 32 | y, -1) if x >= 0 <= y else -1 for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+    assert pieces._lookup(a, b).tolist() == want
