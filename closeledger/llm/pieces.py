@@ -66,14 +66,15 @@ class Pieces:
         self.bytes = {self.names[i]: i for i, k in enumerate(kinds) if k[2]}
         self.byte_ids = [self.bytes[f"<0x{b:02X}>"] for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
-        #: Text of an id by itself; bytes over 0x7F have none.
-        self.plain = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else n for i, n in enumerate(self.names)]
-        self.partial = {i for i, b in self.byte_of.items() if b > 127}
+        #: Text of an id by itself, with spaces; bytes over 0x7F have none.
+        self.plain = [n.replace(SPACE, " ") for n in self.names]
+        for i, b in self.byte_of.items():
+            self.plain[i] = chr(b) if b < 128 else None
         self.scores = np.array([sp.get_score(i) for i in range(len(self.names))])
         #: Characters that are part of a piece but no piece themselves get numbers above the ids.
         self.outside = dict(enumerate(sorted({c for p in self.symbols for c in p}.difference(self.symbols)), len(self.names)))
         self.symbols |= {c: n for n, c in self.outside.items()}
-        self.of_point = np.full(0x110000, -1, np.int64)
+        self.of_point = np.full(0x110000, -1, np.int32)
         for c, n in self.symbols.items():
             if len(c) == 1:
                 self.of_point[ord(c)] = n
@@ -96,8 +97,8 @@ class Pieces:
             taken[free] = self.keys[slot[free]] == left[free]  # of several in a slot one stays
             self.merged[slot[taken]] = value[taken]
             left, value, slot = left[~taken], value[~taken], slot[~taken] + 1 & len(self.keys) - 1
-        #: Scores by order, equal ones alike; -1, the last, for no piece.
-        self.rank = np.append(np.unique(self.scores, return_inverse=True)[1], -1).astype(np.int32)
+        #: Scores by order, equal ones alike, with room for a place below; the last, negative, for no piece.
+        self.rank = (np.append(np.unique(self.scores, return_inverse=True)[1], -1) * 64).astype(np.int32)
         #: Ids of chunks, joined by commas and as 32-bit numbers.
         self.written = [str(i) for i in range(len(self.names))]
         self.digits = np.array([len(w) for w in self.written])
@@ -210,22 +211,25 @@ class Pieces:
         """(numbers of chunks, their symbols, a column a chunk) as they end."""
         done, place = [], np.arange(SHORT + 1, dtype=np.int32)[:, None]
         pairs = self._lookup(symbols[:-1], symbols[1:])
+        ranks = self.rank[pairs]
         while len(pairs):
             # rank, then the place counted from the right: the leftmost of the best
-            best = (self.rank[pairs] * 64 + (63 - place[: len(pairs)])).max(axis=0)
+            best = (ranks + (63 - place[: len(pairs)])).max(axis=0)
             live = best >= 0
             if not live.all():
                 done.append((number[~live], symbols[:, ~live]))
-                number, symbols, pairs, best = number[live], symbols[:, live], pairs[:, live], best[live]
+                number, symbols, pairs, ranks, best = number[live], symbols[:, live], pairs[:, live], ranks[:, live], best[live]
                 if not len(number):
                     return done
             at, rows, width = 63 - (best & 63), np.arange(len(number)), len(symbols)
             symbols[at, rows] = pairs[at, rows]
             symbols = np.where(place[: width - 1] <= at, symbols[:-1], symbols[1:])
-            pairs = np.where(place[: width - 2] < at, pairs[:-1], pairs[1:])  # without the pair that was merged
+            before = place[: width - 2] < at
+            pairs, ranks = np.where(before, pairs[:-1], pairs[1:]), np.where(before, ranks[:-1], ranks[1:])  # without the pair that was merged
             for where, ok in ((at - 1, at > 0), (at, at < width - 2)):
                 r, p = rows[ok], where[ok]
-                pairs[p, r] = self._lookup(symbols[p, r], symbols[p + 1, r])
+                pairs[p, r] = made = self._lookup(symbols[p, r], symbols[p + 1, r])
+                ranks[p, r] = self.rank[made]
         done.append((number, symbols))
         return done
 
@@ -247,13 +251,13 @@ class Pieces:
 
     def text_of(self, ids: list[int]) -> str:
         """``decode``, at once where no id is part of a character."""
-        if not self.partial.isdisjoint(ids):
+        try:
+            return "".join(map(self.plain.__getitem__, ids)).removeprefix(" ")
+        except TypeError:  # None
             return self.decode(ids)
-        return "".join(map(self.plain.__getitem__, ids)).replace(SPACE, " ").removeprefix(" ")
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode new chunks into the memo.  Their ids must equal the
-        library's."""
+    def learn(self, chunks: list[str]) -> dict[str, tuple[str, bytes]]:
+        """Memo entries of new chunks.  Their ids must equal the library's."""
         size, long = len(self.names), [c for c in chunks if len(c) >= SHORT]
         new = [c for c in chunks if len(c) < SHORT]
         flat, lengths = self.merge_flat([SPACE + c for c in new])
@@ -282,40 +286,50 @@ class Pieces:
             raise ValueError(f"encoding differs from the library: {c!r}: {ids.tolist()}, not {want}")
         joined = ",".join(map(self.written.__getitem__, listed))
         stops = np.cumsum(self.digits[flat] + 1)[ends - 1].tolist()
-        data, at, start = flat.astype(np.int32).tobytes(), 0, 0
-        for c, end, stop in zip(new, (4 * ends).tolist(), stops, strict=True):
-            self.memo[c] = joined[start : stop - 1], data[at:end]
-            self.held += ENTRY_BYTES + len(c) + stop - 1 - start + end - at
-            at, start = end, stop
+        data, joined_at, data_at = flat.astype(np.int32).tobytes(), [0, *stops], [0, *(4 * ends).tolist()]
+        parts = zip(zip(joined_at, stops, strict=False), zip(data_at, data_at[1:], strict=False), strict=True)
+        return {c: (joined[i : j - 1], data[k:n]) for c, ((i, j), (k, n)) in zip(new, parts, strict=True)}
+
+    def keep(self, entries: dict[str, tuple[str, bytes]], times: Counter[str], split: list[list[str]]) -> None:
+        """Add a batch's new chunks to the memo, but no long ones, which hardly
+        come again, and once it is half full none that came once.  When it is
+        full, the oldest of those that the batch did not use go."""
+        room = self.held < MEMO_BYTES // 2
+        for c in [c for c, n in times.items() if (room or n > 1) and len(c) < SHORT]:
+            self.memo[c] = a, b = entries[c]
+            self.held += ENTRY_BYTES + len(c) + len(a) + len(b)
+        if self.held > MEMO_BYTES:
+            used = set(chain.from_iterable(split))
+            self.forget([c for c in self.memo if c not in used])
+        if self.held > MEMO_BYTES:
+            self.forget(list(self.memo))
 
     def forget(self, chunks: list[str]) -> None:
+        """Drop the first of these until a quarter of the memo's bytes is free."""
         for c in chunks:
-            self.held -= ENTRY_BYTES + len(c) + sum(map(len, self.memo.pop(c)))
+            if self.held <= MEMO_BYTES * 3 // 4:
+                break
+            a, b = self.memo.pop(c)
+            self.held -= ENTRY_BYTES + len(c) + len(a) + len(b)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
-        """(number of ids, ids joined by commas, decoded text) of every text."""
-        memo = self.memo
+    def looked_up(self, split: list[list[str]]) -> list[tuple[str, np.ndarray]]:
+        """Ids of texts in chunks, joined by commas and as numbers."""
         gc.disable()  # a batch makes many lists, none in a cycle
         try:
-            split = [self.chunks(t) for t in texts]
-            times = Counter(chain.from_iterable(split))
-            new = [c for c in times if c not in memo]
-            if new:
-                self.learn(new)
-            found = []
-            for own in split:
-                parts = [memo[c] for c in own]
-                found.append((",".join([p[0] for p in parts]), np.frombuffer(b"".join([p[1] for p in parts]), np.int32)))
+            parts = [list(map(self.memo.get, own)) for own in split]
+            times = Counter([c for own, got in zip(split, parts, strict=True) for c, part in zip(own, got, strict=True) if part is None])
+            entries, found = self.learn(list(times)) if times else {}, []
+            for own, got in zip(split, parts, strict=True):
+                got = [part or entries[c] for c, part in zip(own, got, strict=True)]
+                found.append((",".join([p[0] for p in got]), np.frombuffer(b"".join([p[1] for p in got]), np.int32)))
+            self.keep(entries, times, split)
         finally:
             gc.enable()
-        self.forget([c for c in new if len(c) >= SHORT])  # long chunks hardly come again
-        if self.held > MEMO_BYTES:  # chunks that came once go first, then those that did not come at all
-            self.forget([c for c in new if times[c] == 1 and len(c) < SHORT])
-        if self.held > MEMO_BYTES:
-            self.forget([c for c in memo if c not in times])
-        if self.held > MEMO_BYTES:
-            self.forget(list(memo))
-        del split, times, new
+        return found
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+        """(number of ids, ids joined by commas, decoded text) of every text."""
+        found = self.looked_up([self.chunks(t) for t in texts])
         texts_of_library = self.library.decode([ids for _, ids in found], num_threads=1) if found else []
         for (joined, ids), expected in zip(found, texts_of_library, strict=True):
             ids = ids.tolist()

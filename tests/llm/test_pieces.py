@@ -74,9 +74,10 @@ def test_chunks_that_come_again_are_not_learned_again(pieces, monkeypatch):
     from closeledger.llm import pieces as module
 
     monkeypatch.setattr(module, "MEMO_BYTES", 100_000)
-    pieces.forget(list(pieces.memo)) if pieces.memo else None
+    pieces.memo.clear()
+    pieces.held = 0
     rng, learned, learn = random.Random(5), [], pieces.learn
-    monkeypatch.setattr(pieces, "learn", lambda chunks: (learned.extend(chunks), learn(chunks)))
+    monkeypatch.setattr(pieces, "learn", lambda chunks: learned.extend(chunks) or learn(chunks))
     common = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(50)]
     for _ in range(6):
         texts = [" ".join(common + ["".join(rng.choices("abcdefgh", k=12)) for _ in range(200)]) for _ in range(4)]
