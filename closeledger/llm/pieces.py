@@ -291,11 +291,14 @@ class Pieces:
         return {c: (joined[i : j - 1], data[k:n]) for c, ((i, j), (k, n)) in zip(new, parts, strict=True)}
 
     def keep(self, entries: dict[str, tuple[str, bytes]], times: Counter[str], split: list[list[str]]) -> None:
-        """Add a batch's new chunks to the memo, but no long ones, which hardly
-        come again, and once it is half full none that came once.  When it is
-        full, the oldest of those that the batch did not use go."""
-        room = self.held < MEMO_BYTES // 2
-        for c in [c for c, n in times.items() if (room or n > 1) and len(c) < SHORT]:
+        """Add a batch's new chunks to the memo: those that came again, and while
+        it is not half full those that came once; no long ones, which hardly come
+        again.  When it is full, the oldest of those that the batch did not use go."""
+        short = [(c, n) for c, n in times.items() if len(c) < SHORT]
+        again, once = [c for c, n in short if n > 1], [c for c, n in short if n == 1]
+        for i, c in enumerate(chain(again, once)):
+            if i >= len(again) and self.held > MEMO_BYTES // 2:
+                break
             self.memo[c] = a, b = entries[c]
             self.held += ENTRY_BYTES + len(c) + len(a) + len(b)
         if self.held > MEMO_BYTES:
