@@ -15,9 +15,9 @@ vector and bias.
 Training is noise-contrastive estimation in numpy, of both steps.  Every task
 makes one pass over its own training texts from the same start, and Spark
 averages each token's parameters, weighted by how often a task has used them.
-Scoring is normalised: a batch's distinct contexts go through one matrix
-product each with the vectors of all direct tokens and classes, and those of
-words in a class through one with all members.
+Scoring is normalised: over all direct tokens and classes, as a product of two
+rows of exponentials for each distinct context of a batch, and those of words in
+a class through a matrix product with all members.
 
 The ``HEAD`` commonest words that occur twice or more, ties by word, are broadcast
 with their counts.  Rarer words leave the scoring task as
@@ -34,8 +34,10 @@ text in the split; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +60,10 @@ NOISE_IN = 8
 ROWS = 256
 BATCH = 4096
 RATE = 0.1
+#: Gradients of a row that are added run by run, all first ones, all second ones.
+SHORT = 8
+#: Pairs of context tokens that one product takes.
+PRODUCT = 512
 #: Distinct words that a counting task holds before it passes them on.
 HELD = 400_000
 END, OTHER = 0, 1
@@ -100,7 +106,7 @@ class Counts:
     words: dict[bytes, int]  # number of a common word, commonest first
     c: np.ndarray  # its count
 
-    @property
+    @cached_property
     def vocabulary(self) -> int:
         """Words that the model knows by themselves."""
         return min(VOCABULARY - 2, int((self.c > 1).sum()))
@@ -142,10 +148,10 @@ def counts_of(words: DataFrame, ends: int) -> Counts:
     return Counts(total + ends, distinct + (ends > 0), ends, names, np.array([r["c"] for r in head], dtype=np.int64))
 
 
-def numbered(text: str, counts: Counts) -> tuple[list[bytes], np.ndarray]:
-    """Words and their numbers among the common ones (-1: rarer)."""
-    words, get = tokens(text), counts.words.get
-    return words, np.array([get(w, -1) for w in words], np.int64)
+def numbered(text: str, names: dict[bytes, int]) -> tuple[list[bytes], np.ndarray]:
+    """Words and their numbers in ``names`` (-1: not there)."""
+    words = tokens(text)
+    return words, np.fromiter(map(names.get, words, repeat(-1)), np.int64, len(words))
 
 
 def model_tokens(numbers: np.ndarray, known: int) -> np.ndarray:
@@ -166,15 +172,41 @@ def top(found: np.ndarray) -> np.ndarray:
     return np.where(found < FLAT, found, FLAT + (found - FLAT) // MEMBERS)
 
 
-def _add(p: np.ndarray, s: np.ndarray, used: np.ndarray, rows: np.ndarray, grads: np.ndarray) -> None:
-    """One Adagrad step of the rows of ``p`` that the batch uses."""
-    order = np.argsort(rows, kind="stable")
+def _sums(take: Callable[[np.ndarray], np.ndarray], order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the gradients ``take(order)`` over runs.  Most runs are short:
+    their first members are added run by run, all first ones, all second ones."""
+    out = take(order[starts])
+    for k in range(1, SHORT):
+        runs = np.flatnonzero(sizes > k)
+        if not len(runs):
+            return out
+        out[runs] += take(order[starts[runs] + k])
+    runs = np.flatnonzero(sizes > SHORT)
+    if len(runs):
+        rest = sizes[runs] - SHORT
+        ends = np.cumsum(rest)
+        places = np.arange(ends[-1]) + np.repeat(starts[runs] + SHORT - (ends - rest), rest)
+        out[runs] += np.add.reduceat(take(order[places]), ends - rest, axis=0)
+    return out
+
+
+def _add(p: np.ndarray, s: np.ndarray, used: np.ndarray, rows: np.ndarray, take: Callable[[np.ndarray], np.ndarray]) -> None:
+    """One Adagrad step of the rows of ``p`` that the batch uses; ``take`` gives
+    the gradients of places of ``rows``."""
+    order = np.argsort(rows.astype(np.uint16) if len(p) <= 1 << 16 else rows, kind="stable")
     rows = rows[order]
     starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    at, g = rows[starts], np.add.reduceat(grads[order], starts, axis=0)
-    s[at] += g * g
-    p[at] += (RATE * g / np.sqrt(s[at] + 1e-10)).astype(np.float32)
-    used[at] += np.diff(np.append(starts, len(rows)))
+    at, sizes = rows[starts], np.diff(np.append(starts, len(rows)))
+    g = _sums(take, order, starts, sizes)
+    past = s.take(at, axis=0)
+    past += g * g
+    s[at] = past
+    g *= RATE
+    past += 1e-10
+    g /= np.sqrt(past, out=past)
+    g += p.take(at, axis=0)
+    p[at] = g
+    used[at] += sizes
 
 
 class LogBilinear:
@@ -189,6 +221,7 @@ class LogBilinear:
         made = lambda n: rng.normal(scale=0.1, size=(n, DIMS + 1)).astype(np.float32)
         self.r, self.q, self.m = made(size), made(len(share)), made(max(0, size - FLAT))
         self.d = np.ones((2, DIMS + 1), np.float32)
+        self.tables: tuple | None = None
         self.r[:, -1] = 0
         self.q[:, -1] = np.log(share)
         self.m[:, -1] = np.log(unigram[FLAT:] / share[tops[FLAT:]])
@@ -200,7 +233,7 @@ class LogBilinear:
         return np.concatenate(self.parts())
 
     def load(self, rows: np.ndarray) -> LogBilinear:
-        at = 0
+        at, self.tables = 0, None
         for p in self.parts():
             p[...] = rows[at : at + len(p)]
             at += len(p)
@@ -208,7 +241,8 @@ class LogBilinear:
 
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """With a last column of ones, for the biases."""
-        out = self.r[one] * self.d[0] + self.r[two] * self.d[1]
+        out = self.r.take(one, axis=0) * self.d[0]
+        out += self.r.take(two, axis=0) * self.d[1]
         out[:, -1] = 1
         return out
 
@@ -216,13 +250,14 @@ class LogBilinear:
         """One Adagrad step of noise-contrastive estimation.  The batch shares
         its noise among direct tokens and classes; ``inside`` is uniform noise
         in [0, 1) for the words of a class, a row a target."""
-        n, goal = len(target), top(target)
+        n, goal, self.tables = len(target), top(target), None
         made = self.predicted(one, two)
-        real = np.einsum("ij,ij->i", made, self.q[goal]) - log_noise[goal]
+        goals = self.q.take(goal, axis=0)
+        real = np.einsum("ij,ij->i", made, goals) - log_noise[goal]
         false = made @ self.q[noise].T - log_noise[noise]
         up = (1.0 / (1.0 + np.exp(np.clip(real, -30, 30)))) / n
         down = (-1.0 / (1.0 + np.exp(-np.clip(false, -30, 30)))) / n
-        to_made = up[:, None] * self.q[goal] + down @ self.q[noise]
+        to_made = up[:, None] * goals + down @ self.q[noise]
         rows = np.flatnonzero(target >= FLAT)
         if len(rows):
             word, mine = target[rows] - FLAT, made[rows]
@@ -230,36 +265,69 @@ class LogBilinear:
             sizes = np.minimum(len(self.m) - first, MEMBERS)
             other = first[:, None] + (inside[rows] * sizes[:, None]).astype(np.int64)
             all_ = np.concatenate([word[:, None], other], axis=1)
-            vectors = self.m[all_]
-            value = np.einsum("ij,ikj->ik", mine, vectors) - np.log(NOISE_IN / sizes)[:, None]
+            vectors = self.m.take(all_, axis=0)
+            value = (vectors @ mine[:, :, None])[:, :, 0] - np.log(NOISE_IN / sizes).astype(np.float32)[:, None]
             pull = -1.0 / (1.0 + np.exp(-np.clip(value, -30, 30)))
             pull[:, 0] += 1
             pull = (pull / n).astype(np.float32)
-            to_made[rows] += np.einsum("ik,ikj->ij", pull, vectors)
-            inner = (pull[:, :, None] * mine[:, None, :]).reshape(-1, DIMS + 1)
-        ones, twos = self.r[one], self.r[two]
+            to_made[rows] += (pull[:, None, :] @ vectors)[:, 0]
+            flat = pull.ravel()
+        ones, twos = self.r.take(one, axis=0), self.r.take(two, axis=0)
         to_made[:, -1] = 0
         to_d = np.stack([(to_made * ones).sum(axis=0), (to_made * twos).sum(axis=0)])
         to_r = np.concatenate([to_made * self.d[0], to_made * self.d[1]])
-        _add(self.r, past[0], used[0], np.concatenate([one, two]), to_r)
-        _add(self.q, past[1], used[1], np.concatenate([goal, noise]), np.concatenate([up[:, None] * made, down.T @ made]))
+        to_q = np.concatenate([up[:, None] * made, down.T @ made])
+        _add(self.r, past[0], used[0], np.concatenate([one, two]), lambda i: to_r.take(i, axis=0))
+        _add(self.q, past[1], used[1], np.concatenate([goal, noise]), lambda i: to_q.take(i, axis=0))
         if len(rows):
-            _add(self.m, past[2], used[2], all_.ravel(), inner)
-        _add(self.d, past[3], used[3], np.arange(2), to_d)
+            _add(self.m, past[2], used[2], all_.ravel(), lambda i: mine.take(i // all_.shape[1], axis=0) * flat.take(i)[:, None])
+        _add(self.d, past[3], used[3], np.arange(2), to_d.__getitem__)
+
+    def exponentials(self, i: int, bias: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+        """exp of the term that every token at distance ``i`` adds to the logits of
+        direct tokens and classes, less the largest of its row; and the largest."""
+        out, most = np.empty((self.size, len(self.q)), np.float32), np.empty(self.size, np.float32)
+        for at in range(0, self.size, 256):
+            made = out[at : at + 256]
+            np.matmul(self.r[at : at + 256, :-1] * self.d[i, :-1], self.q[:, :-1].T, out=made)
+            made += bias
+            most[at : at + 256] = made.max(axis=1)
+            made -= most[at : at + 256, None]
+            np.exp(made, out=made)
+        return out, most
+
+    def normaliser(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """log of the sum of exp(logit) over direct tokens and classes, a pair of
+        context tokens each, in order of the first.  The logits are a sum of a term
+        of either token, so the sum is a product of two rows of exponentials, which
+        are made once a model (100 MB each at most); -inf where it is too small."""
+        if self.tables is None:
+            self.tables = self.exponentials(0, 0), self.exponentials(1, self.q[:, -1])
+        (left, left_most), (right, right_most) = self.tables
+        out = np.empty(len(one), np.float32)
+        for at in range(0, len(one), PRODUCT):
+            a, b = one[at : at + PRODUCT], two[at : at + PRODUCT]
+            rows = right.take(b, axis=0)
+            sums = rows @ left[a[0]] if a[0] == a[-1] else np.einsum("ij,ij->i", left.take(a, axis=0), rows)
+            with np.errstate(divide="ignore"):
+                sums = np.log(sums)
+            out[at : at + PRODUCT] = np.where(sums > -60, sums + left_most[a] + right_most[b], -np.inf)
+        return out
 
     def log10(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of every target."""
 
         def log_sum(logits: np.ndarray) -> np.ndarray:
             most = logits.max(axis=1)
-            return most + np.log(np.exp(logits - most[:, None]).sum(axis=1))
+            logits = logits - most[:, None]
+            return most + np.log(np.exp(logits, out=logits).sum(axis=1))
 
         pairs, place = np.unique(one * self.size + two, return_inverse=True)
         made = self.predicted(pairs // self.size, pairs % self.size)
-        norm = np.empty(len(pairs), np.float32)
-        for at in range(0, len(pairs), 8192):
-            norm[at : at + 8192] = log_sum(made[at : at + 8192] @ self.q.T)
-        own = np.einsum("ij,ij->i", made[place], self.q[top(target)]) - norm[place]
+        norm = self.normaliser(pairs // self.size, pairs % self.size)
+        for rows in np.array_split(np.flatnonzero(~np.isfinite(norm)), len(pairs) // 8192 + 1):  # products too small for a float
+            norm[rows] = log_sum(made[rows] @ self.q.T)
+        own = np.einsum("ij,ij->i", made.take(place, axis=0), self.q.take(top(target), axis=0)) - norm[place]
         rows = np.flatnonzero(target >= FLAT)
         rows = rows[np.argsort(target[rows], kind="stable")]
         word = target[rows] - FLAT
@@ -267,7 +335,7 @@ class LogBilinear:
         for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             for at in range(low, high, 8192):
                 some = slice(at, min(at + 8192, high))
-                logits = made[place[rows[some]]] @ self.m[i * MEMBERS : (i + 1) * MEMBERS].T
+                logits = made.take(place[rows[some]], axis=0) @ self.m[i * MEMBERS : (i + 1) * MEMBERS].T
                 own[rows[some]] += logits[np.arange(len(logits)), word[some] - i * MEMBERS] - log_sum(logits)
         return own.astype(np.float64) / np.log(10.0)
 
@@ -316,8 +384,9 @@ def train(texts: DataFrame, counts: Counts) -> LogBilinear:
         rng, log_noise = np.random.default_rng(TaskContext.get().partitionId()), np.log(NOISE * tops).astype(np.float32)
         cumulative, past, seen = np.cumsum(tops), [np.zeros_like(p) for p in model.parts()], 0
         used = [np.zeros(len(p), np.int64) for p in model.parts()]
+        names = dict(islice(counts.words.items(), counts.vocabulary))
         for batch in slices(batches, "text", 2 << 20):
-            found = [model_tokens(numbered(t, counts)[1], counts.vocabulary) for t in batch.column("text").to_pylist()]
+            found = [model_tokens(numbered(t, names)[1], counts.vocabulary) for t in batch.column("text").to_pylist()]
             before = [contexts(f) for f in found]
             target, one, two = np.concatenate(found), np.concatenate([b[0] for b in before]), np.concatenate([b[1] for b in before])
             order = rng.permutation(len(target))
@@ -359,12 +428,16 @@ def scored(docs: DataFrame, learn: Column, *keep: Column) -> DataFrame:
         counts, model = given.value
         base, share = counts.base(counts.c), counts.other_share(counts.c)
         known, row, first = counts.vocabulary, 0, TaskContext.get().partitionId() << 40
+        names = dict(islice(counts.words.items(), known))
         for batch in slices(batches, "text", 4 << 20):
             found, sums, rare = [], [], []
             for t in batch.column("text").to_pylist():
-                words, numbers = numbered(t, counts)
+                words, numbers = numbered(t, names)
+                rest = np.flatnonzero(numbers < 0)
+                others = [words[i] for i in rest.tolist()]
+                numbers[rest] = at = np.fromiter(map(counts.words.get, others, repeat(-1)), np.int64, len(rest))
                 common = numbers[numbers >= 0]
-                left = Counter(w for w, i in zip(words, numbers.tolist(), strict=True) if i < 0)
+                left = Counter([others[i] for i in np.flatnonzero(at < 0).tolist()])
                 found.append(model_tokens(numbers, known))
                 sums.append((len(words) + 1, len(common) + (counts.ends > 0), base[common].sum(), share[common[common >= known]].sum()))
                 rare.append(left)

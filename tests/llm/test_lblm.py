@@ -115,3 +115,35 @@ def test_common_words_are_the_largest_counts_with_ties_by_word(spark, monkeypatc
     want = sorted(table, key=lambda r: (-r[1], r[0]))[:40]
     assert list(counts.words) == [w.encode() for w, _ in want] and counts.c.tolist() == [c for _, c in want]
     assert lblm.counts_of(spark.createDataFrame([("one", 1)], "word string, c long"), 0).vocabulary == 0
+
+
+def test_normaliser_is_the_sum_over_direct_tokens_and_classes(monkeypatch):
+    """In blocks of any size, and where products of exponentials are too small."""
+    monkeypatch.setattr(lblm, "PRODUCT", 11)
+    rng = np.random.default_rng(2)
+    model = lblm.LogBilinear(rng.random(700))
+    model.r[:, :-1] *= 20
+    model.q[:, :-1] *= 20
+    model.r[5] = 0
+    model.r[5, 0], model.r[6, 0] = 300, -300  # the largest of either are far apart
+    model.q[:, 0] = rng.normal(size=len(model.q))
+    one, two, target = rng.integers(0, 12, (3, 500))
+    logits = (model.predicted(one, two) @ model.q.T).astype(np.float64)
+    most = logits.max(axis=1)
+    norm = most + np.log(np.exp(logits - most[:, None]).sum(axis=1))
+    want = (logits[np.arange(500), lblm.top(target)] - norm) / np.log(10)
+    assert np.allclose(model.log10(one, two, target), want, rtol=1e-4, atol=1e-3)
+    pairs = np.unique(one * model.size + two)
+    assert np.isinf(model.normaliser(pairs // model.size, pairs % model.size)).any()
+
+
+def test_gradients_of_a_row_are_added_whatever_their_number():
+    rng = np.random.default_rng(3)
+    rows = np.concatenate([np.full(300, 4), np.full(9, 7), np.full(8, 2), rng.integers(0, 50, 200)])
+    grads = rng.normal(size=(len(rows), 3))
+    p, s, used = np.zeros((60, 3)), np.zeros((60, 3)), np.zeros(60, np.int64)
+    lblm._add(p, s, used, rows, lambda i: grads.take(i, axis=0))
+    sums = np.zeros((60, 3))
+    np.add.at(sums, rows, grads)
+    assert np.allclose(s, sums**2) and used.tolist() == np.bincount(rows, minlength=60).tolist()
+    assert np.allclose(p, lblm.RATE * np.sign(sums), atol=1e-4)
