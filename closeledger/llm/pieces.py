@@ -46,8 +46,9 @@ SHORT = 48
 MEMO_BYTES, ENTRY_BYTES = 24 << 20, 250
 #: Symbols that one lockstep batch holds.
 LOCKSTEP = 1 << 18
-#: Bytes of text whose chunks a task holds at once.
-BATCH = 2 << 20
+#: Bytes of text whose chunks a task holds at once; as a stage, in executors
+#: that still hold the memory of the stages before, fewer.
+BATCH, STAGE_BATCH = 2 << 20, 1 << 19
 
 
 class Pieces:
@@ -369,7 +370,7 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def encoded(docs: DataFrame, columns: list[str], path: str | None = None) -> DataFrame:
+def encoded(docs: DataFrame, columns: list[str], path: str | None = None, size: int = BATCH) -> DataFrame:
     """``columns`` of docs with n_tokens, ids_sha256 and decoded_sha256.  A
     column of one of these names gives way to the new one."""
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
@@ -379,7 +380,7 @@ def encoded(docs: DataFrame, columns: list[str], path: str | None = None) -> Dat
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model.value)
-        for batch in slices(batches, "_cl_text", BATCH):
+        for batch in slices(batches, "_cl_text", size):
             counts, ids, decoded = [], [], []
             for n, joined, text in pieces.encode([t or "" for t in batch.column("_cl_text").to_pylist()]):
                 counts.append(n)
@@ -400,4 +401,4 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token counts and digests."""
-    return encoded(docs, docs.columns)
+    return encoded(docs, docs.columns, size=STAGE_BATCH)
