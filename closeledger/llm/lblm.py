@@ -266,7 +266,7 @@ class LogBilinear:
             other = first[:, None] + (inside[rows] * sizes[:, None]).astype(np.int64)
             all_ = np.concatenate([word[:, None], other], axis=1)
             vectors = self.m.take(all_, axis=0)
-            value = (vectors @ mine[:, :, None])[:, :, 0] - np.log(NOISE_IN / sizes).astype(np.float32)[:, None]
+            value = (vectors @ mine[:, :, None])[:, :, 0] - np.log(NOISE_IN / sizes)[:, None]
             pull = -1.0 / (1.0 + np.exp(-np.clip(value, -30, 30)))
             pull[:, 0] += 1
             pull = (pull / n).astype(np.float32)

@@ -96,3 +96,8 @@ def test_every_pair_is_found_and_no_other(pieces):
     a, b = rng.integers(-2, len(pieces.names), (2, 200_000))
     want = [pieces.pairs.get(x << 32 | y, -1) if x >= 0 <= y else -1 for x, y in zip(a.tolist(), b.tolist(), strict=True)]
     assert pieces._lookup(a, b).tolist() == want
+
+
+def test_the_size_of_a_slice_changes_no_row(odd):
+    rows = lambda **size: sorted(map(str, encoded(odd, ["doc_id"], **size).collect()))
+    assert rows(size=1) == rows()
