@@ -428,11 +428,11 @@ def scored(docs: DataFrame, learn: Column, *keep: Column) -> DataFrame:
         counts, model = given.value
         base, share = counts.base(counts.c), counts.other_share(counts.c)
         known, row, first = counts.vocabulary, 0, TaskContext.get().partitionId() << 40
-        names = dict(islice(counts.words.items(), known))
+        modelled = dict(islice(counts.words.items(), known))
         for batch in slices(batches, "text", 4 << 20):
             found, sums, rare = [], [], []
             for t in batch.column("text").to_pylist():
-                words, numbers = numbered(t, names)
+                words, numbers = numbered(t, modelled)
                 rest = np.flatnonzero(numbers < 0)
                 others = [words[i] for i in rest.tolist()]
                 numbers[rest] = at = np.fromiter(map(counts.words.get, others, repeat(-1)), np.int64, len(rest))

@@ -147,3 +147,11 @@ def test_gradients_of_a_row_are_added_whatever_their_number():
     np.add.at(sums, rows, grads)
     assert np.allclose(s, sums**2) and used.tolist() == np.bincount(rows, minlength=60).tolist()
     assert np.allclose(p, lblm.RATE * np.sign(sums), atol=1e-4)
+
+
+def test_a_task_scores_several_slices_alike(spark):
+    text = "abcdefghijkl mnopqrstuvwx " * 100_000  # 2.6 MB, a slice holds 4 MB
+    rows = spark.createDataFrame([(0, "abcdefghijkl mnopqrstuvwx " * 50), (1, text), (2, text), (3, text)], "doc_id long, text string").coalesce(1)
+    got = lblm.scored(rows, F.col("doc_id") == 0, F.col("doc_id")).where("doc_id > 0").collect()
+    assert len(got) == 3 and {(r.n_tokens, r.n_known) for r in got} == {(200_001, 200_001)}
+    assert len({r.score for r in got}) == 1
