@@ -33,14 +33,13 @@ text in the split; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
-from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,36 +61,38 @@ BATCH = 4096
 RATE = 0.1
 #: Gradients of a row that are added run by run, all first ones, all second ones.
 SHORT = 8
-#: Pairs of context tokens that one product takes.
-PRODUCT = 512
-#: Distinct words that a counting task holds before it passes them on.
+#: Pairs of context tokens that one product takes, tokens whose products are kept.
+PRODUCT, COMMON = 512, 2048
+#: Targets whose vectors are held at a time while scoring.
+PART = 8192
+#: Counted words that a task holds before it adds them up, and passes on if many differ.
 HELD = 400_000
 END, OTHER = 0, 1
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words of a text; bytes.split() cuts at 0x20 and 0x09-0x0D."""
-    return text.encode("utf-8").translate(_LOWER).split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, and their number in each; Arrow's ASCII white
+    space is 0x20 and 0x09-0x0D."""
+    found = compute.ascii_split_whitespace(compute.ascii_lower(texts.cast(pa.string())))
+    words, rows = found.flatten(), compute.list_parent_indices(found)
+    there = compute.greater(compute.binary_length(words), 0)
+    return words.filter(there), np.bincount(rows.filter(there).to_numpy(), minlength=len(texts))
 
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, c) of all words in the texts of ``train``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            words, n = list(held.keys()), list(held.values())
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["word", "c"])
-
+        held: list[pa.Table] = []
         for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                held.update(tokens(text))
-            if len(held) > HELD:
-                yield out()
-        yield out()
+            words, n = words_of(batch.column("text"))[0].value_counts().flatten()
+            held.append(pa.table({"word": words, "c": n}))
+            if sum(map(len, held)) > HELD:
+                held = [pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])]
+                if 2 * len(held[0]) > HELD:
+                    yield from held.pop().to_batches()
+        for table in held:
+            yield from table.to_batches()
 
     return arrow_map(train.select("text"), count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -106,6 +107,11 @@ class Counts:
     words: dict[bytes, int]  # number of a common word, commonest first
     c: np.ndarray  # its count
 
+    @property
+    def names(self) -> pa.Array:
+        """The common words, in order of their numbers."""
+        return pa.array(list(self.words), pa.binary()).cast(pa.string())
+
     @cached_property
     def vocabulary(self) -> int:
         """Words that the model knows by themselves."""
@@ -148,23 +154,23 @@ def counts_of(words: DataFrame, ends: int) -> Counts:
     return Counts(total + ends, distinct + (ends > 0), ends, names, np.array([r["c"] for r in head], dtype=np.int64))
 
 
-def numbered(text: str, names: dict[bytes, int]) -> tuple[list[bytes], np.ndarray]:
-    """Words and their numbers in ``names`` (-1: not there)."""
-    words = tokens(text)
-    return words, np.fromiter(map(names.get, words, repeat(-1)), np.int64, len(words))
+def numbered(words: pa.Array, names: pa.Array) -> np.ndarray:
+    """Numbers of words in ``names`` (-1: not there)."""
+    return compute.index_in(words, value_set=names).fill_null(-1).to_numpy()
 
 
-def model_tokens(numbers: np.ndarray, known: int) -> np.ndarray:
-    """Model tokens of a text's words and its end."""
-    out = np.full(len(numbers) + 1, END, np.int64)
-    out[:-1] = np.where((numbers >= 0) & (numbers < known), numbers + 2, OTHER)
-    return out
-
-
-def contexts(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens one and two before each; before a text stand ends."""
+def model_tokens(numbers: np.ndarray, sizes: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Model tokens of texts of ``sizes`` words, each with its end, and the tokens
+    one and two before each; before a text stand ends."""
+    ends = np.cumsum(sizes + 1) - 1
+    inside = np.ones(len(numbers) + len(sizes), bool)
+    inside[ends] = False
+    found = np.full(len(inside), END, np.int64)
+    found[inside] = np.where((numbers >= 0) & (numbers < known), numbers + 2, OTHER)
     padded = np.concatenate([[END, END], found])
-    return padded[1:-1], padded[:-2]
+    one, two = padded[1:-1], padded[:-2].copy()
+    two[ends - sizes] = END
+    return found, one, two
 
 
 def top(found: np.ndarray) -> np.ndarray:
@@ -300,42 +306,54 @@ class LogBilinear:
         """log of the sum of exp(logit) over direct tokens and classes, a pair of
         context tokens each, in order of the first.  The logits are a sum of a term
         of either token, so the sum is a product of two rows of exponentials, which
-        are made once a model (100 MB each at most); -inf where it is too small."""
+        are made once a model (100 MB each at most), as are the products of the
+        ``COMMON`` commonest tokens (16 MB); -inf where it is too small."""
         if self.tables is None:
-            self.tables = self.exponentials(0, 0), self.exponentials(1, self.q[:, -1])
-        (left, left_most), (right, right_most) = self.tables
+            left, right = self.exponentials(0, 0), self.exponentials(1, self.q[:, -1])
+            self.tables = left, right, left[0][:COMMON] @ right[0][:COMMON].T
+        (left, left_most), (right, right_most), common = self.tables
         out = np.empty(len(one), np.float32)
-        for at in range(0, len(one), PRODUCT):
-            a, b = one[at : at + PRODUCT], two[at : at + PRODUCT]
+        both = (one < COMMON) & (two < COMMON)
+        out[both] = common[one[both], two[both]]
+        rest = np.flatnonzero(~both)
+        for at in range(0, len(rest), PRODUCT):
+            some = rest[at : at + PRODUCT]
+            a, b = one[some], two[some]
             rows = right.take(b, axis=0)
-            sums = rows @ left[a[0]] if a[0] == a[-1] else np.einsum("ij,ij->i", left.take(a, axis=0), rows)
-            with np.errstate(divide="ignore"):
-                sums = np.log(sums)
-            out[at : at + PRODUCT] = np.where(sums > -60, sums + left_most[a] + right_most[b], -np.inf)
-        return out
+            out[some] = rows @ left[a[0]] if a[0] == a[-1] else np.einsum("ij,ij->i", left.take(a, axis=0), rows)
+        with np.errstate(divide="ignore"):
+            np.log(out, out=out)
+        return np.where(out > -60, out + left_most[one] + right_most[two], -np.inf)
 
     def log10(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Normalised log10 probability of every target."""
+        """Normalised log10 probability of every target; vectors of predictions
+        are held for ``PART`` targets at a time."""
 
         def log_sum(logits: np.ndarray) -> np.ndarray:
             most = logits.max(axis=1)
             logits = logits - most[:, None]
             return most + np.log(np.exp(logits, out=logits).sum(axis=1))
 
-        pairs, place = np.unique(one * self.size + two, return_inverse=True)
-        made = self.predicted(pairs // self.size, pairs % self.size)
+        kind = np.int32 if self.size * self.size < 1 << 31 else np.int64
+        pairs, place = np.unique((one * self.size + two).astype(kind), return_inverse=True)
         norm = self.normaliser(pairs // self.size, pairs % self.size)
-        for rows in np.array_split(np.flatnonzero(~np.isfinite(norm)), len(pairs) // 8192 + 1):  # products too small for a float
-            norm[rows] = log_sum(made[rows] @ self.q.T)
-        own = np.einsum("ij,ij->i", made.take(place, axis=0), self.q.take(top(target), axis=0)) - norm[place]
+        small = np.flatnonzero(~np.isfinite(norm))  # products too small for a float
+        for at in range(0, len(small), PART):
+            rows = small[at : at + PART]
+            norm[rows] = log_sum(self.predicted(pairs[rows] // self.size, pairs[rows] % self.size) @ self.q.T)
+        own = -norm[place]
+        del pairs, place, norm
+        for at in range(0, len(own), PART):
+            some = slice(at, at + PART)
+            own[some] += np.einsum("ij,ij->i", self.predicted(one[some], two[some]), self.q.take(top(target[some]), axis=0))
         rows = np.flatnonzero(target >= FLAT)
         rows = rows[np.argsort(target[rows], kind="stable")]
         word = target[rows] - FLAT
         cuts = np.searchsorted(word, np.arange(0, len(self.m) + MEMBERS, MEMBERS))
         for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            for at in range(low, high, 8192):
-                some = slice(at, min(at + 8192, high))
-                logits = made.take(place[rows[some]], axis=0) @ self.m[i * MEMBERS : (i + 1) * MEMBERS].T
+            for at in range(low, high, PART):
+                some = slice(at, min(at + PART, high))
+                logits = self.predicted(one[rows[some]], two[rows[some]]) @ self.m[i * MEMBERS : (i + 1) * MEMBERS].T
                 own[rows[some]] += logits[np.arange(len(logits)), word[some] - i * MEMBERS] - log_sum(logits)
         return own.astype(np.float64) / np.log(10.0)
 
@@ -374,21 +392,19 @@ def _block(i: int, rows: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
 
 def train(texts: DataFrame, counts: Counts) -> LogBilinear:
     """One pass over all training texts, averaged over the tasks."""
-    share = unigram(counts)
-    start = LogBilinear(share)
-    given = texts.sparkSession.sparkContext.broadcast((counts, start))
+    start = LogBilinear(unigram(counts))
+    given = texts.sparkSession.sparkContext.broadcast((replace(counts, words={}), counts.names[: counts.vocabulary], start))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, start = given.value
+        counts, names, start = given.value
+        share = unigram(counts)
         model, tops = LogBilinear(share).load(start.rows()), np.bincount(top(np.arange(len(share))), share)
         rng, log_noise = np.random.default_rng(TaskContext.get().partitionId()), np.log(NOISE * tops).astype(np.float32)
         cumulative, past, seen = np.cumsum(tops), [np.zeros_like(p) for p in model.parts()], 0
         used = [np.zeros(len(p), np.int64) for p in model.parts()]
-        names = dict(islice(counts.words.items(), counts.vocabulary))
         for batch in slices(batches, "text", 2 << 20):
-            found = [model_tokens(numbered(t, names)[1], counts.vocabulary) for t in batch.column("text").to_pylist()]
-            before = [contexts(f) for f in found]
-            target, one, two = np.concatenate(found), np.concatenate([b[0] for b in before]), np.concatenate([b[1] for b in before])
+            words, sizes = words_of(batch.column("text"))
+            target, one, two = model_tokens(numbered(words, names), sizes, counts.vocabulary)
             order = rng.permutation(len(target))
             for at in range(0, len(order), BATCH):
                 rows = order[at : at + BATCH]
@@ -420,44 +436,42 @@ def scored(docs: DataFrame, learn: Column, *keep: Column) -> DataFrame:
     words = stored(word_counts(training), "words")
     counts = counts_of(words, training.count())
     model = train(training, counts)
-    given = spark.sparkContext.broadcast((counts, model))
+    given = spark.sparkContext.broadcast((replace(counts, words={}), counts.names, model))
     rows = docs.select(*keep, text)
     kept = rows.schema.fields[:-1]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, model = given.value
+        counts, names, model = given.value
         base, share = counts.base(counts.c), counts.other_share(counts.c)
         known, row, first = counts.vocabulary, 0, TaskContext.get().partitionId() << 40
-        modelled = dict(islice(counts.words.items(), known))
+        share[:known] = 0
         for batch in slices(batches, "text", 4 << 20):
-            found, sums, rare = [], [], []
-            for t in batch.column("text").to_pylist():
-                words, numbers = numbered(t, modelled)
-                rest = np.flatnonzero(numbers < 0)
-                others = [words[i] for i in rest.tolist()]
-                numbers[rest] = at = np.fromiter(map(counts.words.get, others, repeat(-1)), np.int64, len(rest))
-                common = numbers[numbers >= 0]
-                left = Counter([others[i] for i in np.flatnonzero(at < 0).tolist()])
-                found.append(model_tokens(numbers, known))
-                sums.append((len(words) + 1, len(common) + (counts.ends > 0), base[common].sum(), share[common[common >= known]].sum()))
-                rare.append(left)
-            before = [contexts(f) for f in found]
-            value = model.log10(np.concatenate([b[0] for b in before]), np.concatenate([b[1] for b in before]), np.concatenate(found))
-            starts = np.concatenate([[0], np.cumsum([len(f) for f in found])[:-1]])
-            value = np.add.reduceat(value, starts) + np.array([s[3] for s in sums])
-            total = np.array([s[2] for s in sums]) + counts.base(np.array(counts.ends))
+            words, sizes = words_of(batch.column("text"))
+            n, numbers, texts = len(sizes), numbered(words, names), np.repeat(np.arange(len(sizes)), sizes)
+            common = numbers >= 0
+            per_text = lambda values: np.bincount(texts[common], values[numbers[common]], n).astype(np.float64)  # noqa: B023, E731
+            total = per_text(base) + counts.base(np.array(counts.ends))
+            value = per_text(share)
+            found = np.bincount(texts[common], minlength=n) + (counts.ends > 0)
+            # rarer words: each once a text, with its times there
+            rare = words.filter(pa.array(~common)).dictionary_encode()
+            kinds = max(1, len(rare.dictionary))
+            once, times = np.unique(texts[~common] * kinds + rare.indices.to_numpy(), return_counts=True)
+            cuts = pa.array(np.searchsorted(once, np.arange(n + 1) * kinds), pa.int32())
+            targets, one, two = model_tokens(numbers, sizes, known)
+            value += np.add.reduceat(model.log10(one, two, targets), np.cumsum(sizes + 1) - sizes - 1)
             made = [
-                pa.array(first + row + np.arange(len(found))),
-                pa.array([s[0] for s in sums], pa.int64()),
-                pa.array([s[1] for s in sums], pa.int64()),
+                pa.array(first + row + np.arange(n)),
+                pa.array(sizes + 1, pa.int64()),
+                pa.array(found, pa.int64()),
                 pa.array(total),
                 pa.array(value),
-                pa.array([list(x.keys()) for x in rare], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                pa.array([list(x.values()) for x in rare], pa.list_(pa.int32())),
+                pa.ListArray.from_arrays(cuts, rare.dictionary.take(pa.array(once % kinds))),
+                pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32())),
             ]
-            row += len(found)
-            names = ["_cl_row", "n_tokens", "_cl_known", "_cl_base", "_cl_score", "_cl_words", "_cl_times"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *made], names=[*(f.name for f in kept), *names])
+            row += n
+            more = ["_cl_row", "n_tokens", "_cl_known", "_cl_base", "_cl_score", "_cl_words", "_cl_times"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *made], names=[*(f.name for f in kept), *more])
 
     kinds = [("_cl_row", LongType()), ("n_tokens", LongType()), ("_cl_known", LongType()), ("_cl_base", DoubleType()), ("_cl_score", DoubleType())]
     kinds += [("_cl_words", ArrayType(StringType())), ("_cl_times", ArrayType(IntegerType()))]

@@ -155,3 +155,34 @@ def test_a_task_scores_several_slices_alike(spark):
     got = lblm.scored(rows, F.col("doc_id") == 0, F.col("doc_id")).where("doc_id > 0").collect()
     assert len(got) == 3 and {(r.n_tokens, r.n_known) for r in got} == {(200_001, 200_001)}
     assert len({r.score for r in got}) == 1
+
+
+def test_words_and_contexts_of_a_slice():
+    """As Python's own split of bytes, at every ASCII character; no context
+    reaches into the text before."""
+    odd = "".join(f"A{chr(i)}" for i in range(128)) + "É\x85é  　x"
+    texts = [" \t\n", odd, "", "a  b\x0b\x0cC ", "d"]
+    words, sizes = lblm.words_of(lblm.pa.array(texts, lblm.pa.string()))
+    want = [re.sub(rb"[A-Z]", lambda m: m[0].lower(), t.encode()).split() for t in texts]
+    assert [w.encode() for w in words.to_pylist()] == [w for t in want for w in t]
+    assert sizes.tolist() == list(map(len, want))
+    found, one, two = lblm.model_tokens(np.array([0, 5, 1, 2]), np.array([0, 3, 0, 1]), 3)
+    assert found.tolist() == [0, 2, 1, 3, 0, 0, 4, 0]
+    assert one.tolist() == [0, 0, 2, 1, 3, 0, 0, 4] and two.tolist() == [0, 0, 0, 2, 1, 0, 0, 0]
+
+
+def test_scoring_holds_vectors_of_few_targets():
+    """Memory of a slice grows by few bytes a target, not by its vectors."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    model = lblm.LogBilinear(rng.random(3000))
+    n = 400_000
+    one, two, target = rng.integers(0, 3000, (3, n))
+    want = model.log10(one[:1000], two[:1000], target[:1000])  # makes the tables
+    tracemalloc.start()
+    got = model.log10(one, two, target)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got[:1000], want, atol=1e-4)
+    assert most < 60 * n + (16 << 20), most  # a vector alone is 100 bytes
