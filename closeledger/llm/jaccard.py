@@ -55,7 +55,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from closeledger.llm.bits import bit_table, in_table
 from closeledger.llm.common import arrow_map, partitions, read_table, slices, stored, stored_with
-from closeledger.llm.graph import components
+from closeledger.llm.graph import components, roots_of, stars
 from closeledger.llm.words import shingle_set
 
 BUCKETS = 1 << 18
@@ -395,7 +395,7 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     prefix entries."""
     spark = docs.sparkSession
     edges = spark.createDataFrame([], "u long, v long")
-    roots, grew = None, False
+    roots, grew, settled = None, False, False
     weights = found.groupBy("node").agg(F.count("*").alias("weight"))
     found, total = stored_with(found.join(weights, "node"), "weighted", n=F.count("*"))
     size = total["n"]
@@ -422,16 +422,18 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
             pairs = counted(open_).groupBy(F.col("a_node").alias("a")).agg(F.max_by("b_node", F.struct("shared", "b_node")).alias("b"))
         pairs, tried = stored_with(suffix_filter(pairs, classes), "pairs", n=F.count("*"))
         new, gained = stored_with(verified(pairs, docs), "links", n=F.count("*"))
-        edges = edges.unionByName(new)
         grew = 10 * gained["n"] >= tried["n"]
-        # the next round needs no more than nodes known to be together
-        if last or step + 1 == ROUNDS:
-            roots = components(edges)
-        elif gained["n"]:
-            roots = stored(components(edges, STEPS), "roots")
+        # the next round needs no more than nodes known to be together; its
+        # links join the stars that are there
+        whole = last or step + 1 == ROUNDS
+        if gained["n"] or (whole and not settled):
+            edges = stars(edges.unionByName(new), None if whole else STEPS)
+            roots, settled = stored(roots_of(edges), "roots"), whole
         if last:
             return roots
-    return spark.createDataFrame([], "node long, root long") if roots is None else components(edges)
+    if roots is None:
+        return spark.createDataFrame([], "node long, root long")
+    return roots if settled else components(edges)
 
 
 def _shared(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
