@@ -370,9 +370,10 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def encoded(docs: DataFrame, columns: list[str], path: str | None = None, size: int = BATCH) -> DataFrame:
+def encoded(docs: DataFrame, columns: list[str], path: str | None = None, size: int = BATCH, keep: bool = True) -> DataFrame:
     """``columns`` of docs with n_tokens, ids_sha256 and decoded_sha256.  A
-    column of one of these names gives way to the new one."""
+    column of one of these names gives way to the new one.  Unless ``keep``, a
+    task's end drops the worker's tables and memo."""
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
     model = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
     rows = docs.select(*[c for c in columns if c not in made], F.col("text").cast("string").alias("_cl_text"))
@@ -389,6 +390,8 @@ def encoded(docs: DataFrame, columns: list[str], path: str | None = None, size:
             columns = [batch.column(f.name) for f in kept]
             columns += [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), *made])
+        if not keep:
+            _loaded.clear()
 
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
     return arrow_map(rows, encode, ", ".join([*types, "n_tokens long", "ids_sha256 string", "decoded_sha256 string"]))
@@ -401,4 +404,5 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token counts and digests."""
-    return encoded(docs, docs.columns, size=STAGE_BATCH)
+    # idle workers live on, so what they hold adds up in later stages and runs
+    return encoded(docs, docs.columns, size=STAGE_BATCH, keep=False)

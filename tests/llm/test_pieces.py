@@ -1,8 +1,10 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
+from closeledger.llm import pieces as module
 from closeledger.llm.pieces import BATCH, ENTRY_BYTES, MEMO_BYTES, SHORT, SPACE, Pieces, encoded, encoding_stage, model_bytes, op8_sentencepiece
 
 pytest.importorskip("public_tokenizers")
@@ -101,3 +103,15 @@ def test_every_pair_is_found_and_no_other(pieces):
 def test_the_size_of_a_slice_changes_no_row(odd):
     rows = lambda **size: sorted(map(str, encoded(odd, ["doc_id"], **size).collect()))
     assert rows(size=1) == rows()
+
+
+@pytest.mark.parametrize(("made", "left"), [(lambda docs: encoding_stage(None, docs, ""), 0), (lambda docs: encoded(docs, ["doc_id"]), 1)])
+def test_a_stage_leaves_no_tables_in_its_worker(spark, monkeypatch, made, left):
+    docs, found = spark.createDataFrame([(1, "a word"), (2, None)], "doc_id long, text string"), []
+    monkeypatch.setattr(module, "arrow_map", lambda rows, function, schema: found.append(function))
+    monkeypatch.setattr(module, "_loaded", {})
+    made(docs)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a word", None]), pa.array(["a word", None])], names=["doc_id", "text", "_cl_text"])
+    out = list(found[0](iter([batch])))
+    assert [n for b in out for n in b.column("n_tokens").to_pylist()][1] == 0
+    assert len(module._loaded) == left
