@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from closeledger.llm.bits import bit_table, in_table
+from closeledger.llm.bits import among
 from closeledger.llm.common import arrow_map, partitions, read_table, slices, stored, stored_with
 from closeledger.llm.graph import components, roots_of, stars
 from closeledger.llm.words import shingle_set
@@ -356,8 +356,7 @@ def suffix_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Linked pairs (u, v) among stored pairs (a, b, a_place, b_place)."""
     places = pairs.select(F.col("a_place").alias("place")).unionByName(pairs.select(F.col("b_place").alias("place")))
-    texts = docs.select("text", place_of().alias("place"))
-    texts = texts.where(in_table(texts, bit_table(places, "place"), "place"))
+    texts = among(docs.select("text", place_of().alias("place")), places, "place")
     left = pairs.join(texts.select(F.col("place").alias("a_place"), F.col("text").alias("a_text")), "a_place")
     both = left.join(texts.select(F.col("place").alias("b_place"), F.col("text").alias("b_text")), "b_place")
 
@@ -500,8 +499,7 @@ def _tiles(docs: DataFrame, named: DataFrame, work: Callable, schema: str) -> Da
     blocks = F.ceil(F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("classes") / BLOCK_CLASSES)).cast("long")
     parts = named.join(sizes.select("root", blocks.alias("blocks")), "root")
     parts = stored(parts.select("node", "root", "place", "rows", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "blocks")
-    texts = docs.select("text", place_of().alias("place"))
-    texts = texts.where(in_table(texts, bit_table(parts.select("place"), "place"), "place"))
+    texts = among(docs.select("text", place_of().alias("place")), parts, "place")
     own = ["root", "blocks", "block", "node", "rows"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import numpy as np
 from jaccard_brute import brute
 
 from closeledger.llm import jaccard
+from closeledger.llm.bits import among
 from closeledger.llm.jaccard import grouped, near_duplicate_stage, op9_jaccard_join, prefix_length, signature
 from closeledger.llm.words import shingle_set, shingle_strings
 
@@ -113,3 +114,29 @@ def test_entries_are_rare_first_and_exact(spark, monkeypatch):
     by_place = {(r.node, r.before): r for r in kept["found"]}
     for r in kept["found"]:
         assert r.near == [by_place[r.node, r.before - k].h for k in range(1, min(r.before, jaccard.NEAR) + 1)]
+
+
+def test_verification_tests_texts_in_spark(spark):
+    """The texts of pairs are found without a Python worker of their own."""
+    texts = [" ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(51)), "a b c d e f", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    placed = {r.doc_id: r.place for r in docs.select("doc_id", jaccard.place_of().alias("place")).collect()}
+    a, b, c = (signature(shingle_set(t)) for t in texts[:3])
+    pairs = spark.createDataFrame([(a, b, placed[0], placed[1]), (a, c, placed[0], placed[2])], "a long, b long, a_place long, b_place long")
+    out = jaccard.verified(pairs, docs)
+    assert [(r.u, r.v) for r in out.collect()] == [(a, b)]
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_among_keys_are_all_found(spark):
+    rng = random.Random(3)
+    keys = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(200)] + [0, -1, 63, 64, (1 << 63) - 1, -(1 << 63)]
+    others = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(200)]
+    rows = spark.createDataFrame([(k, str(k)) for k in [*keys, *keys[:3], *others]], "place long, text string")
+    held = spark.createDataFrame([(k,) for k in [*keys, *keys]], "place long")
+    got = Counter(r.place for r in among(rows, held, "place").collect())
+    assert all(got[k] == (2 if k in keys[:3] else 1) for k in keys)
+    mask = (1 << 24) - 1
+    slots = {k & mask for k in keys}
+    assert {k for k in got} == {k for k in [*keys, *others] if k & mask in slots}
+    assert among(rows, held.limit(0), "place").count() == 0
